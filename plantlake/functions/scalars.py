@@ -36,12 +36,18 @@ def clamp(column: Column, low: Column, high: Column, digits: int = 2) -> Column:
     return F.round(F.least(F.greatest(column, low), high), digits)
 
 
+def padded(number: Column, width: int) -> Column:
+    """Zero-padded digits; longer numbers keep all of theirs."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def equipment_code(number: Column) -> Column:
-    return F.format_string("EQ-%04d", number)
+    return F.concat(F.lit("EQ-"), padded(number, 4))
 
 
 def sensor_code(number: Column) -> Column:
-    return F.format_string("SENS-%05d", number)
+    return F.concat(F.lit("SENS-"), padded(number, 5))
 
 
 def display_name(kind: Column, number: Column) -> Column:

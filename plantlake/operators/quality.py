@@ -59,20 +59,28 @@ def violations(rows: DataFrame, rules: list[Rule], *keep: str) -> DataFrame:
 # --- raw events --------------------------------------------------------------
 
 
+TEXT_KEYS = ["event_id", "factory_id", "measurement_type", "timestamp", "quality"]
+NUMBER_KEYS = ["value", "battery_level", "signal_strength"]
+DEVICE_KEYS = ["battery_level", "signal_strength"]
+
+#: Every field as a variant: one parse per line keeps the JSON types apart.
+ANY_TYPES = (
+    ", ".join(f"{key} variant" for key in schemas.CONTRACT_KEYS)
+    + ", metadata struct<"
+    + ", ".join(f"{key}: variant" for key in DEVICE_KEYS)
+    + ">"
+)
+
+
 def inspect(messages: DataFrame) -> DataFrame:
-    """Per key: JSON type (null if the key is absent) and text of the value."""
-    keys = [*schemas.CONTRACT_KEYS, "metadata.battery_level", "metadata.signal_strength"]
-    # one parse per line; the fields are cut from the parsed document
-    doc = messages.select("value", F.try_parse_json(F.col("value").cast("string")).alias("doc"))
-    looked_up = []
-    for key in keys:
-        short = key.split(".")[-1]
-        part = F.variant_get("doc", f"$.{key}", "variant")
-        looked_up += [
-            F.when(part.isNotNull(), F.schema_of_variant(part)).alias(f"{short}_type"),
-            F.try_variant_get("doc", f"$.{key}", "string").alias(short),
-        ]
-    return doc.select(F.col("value").alias("line"), *looked_up)
+    """Per key its JSON type (null if the key is absent), and the values the rules read."""
+    parsed = messages.select(F.from_json(F.col("value").cast("string"), ANY_TYPES).alias("d"))
+    fields = parsed.select("d.*").select(*schemas.CONTRACT_KEYS, "metadata.*")
+    return fields.select(
+        *[F.schema_of_variant(k).alias(f"{k}_type") for k in schemas.CONTRACT_KEYS + DEVICE_KEYS],
+        *[F.try_variant_get(k, "$", "string").alias(k) for k in TEXT_KEYS],
+        *[F.try_variant_get(k, "$", "double").alias(k) for k in NUMBER_KEYS],
+    )
 
 
 def missing_keys(messages: DataFrame, required: list[str] = schemas.REQUIRED_KEYS) -> DataFrame:
@@ -94,8 +102,7 @@ def _is_number(key: str) -> Column:
 
 
 def _is_whole(key: str) -> Column:
-    number = F.col(key).try_cast("double")
-    return _is_number(key) & (number == F.floor(number))
+    return _is_number(key) & (F.col(key) == F.floor(key))
 
 
 def _one_of(key: str, domain: list[str]) -> Column:
@@ -108,7 +115,6 @@ def _known_key(key: str) -> Column:
 
 def event_rules(factories: list[str] = schemas.FACTORIES) -> list[Rule]:
     """The rules of the raw-event checks, for :func:`inspect` rows."""
-    number = F.col("value").try_cast("double")
     low = lookup(F.col("measurement_type"), {k: v[0] for k, v in schemas.PHYSICAL_RANGE.items()})
     high = lookup(F.col("measurement_type"), {k: v[1] for k, v in schemas.PHYSICAL_RANGE.items()})
     present = F.lit(True)
@@ -121,7 +127,7 @@ def event_rules(factories: list[str] = schemas.FACTORIES) -> list[Rule]:
         Rule("factory_known", _one_of("factory_id", factories)),
         Rule(
             "physical_range",
-            _is_number("value") & number.between(low, high),
+            _is_number("value") & F.col("value").between(low, high),
             applies=F.col("measurement_type").isin(*schemas.MEASUREMENTS),
         ),
         Rule("is_anomaly_boolean", F.col("is_anomaly_type") == "BOOLEAN"),
@@ -146,7 +152,7 @@ def contract_rules() -> list[Rule]:
         "quality": _one_of("quality", schemas.QUALITIES),
         "is_anomaly": F.col("is_anomaly_type") == "BOOLEAN",
         "battery_level": _is_whole("battery_level")
-        & F.col("battery_level").try_cast("double").between(0, 100),
+        & F.col("battery_level").between(0, 100),
         "signal_strength": _is_whole("signal_strength"),
     }
     return rules + [Rule(f"valid:{k}", ok, applies=_known_key(k)) for k, ok in checks.items()]

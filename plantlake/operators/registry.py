@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.scalars import next_due
+from plantlake.operators.bronze import latest_per_id
 from plantlake.operators.joins import lookup_join
 
 # --- lookups -----------------------------------------------------------------
@@ -84,15 +85,21 @@ def upsert(
     incoming: DataFrame,
     key: str = "_id",
     valid: Column | None = None,
+    version: str | None = None,
 ) -> DataFrame:
     """Replace whole records by key, add new ones; running it twice changes nothing.
 
     ``valid`` is checked on the incoming side only: records already stored are
-    left alone even if they break the contract. Write the result to a new path.
+    left alone even if they break the contract. A delivery that repeats a key
+    needs a ``version`` column; its newest record wins. Write the result to a
+    new path, never over ``base``.
     """
     if valid is not None:
         incoming = incoming.filter(F.coalesce(valid, F.lit(False)))
-    return base.join(incoming.select(key), key, "left_anti").unionByName(incoming)
+    if version is not None:
+        incoming = latest_per_id(incoming, order=version, key=key).drop(version)
+    replaced = incoming.select(key).distinct()
+    return base.join(replaced, key, "left_anti").unionByName(incoming)
 
 
 # --- readings against the registry -------------------------------------------

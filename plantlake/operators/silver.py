@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,8 @@ def flatten(events: DataFrame) -> DataFrame:
 
 def complete(events: DataFrame) -> DataFrame:
     """Rows with an id, a value and a readable time."""
-    return events.dropna(subset=["event_id", "value", "timestamp"])
+    essential = (F.col(c).isNotNull() for c in ("event_id", "value", "timestamp"))
+    return events.filter(reduce(and_, essential))
 
 
 def dedup(events: DataFrame, keep: str = "first") -> DataFrame:

@@ -20,6 +20,7 @@ from plantlake.functions.scalars import (
     iso_text,
     lookup,
     next_due,
+    padded,
     round_robin,
     sensor_code,
 )
@@ -184,7 +185,7 @@ def erp_table(orders: DataFrame) -> DataFrame:
         _choice(i, schemas.FACTORIES).alias("factory_id"),
         _choice(F.col("o_orderkey"), ERP_TYPES).alias("event_type"),
         F.concat(F.lit("Service of "), equipment_code(i)).alias("description"),
-        F.format_string("Tech-%02d", F.col("o_orderkey") % 10 + 1).alias("technician"),
+        F.concat(F.lit("Tech-"), padded(F.col("o_orderkey") % 10 + 1, 2)).alias("technician"),
         F.when(every("o_orderkey", 77), None)
         .when(every("o_orderkey", 50), F.lit(0).cast("decimal(10,2)"))
         .otherwise(cost)
@@ -201,13 +202,13 @@ def maintenance_records(lineitem: DataFrame) -> DataFrame:
     """Maintenance records with several snapshots per id, each with its landing time."""
     i = F.col("l_suppkey") + 1
     return lineitem.select(
-        F.format_string("MNT-%05d", "l_orderkey").alias("id"),
+        F.concat(F.lit("MNT-"), padded(F.col("l_orderkey"), 5)).alias("id"),
         equipment_code(i).alias("equipment_id"),
         round_robin(i, schemas.FACTORIES).alias("factory_id"),
         _choice(F.col("l_partkey"), ORDER_TYPES).alias("maintenance_type"),
         _choice(F.col("l_linenumber"), ORDER_STATUS).alias("status"),
         F.col("l_shipdate").cast("date").alias("scheduled_date"),
-        F.format_string("Tech-%02d", F.col("l_suppkey") % 10 + 1).alias("technician"),
+        F.concat(F.lit("Tech-"), padded(F.col("l_suppkey") % 10 + 1, 2)).alias("technician"),
         F.round(F.col("l_quantity") / 10, 1).alias("estimated_duration_hours"),
         (
             F.col("l_shipdate").cast("timestamp")

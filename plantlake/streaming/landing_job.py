@@ -35,16 +35,22 @@ def start_landing(
     checkpoint: str,
     interval: str | None = "1 minute",
     max_events_per_file: int = LARGE_FILES,
+    writers_per_factory: int | None = None,
     arrival: Column | None = None,
 ) -> StreamingQuery:
     """Append lines as they are; the checkpoint means no repeats and no lost tail.
 
     A text sink writes the body unchanged, ``factory_id`` included, which a
-    partitioned JSON sink would cut out.
+    partitioned JSON sink would cut out. By default every task writes what it
+    read. With short triggers and many input partitions that makes many small
+    files: ``writers_per_factory`` then gathers each factory in so many tasks.
     """
+    rows = landing_rows(messages, arrival)
+    if writers_per_factory:
+        writer = F.pmod(F.xxhash64("value"), F.lit(writers_per_factory))
+        rows = rows.repartition("factory_id", writer)
     return (
-        landing_rows(messages, arrival)
-        .writeStream.outputMode("append")
+        rows.writeStream.outputMode("append")
         .format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
