@@ -24,8 +24,10 @@ def windowed_rates(
     Readings without a usable time belong to no window.
     """
     timed = events.withColumn("event_ts", event_time()).withWatermark("event_ts", delay)
-    if distinct_events:
+    if distinct_events and timed.isStreaming:
         timed = timed.dropDuplicatesWithinWatermark(["event_id"])
+    elif distinct_events:
+        timed = timed.dropDuplicates(["event_id"])
     return (
         timed.groupBy(
             F.window("event_ts", window), "factory_id", "equipment_id", "measurement_type"

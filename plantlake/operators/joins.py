@@ -5,29 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lookup rows (about 100 bytes each) that may be shipped to every executor.
-MAX_BROADCAST_ROWS = 200_000
+#: Lookup tables up to this size are shipped to every executor.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
 
 
+def measured_bytes(table: DataFrame) -> int:
+    """Size of a table's rows as text: a distributed count, not an estimate."""
+    row = F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"})
+    return table.agg(F.sum(F.octet_length(row))).first()[0] or 0
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     on: list[str],
     how: str = "left",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join many ``rows`` with a ``table`` of one row per key.
 
-    The table is counted first. Within the limit it is broadcast, so ``rows``
+    The table is measured first. Within the limit it is broadcast, so ``rows``
     are not shuffled at all. Beyond it both sides are shuffled on the key plus
     a salt: a key that holds a third of ``rows`` is spread over ``salts``
     tasks, and each table row is repeated once per salt.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup keeps or drops its left rows, not {how!r}")
-    if table.count() <= max_broadcast_rows:
+    if measured_bytes(table) <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
 
     # a hash of the row, not rand(): a retried task must salt the same way

@@ -12,7 +12,7 @@ from plantlake import schemas
 from plantlake.functions.records import decode_events, encode_events
 from plantlake.functions.scalars import clamp, lookup
 from plantlake.operators import alerts, bronze, gold, quality, registry, silver
-from plantlake.plans import feeds
+from plantlake.plans import feeds, ingest
 from plantlake.plans.daily import run_daily
 from plantlake.session import fresh_path, pin_utc
 from plantlake.sinks import files as sinks
@@ -440,6 +440,16 @@ def registry_upsert(spark, sf_dir):
     return _flat_equipment(registry.upsert(_equipment(spark, sf_dir), incoming, valid=valid))
 
 
+@query
+def registry_build(spark, sf_dir):
+    """Factories embedded, contract checked, snapshot written and read back."""
+    path = fresh_path(spark, "registry")
+    base = _equipment(spark, sf_dir)
+    incoming = feeds.incoming_equipment(feeds.table(spark, sf_dir, "customer"))
+    ingest.build_registry(base, incoming, _factories(spark, sf_dir), path)
+    return _flat_equipment(sources.equipment(spark, path))
+
+
 @query
 def registry_find(spark, sf_dir):
     """The most frequent lookup: active equipment of one factory."""
@@ -452,6 +462,11 @@ def registry_find_type(spark, sf_dir):
     return _flat_equipment(registry.find(_equipment(spark, sf_dir), type="pump"))
 
 
+@query
+def registry_find_status(spark, sf_dir):
+    return _flat_equipment(registry.find(_equipment(spark, sf_dir), status="maintenance"))
+
+
 @query
 def registry_find_sensor(spark, sf_dir):
     return _flat_equipment(registry.find(_equipment(spark, sf_dir), sensor_id="SENS-00042"))

@@ -440,6 +440,11 @@ new AS (
   UNION ALL SELECT * REPLACE ('NEW-' || equipment_id AS equipment_id) FROM eq WHERE c_acctbal >= 9000),
 good AS (SELECT * FROM new WHERE {VALID_EQUIPMENT})
 """
+    rebuilt = changed.replace("FROM eq WHERE", "FROM located WHERE").replace("new AS (", """
+located AS (
+  SELECT eq.* REPLACE (fac.id AS embedded_id, fac.name AS embedded_name, fac.lat AS lat, fac.lng AS lng)
+  FROM eq JOIN fac ON eq.factory_id = fac.id),
+new AS (""")
     flagged = """
 flagged AS (
   SELECT ev.*, NOT (ev.value BETWEEN sen.normal_min AND sen.normal_max) AS out_of_range
@@ -564,9 +569,15 @@ flagged AS (
             SELECT {EQUIPMENT_ROWS} FROM good
             UNION ALL SELECT {EQUIPMENT_ROWS} FROM eq
             WHERE equipment_id NOT IN (SELECT equipment_id FROM good)"""),
+        "registry_build": _with(EQUIPMENT + "," + FACTORIES + "," + rebuilt, f"""
+            SELECT {EQUIPMENT_ROWS} FROM good
+            UNION ALL SELECT {EQUIPMENT_ROWS} FROM eq
+            WHERE equipment_id NOT IN (SELECT equipment_id FROM good)"""),
         "registry_find": _with(EQUIPMENT, f"""
             SELECT {EQUIPMENT_ROWS} FROM eq WHERE factory_id = 'FAB-SP-01' AND status = 'active'"""),
         "registry_find_type": _with(EQUIPMENT, f"SELECT {EQUIPMENT_ROWS} FROM eq WHERE type = 'pump'"),
+        "registry_find_status": _with(
+            EQUIPMENT, f"SELECT {EQUIPMENT_ROWS} FROM eq WHERE status = 'maintenance'"),
         "registry_find_sensor": _with(EQUIPMENT, f"""
             SELECT {EQUIPMENT_ROWS} FROM eq
             WHERE equipment_id IN (SELECT equipment_id FROM sen WHERE sensor_id = 'SENS-00042')"""),

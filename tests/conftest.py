@@ -1,0 +1,54 @@
+import importlib.util
+import os
+import sys
+import tempfile
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
+        .config("spark.sql.streaming.numRecentProgressUpdates", "100")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture
+def folder():
+    """A new folder for every test; nothing is cleared afterwards."""
+    return tempfile.mkdtemp(prefix="plantlake-test-")
+
+
+@pytest.fixture(scope="session")
+def entry_module():
+    spec = importlib.util.spec_from_file_location(
+        "spark_entry", os.path.join(ROOT, "__spark_entry__.py")
+    )
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return module

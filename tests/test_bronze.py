@@ -1,0 +1,236 @@
+"""Landings, extracts and scans of Bronze."""
+
+import json
+import os
+
+import pytest
+from helpers import assert_same, events, line, messages, reading
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from plantlake import schemas
+from plantlake.operators import bronze, silver
+from plantlake.plans import feeds
+from plantlake.sinks import files as sinks
+from plantlake.sources import files, jdbc, kafka
+from plantlake.streaming import landing_job
+
+ARRIVAL = "2024-06-07 23:59:59"
+
+
+def land(spark, folder, lines, **options):
+    os.makedirs(folder + "/topic", exist_ok=True)
+    number = len(os.listdir(folder + "/topic"))
+    with open(f"{folder}/topic/{number}.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    landing_job.start_landing(
+        spark.readStream.text(folder + "/topic"), folder + "/sensors", folder + "/checkpoint",
+        interval=None, arrival=F.lit(ARRIVAL).cast("timestamp"), **options,
+    ).awaitTermination()
+
+
+def part_files(root):
+    return [
+        os.path.join(at, name)
+        for at, _, names in os.walk(root)
+        for name in names
+        if name.startswith("part-")
+    ]
+
+
+def test_lines_land_unchanged_by_factory_and_arrival_date(spark, folder):
+    lines = [line(1), line(2, ("factory_id",)), line(3, factory_id=None), "{broken"]
+    land(spark, folder, lines)
+    root = folder + "/sensors"
+    assert os.path.isdir(root + "/factory_id=FAB-SP-01/year=2024/month=06/day=07")
+    landed = spark.read.text(root)
+    assert sorted(r.value for r in landed.collect()) == sorted(lines)
+    assert landed.filter("factory_id = 'unknown'").count() == 3
+
+
+def test_files_hold_a_bounded_number_of_events(spark, folder):
+    land(spark, folder, [line(i) for i in range(2500)], max_events_per_file=landing_job.SMALL_FILES)
+    sizes = [sum(1 for _ in open(f)) for f in part_files(folder + "/sensors")]
+    assert sum(sizes) == 2500 and max(sizes) <= 1000
+
+
+def test_restarted_landing_has_no_repeats_and_no_lost_tail(spark, folder):
+    land(spark, folder, [line(1), line(2)])
+    land(spark, folder, [line(3)])
+    land(spark, folder, [line(4)])
+    assert spark.read.text(folder + "/sensors").count() == 4
+
+
+def test_factories_can_be_gathered_in_few_writers(spark, folder):
+    for part in range(4):
+        os.makedirs(folder + "/topic", exist_ok=True)
+        with open(f"{folder}/topic/x{part}.txt", "w") as f:
+            f.write("\n".join(line(i + 100 * part) for i in range(50)))
+    land(spark, folder, [line(1000)], writers_per_factory=2)
+    assert spark.read.text(folder + "/sensors").count() == 201
+    assert len(part_files(folder + "/sensors")) <= 2
+
+
+def test_path_value_wins_on_the_partition_aware_read(spark, folder):
+    land(spark, folder, [line(1, factory_id=None), line(2)])
+    aware = files.bronze_sensors(spark, folder + "/sensors")
+    assert {r.factory_id for r in aware.collect()} == {"unknown", "FAB-SP-01"}
+    recursive = files.mixed_bronze(spark, folder + "/sensors")
+    assert {r.factory_id for r in recursive.collect()} == {None, "FAB-SP-01"}
+
+
+def test_factory_and_arrival_date_prune_folders(spark, folder):
+    land(spark, folder, [line(1), line(2, factory_id="FAB-RJ-01")])
+    root = folder + "/sensors"
+    rows = files.bronze_sensors(spark, root, factory="FAB-RJ-01", since="2024-06-07")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "factory_id" in filters and "make_date" in filters
+    assert rows.count() == 1
+    assert files.bronze_sensors(spark, root, since="2024-06-08").count() == 0
+
+
+@pytest.fixture
+def mixed_tree(folder):
+    for path, rows in {
+        "factory_id=FAB-SP-01/year=2024/month=06/day=07": [reading(1), reading(2)],
+        "erp/year=2024": [{"source": "erp", "id": 1, "equipment_id": "EQ-0001"}],
+        "maintenance/year=2024": [{"id": "MNT-1", "factory_id": "FAB-SP-01", "status": "x"}],
+    }.items():
+        os.makedirs(f"{folder}/{path}")
+        with open(f"{folder}/{path}/a.json", "w") as f:
+            f.write("\n".join(json.dumps(r) for r in rows))
+    return folder
+
+
+def test_mixed_tree_reads_recursively_with_the_sensor_layout(spark, mixed_tree):
+    rows = files.mixed_bronze(spark, mixed_tree)
+    assert rows.count() == 4
+    assert silver.sensor_rows(rows).count() == 2
+
+
+def test_plain_read_of_a_mixed_tree_is_an_error(spark, mixed_tree):
+    with pytest.raises(Exception, match="CONFLICTING_DIRECTORY_STRUCTURES|Conflicting"):
+        spark.read.json(mixed_tree).count()
+
+
+def test_union_of_feeds_fills_absent_columns(spark):
+    erp = spark.createDataFrame([("erp", "EQ-1")], "source string, equipment_id string")
+    out = bronze.union_feeds(events(spark, reading(1)), erp)
+    assert out.count() == 2
+    assert out.filter("source = 'erp'").first().event_id is None
+
+
+# --- ERP -----------------------------------------------------------------------
+
+
+
+
+def erp_rows(spark, *rows):
+    base = "SELECT {}L, 'EQ-0001', 'FAB-SP-01', 'inspection', 'd', 't', {}, date'{}', timestamp'2024-01-01 08:00:00'"
+    sql = " UNION ALL ".join(base.format(i, cost, day) for i, cost, day in rows)
+    names = ["id", "equipment_id", "factory_id", "event_type", "description", "technician",
+             "cost", "event_date", "created_at"]
+    return spark.sql(sql).toDF(*names).withColumn("cost", F.col("cost").cast("decimal(10,2)"))
+
+
+def test_erp_records_keep_zero_cost_and_turn_dates_into_text(spark):
+    table = erp_rows(spark, (1, "0.00", "2024-01-01"), (2, "NULL", "2024-01-01"), (3, "9.99", "2024-01-02"))
+    out = bronze.erp_records(bronze.on_date(table, "event_date", "2024-01-01")).orderBy("id").collect()
+    assert [(r.source, r.id, r.cost, r.event_date) for r in out] == [
+        ("erp", 1, 0.0, "2024-01-01"), ("erp", 2, None, "2024-01-01"),
+    ]
+    assert out[0].created_at == "2024-01-01 08:00:00"
+
+
+def test_landing_the_same_run_twice_changes_nothing(spark, folder):
+    path = folder + "/erp"
+    rows = bronze.erp_records(erp_rows(spark, (1, "1.00", "2024-01-01"), (2, "2.00", "2024-01-02")))
+    assert sinks.land_erp(rows, path)
+    first = files.erp(spark, path).collect()
+    assert sinks.land_erp(rows, path)
+    assert sorted(files.erp(spark, path).collect()) == sorted(first)
+
+
+def test_a_rerun_replaces_only_its_own_day(spark, folder):
+    path = folder + "/erp"
+    sinks.land_erp(bronze.erp_records(erp_rows(spark, (1, "1.00", "2024-01-01"), (2, "2.00", "2024-01-02"))), path)
+    sinks.land_erp(bronze.erp_records(erp_rows(spark, (3, "3.00", "2024-01-02"))), path)
+    assert sorted(r.id for r in files.erp(spark, path).collect()) == [1, 3]
+
+
+def test_nothing_to_land_writes_nothing(spark, folder):
+    empty = bronze.erp_records(erp_rows(spark, (1, "1.00", "2024-01-01")).limit(0))
+    assert sinks.land_erp(empty, folder + "/erp") is False
+    assert not os.path.exists(folder + "/erp")
+
+
+def test_retention_keeps_the_boundary_day_and_prunes_folders(spark, folder):
+    path = folder + "/erp"
+    days = [(1, "1.00", "2022-05-31"), (2, "2.00", "2022-06-01"), (3, "3.00", "2022-06-02"), (4, "4.00", "2024-01-01")]
+    for grain in ("day", "month"):
+        sinks.land_erp(bronze.erp_records(erp_rows(spark, *days)), f"{path}/{grain}", grain)
+        kept = bronze.retained(
+            files.erp(spark, f"{path}/{grain}"), F.lit("2024-06-02").cast("date"), "event_date"
+        )
+        assert sorted(r.id for r in kept.collect()) == [3, 4]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "run_date" in plan.split("PartitionFilters: [")[1].split("], ")[0]
+
+
+# --- maintenance -----------------------------------------------------------------
+
+
+def test_snapshots_accumulate_and_the_latest_wins(spark, sf_dir, folder):
+    rows = feeds.maintenance_records(feeds.table(spark, sf_dir, "lineitem"))
+    path = folder + "/maintenance"
+    sinks.land_maintenance(rows, path, "month")
+    once = files.maintenance(spark, path).drop("run_date")
+    latest = bronze.latest_per_id(once)
+    sinks.land_maintenance(rows, path, "month")
+    twice = files.maintenance(spark, path).drop("run_date")
+    assert twice.count() == 2 * rows.count()
+    assert_same(latest, bronze.latest_per_id(twice))
+
+
+def test_snapshot_of_arrays_is_read_with_its_layout(spark, folder):
+    with open(folder + "/snapshot.json", "w") as f:
+        json.dump([{"id": "MNT-1", "scheduled_date": "2024-01-01", "estimated_duration_hours": 2.5},
+                   {"id": "MNT-2", "status": "completed"}], f, indent=1)
+    rows = {r.id: r for r in files.maintenance_snapshot(spark, folder).collect()}
+    assert rows["MNT-1"].scheduled_date.isoformat() == "2024-01-01"
+    assert rows["MNT-2"].status == "completed" and rows["MNT-2"].technician is None
+
+
+def test_fallback_only_for_a_missing_path(spark, folder):
+    with open(folder + "/a.json", "w") as f:
+        f.write('[{"id": "MNT-1"}]')
+    other = lambda: spark.createDataFrame([], schemas.MAINTENANCE)
+    there = files.read_or_else(lambda: files.maintenance_snapshot(spark, folder), other)
+    assert there.first().source == "primary"
+    gone = files.read_or_else(
+        lambda: files.maintenance_snapshot(spark, folder + "/none"),
+        lambda: files.maintenance_snapshot(spark, folder),
+    )
+    assert gone.first().source == "fallback"
+    with pytest.raises(AnalysisException):
+        files.read_or_else(lambda: spark.table("no_such_table").select("x"), other)
+
+
+# --- connector options (no connector and no database here) -------------------------
+
+
+def test_topic_options():
+    options = kafka.topic_options("broker:9092", start="earliest")
+    assert options["subscribe"] == "iot-sensors" and options["startingOffsets"] == "earliest"
+    assert kafka.topic_options("b")["startingOffsets"] == "latest"
+
+
+def test_split_reads_name_their_ranges():
+    assert jdbc.split_options("id", 1, 100, 4) == {
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4",
+    }
+
+
+def test_messages_are_read_as_text(spark):
+    assert messages(spark, [line(1)]).columns == ["value"]

@@ -1,0 +1,121 @@
+"""Silver → Gold on hand-made rows, and the Gold layout."""
+
+import os
+
+import pytest
+from helpers import assert_same, events, reading
+from pyspark.sql import functions as F
+
+from plantlake.operators import gold, silver
+from plantlake.sinks.files import write_gold
+from plantlake.sources import files
+
+
+def hourly(spark, *rows):
+    return gold.hourly(silver.clean(events(spark, *rows)))
+
+
+def at(minute, number, **changes):
+    return reading(number, timestamp=f"2024-05-01T07:{minute:02d}:00+00:00", **changes)
+
+
+def test_single_reading_has_no_deviation_and_no_score(spark):
+    row = hourly(spark, at(1, 1, value=4.0, is_anomaly=True)).first()
+    assert (row.avg_value, row.min_value, row.max_value, row.event_count) == (4.0, 4.0, 4.0, 1)
+    assert row.std_value is None and row.criticality_score is None
+    assert row.anomaly_rate == 1.0
+
+
+def test_zero_mean_gives_no_score_and_no_error(spark):
+    row = hourly(spark, at(1, 1, value=-1.0), at(2, 2, value=1.0)).first()
+    assert row.avg_value == 0.0 and row.criticality_score is None
+
+
+def test_score_is_weighted_rate_plus_weighted_variation(spark):
+    row = hourly(spark, at(1, 1, value=10.0, is_anomaly=True), at(2, 2, value=14.0)).first()
+    deviation = 8.0 ** 0.5
+    assert row.std_value == pytest.approx(deviation)
+    assert row.criticality_score == pytest.approx(0.5 * 0.6 + deviation / 12.0 * 0.4)
+
+
+def test_negative_mean_makes_a_negative_variation(spark):
+    row = hourly(spark, at(1, 1, value=-10.0), at(2, 2, value=-14.0)).first()
+    assert row.criticality_score < 0
+
+
+def test_unknown_flags_give_unknown_rate(spark):
+    row = hourly(spark, at(1, 1, is_anomaly=None), at(2, 2, is_anomaly=None)).first()
+    assert row.anomaly_count is None and row.anomaly_rate is None
+
+
+def test_hours_and_null_keys_are_groups_of_their_own(spark):
+    out = hourly(
+        spark,
+        at(0, 1), at(59, 2), reading(3, timestamp="2024-05-01T08:00:00+00:00"),
+        at(5, 4, factory_id=None),
+    )
+    assert sorted((r.hour, r.factory_id or "-", r.event_count) for r in out.collect()) == [
+        (7, "-", 1), (7, "FAB-SP-01", 2), (8, "FAB-SP-01", 1),
+    ]
+
+
+def test_unknown_grain_is_refused(spark):
+    with pytest.raises(ValueError):
+        gold.rollup(silver.clean(events(spark, reading(1))), "minute")
+
+
+def test_regroup_weights_means_by_counts(spark):
+    rows = [at(i, i, value=10.0) for i in range(1, 4)] + [
+        reading(9, timestamp="2024-05-01T08:00:00+00:00", value=50.0)
+    ]
+    assert gold.regroup(hourly(spark, *rows), "factory_id").first().avg_value == pytest.approx(20.0)
+
+
+def test_top_critical_puts_unknown_scores_last(spark):
+    out = gold.top_critical(
+        hourly(
+            spark,
+            at(1, 1, equipment_id="A"),
+            at(1, 2, equipment_id="B", value=10.0), at(2, 3, equipment_id="B", value=11.0),
+            at(1, 4, equipment_id="C", value=10.0), at(2, 5, equipment_id="C", value=90.0),
+        ),
+        3,
+    )
+    assert [r.equipment_id for r in out.collect()] == ["C", "B", "A"]
+
+
+def test_gold_round_trip_and_incremental_overwrite(spark, folder):
+    path = folder + "/gold"
+    may = hourly(spark, at(1, 1), at(2, 2, factory_id="FAB-RJ-01"))
+    june = hourly(spark, reading(3, timestamp="2024-06-01T00:00:00+00:00"))
+    write_gold(may.unionByName(june), path)
+    assert_same(may.unionByName(june), files.gold(spark, path))
+
+    newer = hourly(spark, at(1, 1, value=99.0))
+    write_gold(newer, path, incremental=True)
+    expected = may.filter("factory_id = 'FAB-RJ-01'").unionByName(june).unionByName(newer)
+    assert_same(expected, files.gold(spark, path))
+
+    write_gold(newer, path)
+    assert_same(newer, files.gold(spark, path))
+    assert os.path.isdir(path + "/year=2024/month=5/factory_id=FAB-SP-01")
+
+
+def test_partition_and_row_filters_reach_the_gold_scan(spark, folder):
+    write_gold(hourly(spark, at(1, 1), at(2, 2, factory_id="FAB-RJ-01")), folder + "/gold")
+    pruned = files.gold(spark, folder + "/gold").filter(
+        (F.col("factory_id") == "FAB-SP-01") & (F.col("month") == 5) & (F.col("hour") == 7)
+    ).select("avg_value")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    partition_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "factory_id" in partition_filters and "month" in partition_filters
+    assert "EqualTo(hour,7)" in plan
+    assert "ReadSchema: struct<hour:int,avg_value:double>" in plan
+    assert pruned.count() == 1
+
+
+def test_only_needed_silver_columns_are_read(spark, folder):
+    silver.clean(events(spark, reading(1))).write.parquet(folder + "/silver")
+    plan = gold.hourly(files.silver(spark, folder + "/silver", "parquet"))
+    scan = plan._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1]
+    assert "quality" not in scan and "firmware_version" not in scan and "event_id" not in scan

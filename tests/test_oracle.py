@@ -1,0 +1,47 @@
+"""Every query equals its SQL on the given tables."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+from conftest import TABLES
+from plantlake.plans.catalog import QUERIES
+from plantlake.plans.oracle import oracle_sql
+
+ORACLE = oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(
+        tuple(round(r[i], 9) if isinstance(r[i], float) else r[i] for i in order) for r in rows
+    )
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    result = duck.execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert bag(df.columns, df.collect()) == bag(columns, result.fetchall())
+
+
+def test_entry(spark, entry_module):
+    df = entry_module.entry(spark)
+    assert "criticality_score" in df.columns
+    assert df.count() > 0
+    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
