@@ -64,106 +64,81 @@ def every(number: str, step: int) -> Column:
 # --- sensor readings ---------------------------------------------------------
 
 
+#: Faults by reading number ``n``; everything else passes unchanged.
+WIRE_RULES = {
+    "event_id": "CASE WHEN n % 113 = 0 THEN NULL WHEN n % 127 = 0 THEN upper(uid) ELSE uid END",
+    "sensor_id": """CASE WHEN n % 83 = 0 THEN NULL WHEN n % 131 = 0 THEN '  '
+        WHEN n % 11 = 0 THEN concat(' ', sensor, ' ') ELSE sensor END""",
+    "equipment_id": "CASE WHEN n % 13 = 0 THEN concat(equipment, ' ') ELSE equipment END",
+    "factory_id": """CASE WHEN n % 107 = 0 THEN NULL WHEN n % 103 = 0 THEN 'FAB-XX-99'
+        ELSE factory END""",
+    "measurement_type": "CASE WHEN n % 7 = 0 THEN concat(' ', upper(kind), ' ') ELSE kind END",
+    "value": "CASE WHEN n % 97 != 0 THEN v END",
+    "unit": "CASE WHEN n % 17 = 0 THEN upper(unit) ELSE unit END",
+    "timestamp": "CASE WHEN n % 89 = 0 THEN 'not-a-time' ELSE iso END",
+    "quality": "CASE WHEN n % 19 = 0 THEN upper(grade) ELSE grade END",
+    "is_anomaly": "CASE WHEN n % 101 != 0 THEN k < 5 + 10 * (i % 4) END",
+    "metadata": """CASE WHEN n % 137 != 0 THEN named_struct(
+        'firmware_version', concat('1.', k % 10, '.0'),
+        'battery_level', CASE WHEN n % 109 = 0 THEN 3000000000L ELSE cast(20 + k % 81 AS bigint) END,
+        'signal_strength', cast(-30 - k % 61 AS bigint)) END""",
+}
+
+#: Fields a decoder loses: broken lines, and values sent with the wrong JSON type.
+LOST_WHEN = {
+    "value": "n % 139 = 0",
+    "is_anomaly": "n % 149 = 0 AND n % 139 != 0",
+    "quality": "n % 151 = 0 AND n % 139 != 0 AND n % 149 != 0",
+}
+
+
 def _numbered(events: DataFrame) -> DataFrame:
-    """Readings before any wire fault, with their number ``n``."""
+    """Readings before any wire fault, with their number ``n``; some appear twice."""
     kind = lookup(F.col("event_type"), MEASUREMENT_OF)
-    place = F.array_position(F.array(*[F.lit(m) for m in SENSOR_ORDER]), kind)
     numbers = events.select(
         F.col("event_id").alias("n"),
         F.expr("user_id div 10 + 1").alias("i"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         kind.alias("kind"),
-        place.alias("mi"),
         F.col("value").alias("v"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        iso_text(F.col("ts").cast("timestamp")).alias("iso"),
     )
-    uid = F.format_string("%08x-0000-4000-8000-%012x", "n", "n")
-    sensor = sensor_code((F.col("i") - 1) * 5 + F.col("mi"))
-    unit = lookup(F.col("kind"), schemas.UNITS)
-    grade = F.when(F.col("k") % 6 < 4, "good").when(F.col("k") % 6 == 4, "warning").otherwise("bad")
-    battery = F.when(every("n", 109), F.lit(3_000_000_000)).otherwise(20 + F.col("k") % 81)
-    return numbers.select(
-        "n",
-        F.when(every("n", 113), None)
-        .when(every("n", 127), F.upper(uid))
-        .otherwise(uid)
-        .alias("event_id"),
-        F.when(every("n", 83), None)
-        .when(every("n", 131), "  ")
-        .when(every("n", 11), F.concat(F.lit(" "), sensor, F.lit(" ")))
-        .otherwise(sensor)
-        .alias("sensor_id"),
-        F.when(every("n", 13), F.concat(equipment_code(F.col("i")), F.lit(" ")))
-        .otherwise(equipment_code(F.col("i")))
-        .alias("equipment_id"),
-        F.when(every("n", 107), None)
-        .when(every("n", 103), "FAB-XX-99")
-        .otherwise(round_robin(F.col("i"), schemas.FACTORIES))
-        .alias("factory_id"),
-        F.when(every("n", 7), F.concat(F.lit(" "), F.upper("kind"), F.lit(" ")))
-        .otherwise(F.col("kind"))
-        .alias("measurement_type"),
-        F.when(~every("n", 97), F.col("v")).alias("value"),
-        F.when(every("n", 17), F.upper(unit)).otherwise(unit).alias("unit"),
-        F.when(every("n", 89), "not-a-time").otherwise(iso_text(F.col("ts"))).alias("timestamp"),
-        F.when(every("n", 19), F.upper(grade)).otherwise(grade).alias("quality"),
-        F.when(~every("n", 101), F.col("k") < 5 + 10 * (F.col("i") % 4)).alias("is_anomaly"),
-        F.when(
-            ~every("n", 137),
-            F.struct(
-                F.concat(F.lit("1."), F.col("k") % 10, F.lit(".0")).alias("firmware_version"),
-                battery.cast("bigint").alias("battery_level"),
-                (-30 - F.col("k") % 61).cast("bigint").alias("signal_strength"),
-            ),
-        ).alias("metadata"),
-        # exact copies of some rows
-        F.explode(F.sequence(F.lit(1), F.when(every("n", 200), 2).otherwise(1))).alias("copy"),
-    ).drop("copy")
+    place = F.array_position(F.array(*[F.lit(m) for m in SENSOR_ORDER]), F.col("kind"))
+    clean = numbers.select(
+        "*",
+        F.format_string("%08x-0000-4000-8000-%012x", "n", "n").alias("uid"),
+        sensor_code((F.col("i") - 1) * 5 + place).alias("sensor"),
+        equipment_code(F.col("i")).alias("equipment"),
+        round_robin(F.col("i"), schemas.FACTORIES).alias("factory"),
+        lookup(F.col("kind"), schemas.UNITS).alias("unit"),
+        F.expr("CASE WHEN k % 6 < 4 THEN 'good' WHEN k % 6 = 4 THEN 'warning' ELSE 'bad' END").alias("grade"),
+        F.expr("explode(sequence(1, CASE WHEN n % 200 = 0 THEN 2 ELSE 1 END))").alias("copy"),
+    )
+    return clean.selectExpr("n", *[f"{rule} AS {name}" for name, rule in WIRE_RULES.items()])
 
 
 def sensor_lines(events: DataFrame) -> DataFrame:
     """Readings as JSON text, as they come off the wire."""
-    rows = _numbered(events)
-    fields = [c for c in rows.columns if c != "n"]
-    number = F.col("value").cast("string")
-    quoted_value = F.replace(
-        "line",
-        F.concat(F.lit('"value":'), number),
-        F.concat(F.lit('"value":"'), number, F.lit('"')),
-    )
-    flag = F.col("is_anomaly").cast("string")
-    quoted_flag = F.replace(
-        "line",
-        F.concat(F.lit('"is_anomaly":'), flag),
-        F.concat(F.lit('"is_anomaly":"'), flag, F.lit('"')),
-    )
-    no_quality = F.replace(
-        "line", F.concat(F.lit('"quality":"'), F.col("quality"), F.lit('",')), F.lit("")
-    )
-    return rows.withColumn("line", as_json(*fields)).select(
-        F.when(every("n", 157), F.substring("line", 1, 40))
-        .when(every("n", 139), F.coalesce(quoted_value, "line"))
-        .when(every("n", 149), F.coalesce(quoted_flag, "line"))
-        .when(every("n", 151), no_quality)
-        .otherwise(F.col("line"))
-        .alias("value")
+    rows = _numbered(events).withColumn("line", as_json(*WIRE_RULES))
+    return rows.selectExpr(
+        """CASE
+        WHEN n % 157 = 0 THEN substring(line, 1, 40)
+        WHEN n % 139 = 0 THEN coalesce(
+            replace(line, concat('"value":', value), concat('"value":"', value, '"')), line)
+        WHEN n % 149 = 0 THEN coalesce(
+            replace(line, concat('"is_anomaly":', is_anomaly), concat('"is_anomaly":"', is_anomaly, '"')),
+            line)
+        WHEN n % 151 = 0 THEN replace(line, concat('"quality":"', quality, '",'), '')
+        ELSE line END AS value"""
     )
 
 
 def sensor_events(events: DataFrame) -> DataFrame:
     """The same readings already decoded, without the detour over text."""
-    rows = _numbered(events)
-    broken = every("n", 157)
-    lost = {
-        "value": every("n", 139),
-        "is_anomaly": every("n", 149) & ~every("n", 139),
-        "quality": every("n", 151) & ~every("n", 139) & ~every("n", 149),
-    }
-    return rows.select(
+    return _numbered(events).selectExpr(
         *[
-            F.when(~(broken | lost.get(c, F.lit(False))), F.col(c)).alias(c)
-            for c in rows.columns
-            if c != "n"
+            f"CASE WHEN n % 157 != 0 AND NOT ({LOST_WHEN.get(name, 'false')}) THEN {name} END AS {name}"
+            for name in WIRE_RULES
         ]
     )
 
