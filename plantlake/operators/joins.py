@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Lookup tables up to this size are shipped to every executor.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 64
 
 
 def measured_bytes(table: DataFrame) -> int:
@@ -28,16 +28,18 @@ def lookup_join(
 
     The table is measured first. Within the limit it is broadcast, so ``rows``
     are not shuffled at all. Beyond it both sides are shuffled on the key plus
-    a salt: a key that holds a third of ``rows`` is spread over ``salts``
-    tasks, and each table row is repeated once per salt.
+    a salt: a key, or a group of equal copies, that holds a third of ``rows``
+    is spread over ``salts`` tasks, and each table row is repeated once per
+    salt. In batch, AQE splits what is still too big.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup keeps or drops its left rows, not {how!r}")
     if measured_bytes(table) <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
 
-    # a hash of the row, not rand(): a retried task must salt the same way
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    # by input partition: equal copies are spread too, and a retried task salts
+    # its rows the same way whatever order they arrive in
+    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
         rows.withColumn("_salt", spread)

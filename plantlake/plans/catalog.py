@@ -40,7 +40,7 @@ def query(build: Query) -> Query:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to six places, timestamps without zone: what any SQL engine returns."""
+    """Doubles to six places, timestamps without zone, dates as text: the same in any client."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -48,6 +48,8 @@ def comparable(df: DataFrame) -> DataFrame:
             column = F.round(column, 6)
         elif isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
+        elif isinstance(field.dataType, T.DateType):
+            column = column.cast("string")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -519,8 +521,10 @@ def unknown_factory(spark, sf_dir):
 
 @query
 def factory_conflicts(spark, sf_dir):
+    # distinct pairs do not care about repeats, so the readings need no dedup
+    readings = silver.complete(silver.tidy_events(silver.sensor_rows(_events(spark, sf_dir))))
     return registry.factory_conflicts(
-        _silver(spark, sf_dir),
+        readings,
         _erp(spark, sf_dir),
         _equipment(spark, sf_dir).withColumnRenamed("_id", "equipment_id"),
     )

@@ -202,8 +202,8 @@ mnt AS (
   FROM lineitem)
 """
 MAINTENANCE_COLUMNS = """
-  id, equipment_id, factory_id, maintenance_type, status, scheduled_date, technician,
-  estimated_duration_hours
+  id, equipment_id, factory_id, maintenance_type, status,
+  strftime(mnt.scheduled_date, '%Y-%m-%d') AS scheduled_date, technician, estimated_duration_hours
 """
 
 # --- registry ----------------------------------------------------------------
@@ -483,7 +483,7 @@ flagged AS (
             SELECT {MAINTENANCE_COLUMNS}, 'maintenance' AS feed FROM mnt"""),
         "erp_extract": _with(ERP, f"SELECT {ERP_ROWS} FROM erp WHERE event_date = {day}"),
         "erp_landing": _with(ERP, f"""SELECT {ERP_ROWS},
-            CAST(date_trunc('month', erp.event_date) AS DATE) AS run_date FROM erp"""),
+            strftime(date_trunc('month', erp.event_date), '%Y-%m-%d') AS run_date FROM erp"""),
         "bronze_retention": _with(ERP, f"""
             SELECT id, equipment_id, strftime(event_date, '%Y-%m-%d') AS event_date FROM erp
             WHERE erp.event_date >= {cut}"""),
@@ -492,7 +492,7 @@ flagged AS (
         "maintenance_landing": _with(
             MAINTENANCE,
             f"""SELECT {MAINTENANCE_COLUMNS}, landed_at,
-            CAST(date_trunc('month', scheduled_date) AS DATE) AS run_date FROM mnt"""),
+            strftime(date_trunc('month', mnt.scheduled_date), '%Y-%m-%d') AS run_date FROM mnt"""),
         "maintenance_latest": _with(MAINTENANCE, f"""
             SELECT {MAINTENANCE_COLUMNS}, landed_at FROM mnt
             QUALIFY row_number() OVER (PARTITION BY id ORDER BY landed_at DESC, equipment_id DESC,
@@ -543,7 +543,7 @@ flagged AS (
             SELECT event_type, count(*) AS events, round(sum(cost), 2) AS total_cost,
               round(avg(cost), 2) AS avg_cost FROM erp GROUP BY ALL"""),
         "dash_trend": _with(ERP, """
-            SELECT CAST(date_trunc('month', event_date) AS DATE) AS period, event_type,
+            SELECT strftime(date_trunc('month', event_date), '%Y-%m-%d') AS period, event_type,
               count(*) AS events, round(sum(cost), 2) AS total_cost FROM erp GROUP BY ALL"""),
         "daily_chain": _with(chained + "," + _rollup("hour"), gold_rows),
         # alerts
@@ -594,9 +594,9 @@ flagged AS (
         "registry_sensor_total": _with(EQUIPMENT, """
             SELECT count(*) AS equipment, CAST(sum(sensors) AS BIGINT) AS sensors FROM eq"""),
         "maintenance_due": _with(EQUIPMENT, """
-            SELECT equipment_id AS _id, schedule, last_m AS last_maintenance,
-              last_m + CASE schedule WHEN 'weekly' THEN 7 WHEN 'monthly' THEN 30
-                WHEN 'quarterly' THEN 90 ELSE 180 END AS next_maintenance FROM eq"""),
+            SELECT equipment_id AS _id, schedule, strftime(last_m, '%Y-%m-%d') AS last_maintenance,
+              strftime(last_m + CASE schedule WHEN 'weekly' THEN 7 WHEN 'monthly' THEN 30
+                WHEN 'quarterly' THEN 90 ELSE 180 END, '%Y-%m-%d') AS next_maintenance FROM eq"""),
         "range_anomaly": _with(SILVER + "," + EQUIPMENT, """
             SELECT event_id, sv.equipment_id, sv.sensor_id, round(value, 6) AS value, is_anomaly,
               normal_min, normal_max, NOT (value BETWEEN normal_min AND normal_max) AS out_of_range

@@ -46,9 +46,25 @@ def test_small_tables_are_broadcast_and_big_ones_are_not(spark, rows, table):
     assert "hashpartitioning(k" in salted and "_salt" in salted
 
 
-def test_hot_key_is_spread_over_the_salts(spark, rows):
-    salts = rows.filter("k = 'hot'").select(F.pmod(F.xxhash64("k", "n"), F.lit(8)).alias("s"))
-    assert salts.distinct().count() == 8
+def test_copies_of_one_row_are_spread_over_the_salts(spark, table):
+    """Equal rows leave the join from as many tasks as there are salts."""
+    copies = spark.range(0, 4000, 1, numPartitions=16).select(F.lit("hot").alias("k"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookup_join(copies, table, ["k"], max_broadcast_bytes=0, salts=8)
+        tasks = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(t["count"] for t in tasks) == 4000
+    assert len(tasks) >= 6 and max(t["count"] for t in tasks) <= 1500
 
 
 def test_right_and_full_joins_are_refused(spark, rows, table):
