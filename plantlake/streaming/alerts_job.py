@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake import schemas
@@ -49,11 +49,19 @@ def start_file_sink(
 
 
 def start_console_sink(
-    alerts: DataFrame, interval: str | None = schemas.ALERT_TRIGGER
+    spark: SparkSession, path: str, interval: str | None = schemas.ALERT_TRIGGER
 ) -> StreamingQuery:
-    """The same alerts on the console, untruncated; a query of its own without restart state."""
+    """The alerts on the console, untruncated, one trigger after they were written.
+
+    It follows the alert files instead of the topic, so the topic is read and
+    the windows are kept only once. Start the file sink first: it makes the
+    folder. Starting the console again shows all alerts again.
+    """
+    written = (
+        spark.readStream.schema(schemas.ALERT).option("timestampFormat", JSON_TIME).json(path)
+    )
     return (
-        alerts.writeStream.outputMode("append")
+        written.writeStream.outputMode("append")
         .format("console")
         .option("truncate", "false")
         .trigger(**trigger_of(interval))
@@ -63,8 +71,7 @@ def start_console_sink(
 
 def run_alerts(messages: DataFrame, path: str, checkpoint: str, console: bool = False) -> None:
     """The long-running job: stops with an error as soon as either query fails."""
-    alerts = alerts_from_messages(messages)
-    start_file_sink(alerts, path, checkpoint)
+    start_file_sink(alerts_from_messages(messages), path, checkpoint)
     if console:
-        start_console_sink(alerts)
+        start_console_sink(messages.sparkSession, path)
     messages.sparkSession.streams.awaitAnyTermination()

@@ -139,19 +139,34 @@ def test_alert_files_lie_by_factory(spark, folder):
     assert os.path.isdir(folder + "/alerts/factory_id=FAB-SP-01")
 
 
-def test_console_is_a_query_of_its_own(spark, folder):
+def test_console_follows_the_alert_files(spark, folder):
     topic = Topic(spark, folder)
     topic.send(line(1, timestamp=clock("00:01:00"), is_anomaly=True))
     topic.send(line(2, timestamp=clock("00:30:00")))
-    source = spark.readStream.text(folder + "/topic")
-    job = alerts_job.start_console_sink(
-        alerts_job.alerts_from_messages(source), interval=None
-    )
+    topic.run()
+    job = alerts_job.start_console_sink(spark, folder + "/alerts", interval=None)
     job.awaitTermination()
     assert all("Console" in p["sink"]["description"] for p in job.recentProgress)
     assert sum(p["sink"]["numOutputRows"] for p in job.recentProgress) == 1
 
 
+def test_console_may_start_before_the_first_alert(spark, folder):
+    """Starting the alert job is enough for the folder to be there."""
+    topic = Topic(spark, folder)
+    topic.send(line(1, timestamp=clock("00:01:00"), is_anomaly=True))
+    topic.run()
+    job = alerts_job.start_console_sink(spark, folder + "/alerts", interval="1 second")
+    try:
+        job.processAllAvailable()
+        topic.send(line(2, timestamp=clock("00:30:00")))
+        topic.run()
+        job.processAllAvailable()
+        assert job.exception() is None
+        assert sum(p["numInputRows"] for p in job.recentProgress) == 1
+    finally:
+        job.stop()
+
+
 def test_stream_equals_batch_for_closed_windows(spark, sf_dir):
     lines = feeds.sensor_lines(feeds.table(spark, sf_dir, "events"))
     decoded = decode_events(lines, schemas.STREAM_EVENT)
