@@ -8,6 +8,7 @@ from plantlake import schemas
 from plantlake.operators import quality
 from plantlake.plans import daily, ingest
 from plantlake.session import build_session
+from plantlake.sinks.files import BY_MONTH
 from plantlake.sinks.serving import serve_gold
 from plantlake.sources import files, jdbc, kafka
 from plantlake.streaming import alerts_job, landing_job
@@ -19,12 +20,15 @@ def options_of(pairs: list[str]) -> dict[str, str]:
 
 def silver(spark, a):
     bronze = files.mixed_bronze(spark, a.bronze) if a.mixed else files.bronze_sensors(spark, a.bronze)
-    if not daily.bronze_to_silver(bronze, a.silver, fmt=a.format, max_files=a.max_files):
+    by = BY_MONTH if a.by_month else None
+    if not daily.bronze_to_silver(
+        bronze, a.silver, fmt=a.format, max_files=a.max_files, partition_by=by
+    ):
         print("no sensor rows in Bronze")
 
 
 def gold(spark, a):
-    daily.silver_to_gold(files.silver(spark, a.silver, a.format), a.gold, a.incremental)
+    daily.silver_to_gold(files.silver(spark, a.silver, a.format), a.gold, a.since)
 
 
 def chain(spark, a):
@@ -86,8 +90,9 @@ def parser() -> argparse.ArgumentParser:
 
     mixed, fmt = {"action": "store_true"}, {"choices": ["json", "parquet"], "default": "json"}
     props = {"action": "append", "default": [], "metavar": "KEY=VALUE"}
-    job(silver, "bronze", "silver", mixed=mixed, format=fmt, max_files={"type": int})
-    job(gold, "silver", "gold", format=fmt, incremental={"action": "store_true"})
+    job(silver, "bronze", "silver", mixed=mixed, format=fmt, max_files={"type": int},
+        by_month={"action": "store_true"})
+    job(gold, "silver", "gold", format=fmt, since={"metavar": "YYYY-MM"})
     job(chain, "bronze", "silver", "gold", mixed=mixed, format=fmt)
     job(serve, "gold", "url", property=props, connections={"type": int, "default": 16})
     job(alerts, "servers", "path", "checkpoint", console={"action": "store_true"})

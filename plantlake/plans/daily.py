@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plantlake.operators import gold, silver
 from plantlake.session import pin_utc
@@ -19,8 +20,18 @@ def bronze_to_silver(bronze: DataFrame, path: str, **options) -> bool:
     return True
 
 
-def silver_to_gold(rows: DataFrame, path: str, incremental: bool = False) -> None:
-    write_gold(gold.hourly(rows), path, incremental)
+def silver_to_gold(rows: DataFrame, path: str, since: str | None = None) -> None:
+    """Gold for all of Silver, or only for the months from ``since`` (``YYYY-MM``) on.
+
+    An hour lies in one month, so recomputing whole months is exact: their
+    folders are replaced, older ones stay. Silver partitioned by year and month
+    is then read for those months only. A factory that vanished from a month
+    keeps its old folder until the next full run.
+    """
+    if since is not None:
+        first = int(since.replace("-", ""))
+        rows = rows.filter(F.col("year") * 100 + F.col("month") >= first)
+    write_gold(gold.hourly(rows), path, incremental=since is not None)
 
 
 def run_daily(

@@ -44,11 +44,17 @@ def start_landing(
     partitioned JSON sink would cut out. By default every task writes what it
     read. With short triggers and many input partitions that makes many small
     files: ``writers_per_factory`` then gathers each factory in so many tasks.
+    The progress of every trigger reports the lines landed (``landed``).
     """
-    rows = landing_rows(messages, arrival)
+    rows = landing_rows(messages, arrival).observe(
+        "landed",
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("factory_id") == "unknown").alias("unknown_factory"),
+    )
     if writers_per_factory:
-        writer = F.pmod(F.xxhash64("value"), F.lit(writers_per_factory))
-        rows = rows.repartition("factory_id", writer)
+        # by input partition, so that equal lines are spread as well
+        writer = F.pmod(F.spark_partition_id(), F.lit(writers_per_factory))
+        rows = rows.withColumn("writer", writer).repartition("factory_id", "writer").drop("writer")
     return (
         rows.writeStream.outputMode("append")
         .format("text")

@@ -23,10 +23,12 @@ def land(spark, folder, lines, **options):
     number = len(os.listdir(folder + "/topic"))
     with open(f"{folder}/topic/{number}.txt", "w") as f:
         f.write("\n".join(lines) + "\n")
-    landing_job.start_landing(
+    job = landing_job.start_landing(
         spark.readStream.text(folder + "/topic"), folder + "/sensors", folder + "/checkpoint",
         interval=None, arrival=F.lit(ARRIVAL).cast("timestamp"), **options,
-    ).awaitTermination()
+    )
+    job.awaitTermination()
+    return job
 
 
 def part_files(root):
@@ -40,7 +42,9 @@ def part_files(root):
 
 def test_lines_land_unchanged_by_factory_and_arrival_date(spark, folder):
     lines = [line(1), line(2, ("factory_id",)), line(3, factory_id=None), "{broken"]
-    land(spark, folder, lines)
+    job = land(spark, folder, lines)
+    seen = [p.observedMetrics["landed"] for p in job.recentProgress if p.observedMetrics]
+    assert (sum(m.lines for m in seen), sum(m.unknown_factory for m in seen)) == (4, 3)
     root = folder + "/sensors"
     assert os.path.isdir(root + "/factory_id=FAB-SP-01/year=2024/month=06/day=07")
     landed = spark.read.text(root)

@@ -11,7 +11,8 @@ from plantlake import session
 from plantlake.functions.scalars import clamp, display_name, padded, round_robin
 from plantlake.operators import gold, silver
 from plantlake.plans import feeds
-from plantlake.plans.daily import run_daily
+from plantlake.plans.daily import run_daily, silver_to_gold
+from plantlake.sinks.files import BY_MONTH, write_silver
 from plantlake.sinks.serving import counted, serving_options
 from plantlake.sources import files
 
@@ -29,6 +30,28 @@ def test_daily_chain_equals_the_direct_plan_and_reruns_safely(spark, sf_dir, fol
         assert_same(direct.select(*rounded), files.gold(spark, paths[1]).select(*rounded))
 
 
+def test_recomputing_recent_months_is_exact_and_leaves_the_rest(spark, folder):
+    silver_path, gold_path = folder + "/silver", folder + "/gold"
+    months = [reading(m, timestamp=f"2024-{m:02d}-03T00:00:00+00:00") for m in (3, 4, 5)]
+    late = reading(9, timestamp="2024-04-03T00:10:00+00:00", value=90.0)
+
+    def write(*rows):
+        clean = silver.clean(events(spark, *rows))
+        write_silver(clean, silver_path, partition_by=BY_MONTH)
+        return files.silver(spark, silver_path)
+
+    silver_to_gold(write(*months), gold_path)
+    march = gold_path + "/year=2024/month=3/factory_id=FAB-SP-01"
+    untouched = sorted(os.listdir(march))
+    rows = write(*months, late)
+    silver_to_gold(rows, gold_path, since="2024-04")
+    assert sorted(os.listdir(march)) == untouched
+    assert_same(gold.hourly(rows), files.gold(spark, gold_path))
+    recent = rows.filter(F.col("year") * 100 + F.col("month") >= 202404)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "month" in plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+
+
 def test_daily_chain_stops_without_sensor_rows(spark, folder):
     empty = events(spark, reading(1, sensor_id=None))
     assert run_daily(spark, empty, folder + "/s", folder + "/g") is False
