@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 from plantlake import schemas
 from plantlake.functions.records import decode_events, encode_events
-from plantlake.functions.scalars import clamp, lookup
+from plantlake.functions.scalars import clamp, event_time, lookup
 from plantlake.operators import alerts, bronze, gold, quality, registry, silver
 from plantlake.plans import feeds, ingest
 from plantlake.plans.daily import run_daily
 from plantlake.session import fresh_path, pin_utc
 from plantlake.sinks import files as sinks
+from plantlake.sinks.serving import counted
 from plantlake.sources import files as sources
 from plantlake.streaming import alerts_job, landing_job
 
@@ -173,6 +174,17 @@ def erp_landing(spark, sf_dir):
     return sources.erp(spark, path)
 
 
+@query
+def erp_ingest(spark, sf_dir):
+    """One day from the table to its Bronze folder, twice: the rerun replaces."""
+    path = fresh_path(spark, "erp")
+    for _ in range(2):
+        landed = ingest.ingest_erp(_erp(spark, sf_dir), EXTRACT_DAY, path)
+    if not landed:  # a day without events leaves no folder
+        return spark.createDataFrame([], sources.ERP_LANDED)
+    return sources.erp(spark, path)
+
+
 @query
 def bronze_retention(spark, sf_dir):
     path = fresh_path(spark, "erp")
@@ -223,6 +235,32 @@ def silver_clean(spark, sf_dir):
     return _silver(spark, sf_dir)
 
 
+@query
+def silver_scan(spark, sf_dir):
+    """Silver written as flat JSON and read back with its layout."""
+    path = fresh_path(spark, "silver")
+    sinks.write_silver(_silver(spark, sf_dir), path)
+    return sources.silver(spark, path)
+
+
+@query
+def silver_explore(spark, sf_dir):
+    """The same files with an inferred schema; times are parsed again."""
+    path = fresh_path(spark, "silver")
+    sinks.write_silver(_silver(spark, sf_dir), path, max_files=4)
+    inferred = sources.explore(spark, path)
+    numbers = {c: F.col(c).cast("int") for c in ("battery_level", "signal_strength", "year", "month", "day")}
+    return inferred.withColumns({"timestamp": event_time(), **numbers})
+
+
+@query
+def silver_by_month(spark, sf_dir):
+    """Silver partitioned by year, month and factory."""
+    path = fresh_path(spark, "silver")
+    sinks.write_silver(_silver(spark, sf_dir), path, partition_by=sinks.BY_MONTH)
+    return sources.silver(spark, path)
+
+
 @query
 def silver_dedup(spark, sf_dir):
     return _flat_metadata(silver.dedup(_events(spark, sf_dir)))
@@ -275,6 +313,14 @@ def gold_scan(spark, sf_dir):
     return sources.gold(spark, path)
 
 
+@query
+def gold_export_count(spark, sf_dir):
+    """Rows written, counted by the pass that writes them."""
+    rows, seen = counted(_gold(spark, sf_dir))
+    sinks.write_gold(rows, fresh_path(spark, "gold"))
+    return spark.range(1).select(F.lit(seen.get["rows"]).alias("rows"))
+
+
 @query
 def gold_by_factory_month(spark, sf_dir):
     """One factory and month, read from its folder only, working hours."""

@@ -482,6 +482,9 @@ flagged AS (
             UNION ALL BY NAME
             SELECT {MAINTENANCE_COLUMNS}, 'maintenance' AS feed FROM mnt"""),
         "erp_extract": _with(ERP, f"SELECT {ERP_ROWS} FROM erp WHERE event_date = {day}"),
+        "erp_ingest": _with(ERP, f"""
+            SELECT {ERP_ROWS}, strftime(erp.event_date, '%Y-%m-%d') AS run_date FROM erp
+            WHERE erp.event_date = {day}"""),
         "erp_landing": _with(ERP, f"""SELECT {ERP_ROWS},
             strftime(date_trunc('month', erp.event_date), '%Y-%m-%d') AS run_date FROM erp"""),
         "bronze_retention": _with(ERP, f"""
@@ -505,7 +508,10 @@ flagged AS (
             SELECT {EVENT_COLUMNS}, metadata.firmware_version AS firmware_version,
               TRY_CAST(metadata.battery_level AS INTEGER) AS battery_level,
               TRY_CAST(metadata.signal_strength AS INTEGER) AS signal_strength FROM ev"""),
-        "silver_clean": _with(SILVER, "SELECT * REPLACE (round(value, 6) AS value) FROM sv"),
+        **{
+            name: _with(SILVER, "SELECT * REPLACE (round(value, 6) AS value) FROM sv")
+            for name in ("silver_clean", "silver_scan", "silver_explore", "silver_by_month")
+        },
         "silver_dedup": _with(EVENTS, f"""
             SELECT {DECODED} FROM (
               SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY "timestamp" NULLS FIRST,
@@ -532,6 +538,7 @@ flagged AS (
             ORDER BY gold.criticality_score DESC NULLS LAST, equipment_id, factory_id,
               measurement_type, timestamp_hour LIMIT 10"""),
         "gold_scan": _with(HOURLY, gold_rows),
+        "gold_export_count": _with(HOURLY, "SELECT count(*) AS rows FROM gold"),
         "gold_by_factory_month": _with(HOURLY, f"""{gold_rows}
             WHERE factory_id = 'FAB-SP-01' AND year = 2024 AND month = 1 AND hour BETWEEN 8 AND 17"""),
         "dash_factory": _with(

@@ -13,6 +13,9 @@ from plantlake import schemas
 #: Silver's JSON keeps microseconds; the default writer would cut them.
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+ERP_LANDED = schemas.ERP + ", run_date date"
+MAINTENANCE_LANDED = schemas.MAINTENANCE + ", landed_at timestamp, run_date date"
+
 
 def mixed_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Everything below a tree that holds feeds of several layouts.
@@ -51,6 +54,15 @@ def silver(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return reader.option("timestampFormat", JSON_TIME).json(path) if fmt == "json" else reader.parquet(path)
 
 
+def explore(spark: SparkSession, path: str) -> DataFrame:
+    """JSON of unknown layout with the schema Spark infers, for looking around.
+
+    Inference reads everything once more, widens ints to long, leaves times as
+    text and loses columns that are always null; jobs use the readers above.
+    """
+    return spark.read.json(path)
+
+
 def gold(spark: SparkSession, path: str) -> DataFrame:
     """Partitioned Gold with ``year``, ``month`` and ``factory_id`` from the folders."""
     return spark.read.schema(schemas.GOLD).parquet(path)
@@ -70,13 +82,13 @@ def factories(spark: SparkSession, path: str) -> DataFrame:
 
 def erp(spark: SparkSession, path: str) -> DataFrame:
     """Landed ERP records with their ``run_date`` partition."""
-    return spark.read.schema(schemas.ERP + ", run_date date").json(path)
+    return spark.read.schema(ERP_LANDED).json(path)
 
 
 def maintenance(spark: SparkSession, path: str) -> DataFrame:
     """Landed maintenance records with landing time and ``run_date`` partition."""
-    layout = schemas.MAINTENANCE + ", landed_at timestamp, run_date date"
-    return spark.read.schema(layout).option("timestampFormat", JSON_TIME).json(path)
+    reader = spark.read.schema(MAINTENANCE_LANDED)
+    return reader.option("timestampFormat", JSON_TIME).json(path)
 
 
 def maintenance_snapshot(spark: SparkSession, path: str) -> DataFrame:

@@ -195,6 +195,28 @@ def test_registry_ranges_can_replace_the_flag(spark):
     assert (out.event_count, out.anomaly_count, out.alert_level) == (2, 1, "critical")
 
 
+def test_stream_joins_the_registry_by_broadcast_and_by_salted_shuffle(spark, folder):
+    ranges = spark.createDataFrame(
+        [("EQ-0001", "SENS-00001", 30.0, 70.0)],
+        "equipment_id string, sensor_id string, normal_min double, normal_max double",
+    )
+    os.makedirs(folder + "/topic")
+    with open(folder + "/topic/1.txt", "w") as f:
+        f.write("\n".join([line(1, value=80.0), line(2, value=50.0), line(3, sensor_id="S")]))
+        f.write("\n" + line(4, timestamp=clock("01:00:00")) + "\n")
+    for name, limit in (("broadcast", 10**6), ("salted", 0)):
+        lines = spark.readStream.text(folder + "/topic")
+        flagged = registry.flag_out_of_range(
+            decode_events(lines, schemas.STREAM_EVENT), ranges, max_broadcast_bytes=limit
+        )
+        alerts_job.start_file_sink(
+            alerts.windowed_alerts(flagged, flag="out_of_range"),
+            f"{folder}/{name}", f"{folder}/{name}-checkpoint", interval=None,
+        ).awaitTermination()
+        out = files.alerts(spark, f"{folder}/{name}").collect()
+        assert [(r.event_count, r.anomaly_count, r.alert_level) for r in out] == [(3, 1, "critical")]
+
+
 def test_messages_helper_matches_the_stream_layout(spark):
     decoded = decode_events(messages(spark, [line(1)]), schemas.STREAM_EVENT)
     assert "metadata" not in decoded.columns

@@ -161,3 +161,21 @@ def test_ingest_steps(spark, sf_dir, folder):
         assert ingest.ingest_maintenance(records, day, folder + "/maintenance")
     snapshots = files.maintenance(spark, folder + "/maintenance")
     assert snapshots.select("landed_at").distinct().count() == 2
+
+
+def test_every_job_has_a_command_line():
+    from plantlake.__main__ import options_of, parser
+
+    args = parser().parse_args(
+        ["serve", "--gold", "g", "--url", "jdbc:x:y", "--property", "user=u", "--property", "a=b=c"]
+    )
+    assert options_of(args.property) == {"user": "u", "a": "b=c"}
+    for job in (
+        ["alerts", "--servers", "s", "--path", "p", "--checkpoint", "c", "--console"],
+        ["land", "--servers", "s", "--path", "p", "--checkpoint", "c", "--writers", "4"],
+        ["erp", "--url", "u", "--day", "2024-01-01", "--path", "p"],
+        ["maintenance", "--snapshot", "s", "--day", "2024-01-01", "--path", "p"],
+        ["registry", "--base", "b", "--incoming", "i", "--factories", "f", "--path", "p"],
+        ["gold", "--silver", "s", "--gold", "g", "--since", "2024-04"],
+    ):
+        assert callable(parser().parse_args(job).run)
