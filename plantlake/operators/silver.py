@@ -40,8 +40,9 @@ def dedup(events: DataFrame, keep: str = "first") -> DataFrame:
     """One row per ``event_id``.
 
     ``first`` keeps the smallest row by time, then by the other columns, so
-    reruns and retried tasks agree; ``any`` leaves the choice to Spark. Both
-    combine before the shuffle: a hot id sends one row per map task.
+    reruns and retried tasks agree. ``any`` leaves the choice to Spark and lets
+    it drop columns that are not used later. Both combine before the shuffle: a
+    hot id sends one row per map task.
     """
     if keep == "any":
         return events.dropDuplicates(["event_id"])
