@@ -64,14 +64,17 @@ def maintenance(spark, a):
 
 
 def registry(spark, a):
+    first = spark.createDataFrame([], schemas.EQUIPMENT)
     ingest.build_registry(
-        files.equipment(spark, a.base), files.equipment(spark, a.incoming),
-        files.factories(spark, a.factories), a.path,
+        files.equipment(spark, a.base) if a.base else first,
+        files.equipment(spark, a.incoming),
+        files.factories(spark, a.factories),
+        a.path,
     ).show()
 
 
 def check(spark, a):
-    lines = spark.read.option("recursiveFileLookup", "true").text(a.bronze)
+    lines = files.raw_lines(spark, a.bronze)
     quality.report(quality.inspect(lines), quality.event_rules()).show(truncate=False)
     quality.duplicate_rate(files.mixed_bronze(spark, a.bronze)).show(truncate=False)
 
@@ -99,7 +102,7 @@ def parser() -> argparse.ArgumentParser:
     job(land, "servers", "path", "checkpoint", writers={"type": int})
     job(erp, "url", "day", "path", property=props)
     job(maintenance, "snapshot", "day", "path")
-    job(registry, "base", "incoming", "factories", "path")
+    job(registry, "incoming", "factories", "path", base={"help": "current snapshot, if any"})
     job(check, "bronze")
     return root
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plantlake.operators import bronze, quality, registry
 from plantlake.sinks import files as sinks
+from plantlake.sources.files import equipment
 
 
 def ingest_erp(table: DataFrame, day: str, path: str) -> bool:
@@ -33,5 +34,4 @@ def build_registry(
     complete = registry.denormalize(incoming, factories)
     valid = quality.obeys(quality.equipment_rules())
     sinks.write_documents(registry.upsert(base, complete, valid=valid), path)
-    written = base.sparkSession.read.schema(base.schema).json(path)
-    return registry.sensor_total(written)
+    return registry.sensor_total(equipment(base.sparkSession, path))

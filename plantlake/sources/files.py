@@ -28,6 +28,12 @@ def mixed_bronze(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def raw_lines(spark: SparkSession, root: str) -> DataFrame:
+    """The untyped lines of a sensor tree, as ``value``; blank lines are skipped."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(root)
+    return lines.filter(F.trim("value") != "")
+
+
 def bronze_sensors(
     spark: SparkSession,
     root: str,

@@ -179,3 +179,28 @@ def test_every_job_has_a_command_line():
         ["gold", "--silver", "s", "--gold", "g", "--since", "2024-04"],
     ):
         assert callable(parser().parse_args(job).run)
+
+
+def test_registry_job_builds_and_updates_snapshots(spark, sf_dir, folder):
+    from plantlake.__main__ import main
+    from plantlake.sinks.files import write_documents
+
+    write_documents(feeds.equipment(feeds.table(spark, sf_dir, "customer")), folder + "/in")
+    write_documents(feeds.factories(feeds.table(spark, sf_dir, "supplier")), folder + "/factories")
+    shared = ["registry", "--incoming", folder + "/in", "--factories", folder + "/factories"]
+    main([*shared, "--path", folder + "/first"])
+    main([*shared, "--base", folder + "/first", "--path", folder + "/second"])
+    first, second = files.equipment(spark, folder + "/first"), files.equipment(spark, folder + "/second")
+    assert first.count() > 0
+    assert_same(first, second)
+
+
+def test_raw_lines_skip_blank_ones(spark, folder):
+    os.makedirs(folder + "/factory_id=A")
+    with open(folder + "/factory_id=A/a.json", "w") as f:
+        f.write('{"event_id": 1}\n\n   \n{broken\n')
+    assert sorted(r.value for r in files.raw_lines(spark, folder).collect()) == ['{"event_id": 1}', "{broken"]
+
+
+def test_an_unset_folder_reads_as_none(spark):
+    assert spark.conf.get("spark.sql.streaming.checkpointLocation", None) is None
