@@ -52,3 +52,8 @@ def sized_broadcast(df: DataFrame, row_bytes: int, limit: int = 32 * 1024 * 1024
     if df.count() * row_bytes <= limit:
         return F.broadcast(df)
     return df.hint("merge")
+
+
+def small_batches(spark, rows: int = 1000) -> None:
+    """Texts are long: fewer rows at once between Spark and its Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import exactdedup, mixing, sharding, urlfilter
+from plantlake.llm import bpe, exactdedup, mixing, sharding, urlfilter
 from plantlake.llm.common import stored, table
 from plantlake.session import fresh_path
 
@@ -156,3 +156,18 @@ ORACLE["op10_exact_dedup"] = """
       doc_id = max(doc_id) OVER g AS kept, text_sha256
     FROM d WINDOW g AS (PARTITION BY text_sha256)
     """
+
+# --- 8: BPE encoding and decoding --------------------------------------------
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op8_bpe(spark, sf_dir):
+    """Every document's ids and what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary()), vocabulary()))
