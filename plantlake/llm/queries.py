@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import bpe, exactdedup, mixing, sharding, urlfilter
+from plantlake.llm import bpe, exactdedup, jaccard, mixing, sharding, urlfilter
 from plantlake.llm.common import stored, table
 from plantlake.session import fresh_path
 
@@ -171,3 +171,31 @@ def op8_bpe(spark, sf_dir):
     """Every document's ids and what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary()), vocabulary()))
+
+# --- 4: n-gram Jaccard join --------------------------------------------------
+
+
+@query
+def op4_ngram_jaccard(spark, sf_dir):
+    """Every document's near-duplicate component."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_ngram_jaccard"] = r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+      FROM documents),
+    g AS (
+      SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS i FROM w WHERE len(ws) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    o AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+      FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS (
+      SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id AND r.root < l.b)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(root) FROM r WHERE r.id = d.doc_id) AS component_id
+    FROM documents d LEFT JOIN n USING (doc_id)
+    """
