@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import bpe, exactdedup, jaccard, mixing, sharding, urlfilter
+from plantlake.llm import bpe, exactdedup, jaccard, linededup, mixing, sharding, urlfilter
 from plantlake.llm.common import stored, table
 from plantlake.session import fresh_path
 
@@ -199,3 +199,32 @@ ORACLE["op4_ngram_jaccard"] = r"""
     SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(root) FROM r WHERE r.id = d.doc_id) AS component_id
     FROM documents d LEFT JOIN n USING (doc_id)
     """
+
+# --- 5: line dedup -----------------------------------------------------------
+
+
+@query
+def op5_line_dedup(spark, sf_dir):
+    """Every document without the lines that a later document repeats for it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = linededup.LineIndex(spark, fresh_path(spark, "line-index"))
+    index.insert(docs)
+    return index.apply(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op5_line_dedup"] = r"""
+    WITH l AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+      FROM documents),
+    k AS (
+      SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    m AS (SELECT k.*, c.key IS NOT NULL AND doc_id <> last AS gone FROM k LEFT JOIN c USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+    """
