@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import bpe, exactdedup, jaccard, linededup, mixing, sharding, urlfilter
+from plantlake.llm import ann, bpe, exactdedup, jaccard, linededup, mixing, quality, sharding, urlfilter
 from plantlake.llm.common import stored, table
 from plantlake.session import fresh_path
 
@@ -228,3 +228,21 @@ ORACLE["op5_line_dedup"] = r"""
       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
     FROM m GROUP BY doc_id
     """
+
+# --- 3: quality classifier ---------------------------------------------------
+
+
+@query
+def op3_quality_classifier(spark, sf_dir):
+    """Every document's quality and toxicity; hosts are sources, paths their languages."""
+    return quality.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang")
+    )
+
+# --- 1: approximate nearest neighbours ---------------------------------------
+
+
+@query
+def op1_nearest(spark, sf_dir):
+    """The ten nearest vectors of every hundredth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
