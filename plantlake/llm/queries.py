@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import ann, bpe, exactdedup, jaccard, linededup, mixing, quality, sharding, urlfilter
+from plantlake.llm import ann, bpe, exactdedup, jaccard, linededup, mixing, quality, sharding, substrings, urlfilter
 from plantlake.llm.common import stored, table
 from plantlake.session import fresh_path
 
@@ -246,3 +246,11 @@ def op3_quality_classifier(spark, sf_dir):
 def op1_nearest(spark, sf_dir):
     """The ten nearest vectors of every hundredth one."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+# --- 7: substring dedup ------------------------------------------------------
+
+
+@query
+def op7_substring_dedup(spark, sf_dir):
+    """Every passage of 50 words or more that an earlier document holds as well."""
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
