@@ -31,10 +31,11 @@ from plantlake.llm.common import small_batches, stored
 #: Size of the word table that every task gets, about.
 TABLE_BYTES = 64 * 1024 * 1024
 #: Distinct words a task holds before it hands its counts on, and looked-up words it remembers.
-COUNTED_WORDS = 200_000
-CACHED_WORDS = 200_000
-#: Words encoded by one call.
-ENCODED_AT_ONCE = 20_000
+COUNTED_WORDS = 100_000
+CACHED_WORDS = 100_000
+#: Words encoded by one call, and words of the texts that are put together at a time.
+ENCODED_AT_ONCE = 2_000
+GROUPED_WORDS = 50_000
 
 
 def split_words(text: str) -> list[bytes]:
@@ -153,37 +154,68 @@ def build_table(docs: DataFrame, definition: str, limit: int = TABLE_BYTES) -> W
     return table
 
 
+def _grouped(texts: pa.Array) -> Iterator[list[list[bytes]]]:
+    """The words of the texts, a bounded number of words at a time, one text at least."""
+    group: list[list[bytes]] = []
+    size = 0
+    for text in texts:
+        group.append(split_words(text.as_py() or ""))
+        size += len(group[-1])
+        if size >= GROUPED_WORDS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _text_of(ids: bytes, known: np.ndarray) -> str:
+    """Joins ids with the pieces: known[i] is the piece of id i."""
+    return " ".join(known[np.frombuffer(ids, dtype="<u4")])
+
+
 class Encoder:
     """Encodes texts against a word table built from the same corpus."""
 
     def __init__(self, spark: SparkSession, definition: str, table: WordTable):
         self.definition = definition
         self.table = spark.sparkContext.broadcast(table.arrays)
+        self.pieces = spark.sparkContext.broadcast(pieces(definition))
 
-    def ids(self, text: Column) -> Column:
-        """The text's ids as consecutive little-endian unsigned 32-bit integers."""
-        definition, shipped = self.definition, self.table
+    def coded(self, text: Column, with_text: bool) -> Column:
+        """struct of ids (consecutive little-endian unsigned 32-bit integers) and decoded.
 
-        @F.arrow_udf("binary")
-        def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            table, known, cache = WordTable(*shipped.value), tokenizer(definition), {}
+        ``decoded`` is made from the ids, or null unless ``with_text``. One
+        worker does both, so that a task needs no second one.
+        """
+        definition, shipped, shipped_pieces = self.definition, self.table, self.pieces
+
+        @F.arrow_udf("struct<ids: binary, decoded: string>")
+        def code(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            table, known = WordTable(*shipped.value), tokenizer(definition)
+            names = np.array(shipped_pieces.value, dtype=object)
+            cache: dict[bytes, bytes] = {}
             for part in parts:
-                texts = [split_words(t or "") for t in part.to_pylist()]
-                new = [w for w in {w: None for ws in texts for w in ws} if w not in cache]
-                if len(cache) + len(new) > CACHED_WORDS:
-                    cache = {}
-                    new = list({w: None for ws in texts for w in ws})
-                hashed = np.fromiter(map(word_hash, new), dtype=np.uint64, count=len(new))
-                places = table.find(hashed).tolist()
-                for word, place in zip(new, places, strict=True):
-                    if place >= 0:
-                        cache[word] = table.ids_at(place).tobytes()
-                alone = [w for w, place in zip(new, places, strict=True) if place < 0]
-                for word, ids in zip(alone, encode_words(known, alone), strict=True):
-                    cache[word] = ids.tobytes()
-                yield pa.array([b"".join(map(cache.__getitem__, ws)) for ws in texts], pa.binary())
-
-        return encode(text)
+                ids: list[bytes] = []
+                for group in _grouped(part):
+                    words = {w for ws in group for w in ws}
+                    if len(cache) + len(words) > CACHED_WORDS:
+                        cache = {}
+                    new = [w for w in words if w not in cache]
+                    hashed = np.fromiter(map(word_hash, new), dtype=np.uint64, count=len(new))
+                    places = table.find(hashed).tolist()
+                    for word, place in zip(new, places, strict=True):
+                        if place >= 0:
+                            cache[word] = table.ids_at(place).tobytes()
+                    alone = [w for w, place in zip(new, places, strict=True) if place < 0]
+                    for word, found in zip(alone, encode_words(known, alone), strict=True):
+                        cache[word] = found.tobytes()
+                    ids += [b"".join(map(cache.__getitem__, ws)) for ws in group]
+                texts = [_text_of(x, names) if with_text else None for x in ids]
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["ids", "decoded"]
+                )
+
+        return code(text)
 
 
 def pieces(definition: str) -> list[str]:
@@ -200,29 +232,37 @@ def decoded(ids: Column, spark: SparkSession, definition: str) -> Column:
     def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = np.array(shipped.value, dtype=object)
         for part in parts:
-            yield pa.array(
-                [" ".join(known[np.frombuffer(x or b"", dtype="<u4")]) for x in part.to_pylist()],
-                pa.string(),
-            )
+            yield pa.array([_text_of(x.as_py() or b"", known) for x in part], pa.string())
 
     return decode(ids)
 
 
-def encode(docs: DataFrame, vocabulary: str, limit: int = TABLE_BYTES) -> DataFrame:
-    """``docs`` with ``ids`` (packed, see :meth:`Encoder.ids`) and ``n_tokens``.
+def encode(
+    docs: DataFrame, vocabulary: str, limit: int = TABLE_BYTES, with_text: bool = False
+) -> DataFrame:
+    """``docs`` with ``ids`` (packed, see :meth:`Encoder.coded`) and ``n_tokens``.
+
+    ``with_text`` adds ``decoded``, what :func:`decode` would make of the ids.
 
     ``vocabulary`` is a tokenizers file whose encoding drops white space and
     never joins across it. A null or empty text has no ids. Special tokens
-    written in a text get their ids, as the library gives them. Columns named
-    ids or n_tokens are replaced.
+    written in a text get their ids, as the library gives them. Columns of
+    these names are replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
     with open(vocabulary, encoding="utf-8") as file:
         definition = file.read()
     encoder = Encoder(spark, definition, build_table(docs, definition, limit))
-    out = docs.withColumn("ids", encoder.ids(F.col("text")))
-    return out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+    made = F.struct(F.struct("*").alias("doc"), encoder.coded(F.col("text"), with_text).alias("coded"))
+    coded = docs.select(made.alias("row")).select("row.doc", "row.coded.*")
+    new = {
+        "ids": F.col("ids"),
+        "n_tokens": (F.octet_length("ids") / 4).cast("long"),
+        **({"decoded": F.col("decoded")} if with_text else {}),
+    }
+    old = [F.col(f"doc.`{c}`") for c in docs.columns if c not in new]
+    return coded.select(*old, *[c.alias(name) for name, c in new.items()])
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

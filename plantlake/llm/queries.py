@@ -170,7 +170,7 @@ def vocabulary() -> str:
 def op8_bpe(spark, sf_dir):
     """Every document's ids and what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, vocabulary()), vocabulary()))
+    return bpe.digests(bpe.encode(docs, vocabulary(), with_text=True))
 
 # --- 4: n-gram Jaccard join --------------------------------------------------
 
