@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantlake.llm.common import sized_broadcast, small_batches, stored
+from plantlake.llm.common import WORD, sized_broadcast, small_batches, stored, whole_text
 from plantlake.llm.components import components
 from plantlake.llm.shingles import SHINGLE_WORDS, Shingler, set_key
 
@@ -81,7 +81,7 @@ def head_size(n: int, percent: int) -> int:
 
 
 def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """row, doc_id, n, key, head (n-grams from rare to frequent) for every document."""
+    """row, doc_id, digest, n, key, head (n-grams from rare to frequent) for every document."""
     grams, levels = _ranks(docs, words)
     ranks = docs.sparkSession.sparkContext.broadcast((grams, levels))
 
@@ -100,12 +100,15 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 head = head_size(own.size, percent) if own.size else 0
                 heads.append(own[np.argsort(level, kind="stable")][:head].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(heads, pa.list_(pa.int64()))],
-                ["doc_id", "n", "key", "head"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.binary()), pa.array(heads, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "n", "key", "head"],
             )
 
-    out = docs.mapInArrow(sketch, "doc_id long, n long, key binary, head array<long>")
+    named = docs.withColumn("digest", text_digest(F.col("text")))
+    out = named.mapInArrow(
+        sketch, "doc_id long, digest binary, n long, key binary, head array<long>"
+    )
     return stored(out.withColumn("row", F.monotonically_increasing_id()), "jaccard-sketches")
 
 
@@ -125,6 +128,10 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(sets, "key binary, grams array<long>")
 
 
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(whole_text(text)))
+
+
 def _linked(n1: Column, n2: Column, overlap: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (n1 + n2 - overlap)
 
@@ -157,19 +164,10 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT
-) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
-
-    Two texts link when 100 * intersection >= percent * union of their shingle
-    sets. component_id is the smallest doc_id reachable by links, the row's own
-    included. A null, empty or blank text has no shingles and no links; its
-    component is its own doc_id. Equal texts link. Null ids take part; they are
-    never the smallest unless all are null. An empty table gives no rows.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """row, doc_id, digest, n, comp, component_id; comp is null for rows without shingles."""
     small_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = _sketches(docs, words, percent)
     classes = stored(
         sketches.where("n > 0").groupBy("key").agg(
@@ -181,11 +179,56 @@ def near_duplicates(
     placed = classes.join(labels, "node", "left").select(
         "key", "first", F.coalesce("comp", "node").alias("comp")
     )
-    least = placed.groupBy("comp").agg(F.min("first").alias("component_id"))
-    placed = placed.join(least, "comp").select("key", "component_id")
-    found = sketches.select("doc_id", "n", "key").join(placed, "key", "left")
-    alone = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
+    least = placed.groupBy("comp").agg(F.min("first").alias("least"))
+    placed = placed.join(least, "comp").select("key", "comp", "least")
+    found = sketches.select("row", "doc_id", "digest", "n", "key").join(placed, "key", "left")
+    has = F.col("n") > 0
+    return found.select(
+        "row", "doc_id", "digest", "n", F.when(has, F.col("comp")).alias("comp"),
+        F.when(has, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
+
+    Two texts link when 100 * intersection >= percent * union of their shingle
+    sets. component_id is the smallest doc_id reachable by links, the row's own
+    included. A null, empty or blank text has no shingles and no links; its
+    component is its own doc_id. Equal texts link. Null ids take part; they are
+    never the smallest unless all are null. An empty table gives no rows.
+    ``docs`` is read more than once and must give the same rows each time.
+    """
+    judged = _judged(docs, words, percent)
+    return judged.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def deduplicate(
+    docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """One document of each component stays, with all its columns: the smallest doc_id.
+
+    Documents without shingles have no duplicates and stay. Of rows that repeat
+    an id within a component one stays; null ids stay only where all are null.
+    """
+    judged = stored(_judged(docs, words, percent), "jaccard-judged")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "digest"))
+    full = judged.where("comp is not null").groupBy("comp").agg(first.alias("first"))
+    keep = full.select(F.col("first.doc_id").alias("keep_id"), F.col("first.digest").alias("keep_digest"))
+    packed = docs.select(
+        F.col("doc_id").cast("long").alias("id"), text_digest(F.col("text")).alias("digest"),
+        F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("full"), F.struct("*").alias("doc"),
+    )
+    repeats = judged.where("comp is not null").groupBy("doc_id", "digest").count().where("count > 1")
+    if not repeats.isEmpty():
+        packed = packed.where("not full").unionByName(
+            packed.where("full").dropDuplicates(["id", "digest"])
+        )
+    same = packed["id"].eqNullSafe(keep["keep_id"]) & (packed["digest"] == keep["keep_digest"])
+    met = packed.join(keep.withColumn("stays", F.lit(True)), same, "left")
+    return met.where("not full or stays").select("doc.*")
 
 
 def _component_labels(docs, sketches, classes, words: int, percent: int) -> DataFrame:
@@ -266,3 +309,4 @@ def _all_pairs(cells: DataFrame, percent: int) -> DataFrame:
         & _linked(F.col("nx"), F.col("ny"), most, percent)
     )
     return met.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
+
