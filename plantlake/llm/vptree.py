@@ -45,15 +45,15 @@ class VPTree:
                 nodes[parent][3 + side] = me
             if end - start <= LEAF:
                 continue
-            rows = order[start:end]
-            far = distances(points[rows[:1]], points[rows])[0].argmax()
-            away = distances(points[rows[far]][None], points[rows])[0]
+            rows = order[start:end].copy()
+            vantage = int(rows[distances(points[rows[:1]], points[rows])[0].argmax()])
+            away = distances(points[vantage][None], points[rows])[0]
             ranked = np.argsort(away, kind="stable")
             if away[ranked[-1]] == 0:  # all alike
                 continue
             order[start:end], away = rows[ranked], away[ranked]
             middle = (end - start) // 2
-            nodes[me][2] = int(rows[far])
+            nodes[me][2] = vantage
             reach[me] = [away[0], away[middle - 1], away[middle], away[-1]]
             todo += [(start, start + middle, me, 0), (start + middle, end, me, 1)]
         return cls(points, order, np.array(nodes, dtype=np.int64).reshape(-1, 5), np.array(reach).reshape(-1, 4))
