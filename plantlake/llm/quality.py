@@ -285,12 +285,15 @@ def _strength(groups: DataFrame, rate: Column | float, n: str, s: str) -> float:
     return float(min(max(row["most"] / row["spread"] - 1, STRENGTH[0]), STRENGTH[1]))
 
 
-def site_rates(scored: DataFrame, targets: int) -> DataFrame:
+def site_rates(scored: DataFrame, prior: list[float]) -> DataFrame:
     """host, path, rates (array): the posterior rate of each target on each path.
 
-    ``scored`` has host, path and evidence. Null hosts and paths are a site of their own.
+    ``scored`` has host, path and evidence; ``prior`` is the log odds of each
+    target among labelled rows, with which evidence becomes a probability.
+    Null hosts and paths are a site of their own.
     """
-    soft = [_sigmoid(F.col("evidence")[k] + F.lit(0.0)) for k in range(targets)]
+    targets = len(prior)
+    soft = [_sigmoid(F.col("evidence")[k] + F.lit(float(prior[k]))) for k in range(targets)]
     paths = stored(
         scored.groupBy("host", "path").agg(
             F.count("*").alias("n"), *[F.sum(p).alias(f"s{k}") for k, p in enumerate(soft)]
@@ -332,10 +335,10 @@ def _posterior(k: int) -> Column:
 
 
 def _kept(targets) -> Column:
-    """Every target more likely than not on the side that is kept."""
+    """No target more likely than not on the side that goes."""
     ok = F.lit(True)
     for k, t in enumerate(targets):
-        ok = ok & ((_posterior(k) >= 0.5) if t.keep else (_posterior(k) < 0.5))
+        ok = ok & ((_posterior(k) >= 0.5) if t.keep else (_posterior(k) <= 0.5))
     return ok
 
 
@@ -354,13 +357,13 @@ def classify(
     ``labels`` has doc_id and a 0/1 column per target; other values and null
     ids say nothing, and an id labelled twice counts once, with its larger
     label. Without labels of both kinds a target has no evidence, every
-    probability is even, and quality is kept. Null and empty texts are scored
+    probability is even, and all is kept. Null and empty texts are scored
     as such. An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     evidence = Evidence.fit(docs, labels, targets, sample_rows)
     scored = stored(_scored(docs, evidence, host, path, F.col("doc_id")), "quality-scores")
-    judged = _with_rates(scored, site_rates(scored, len(targets)))
+    judged = _with_rates(scored, site_rates(scored, evidence.prior))
     columns = []
     for k, t in enumerate(targets):
         columns += [F.col("evidence")[k].alias(f"{t.label}_evidence"), _posterior(k).alias(f"p_{t.label}")]
@@ -374,6 +377,6 @@ def accepted(
     """The documents that :func:`classify` keeps, with all their columns."""
     small_batches(docs.sparkSession)
     evidence = Evidence.fit(docs, labels, targets, sample_rows)
-    rates = site_rates(_scored(docs, evidence, host, path), len(targets))
+    rates = site_rates(_scored(docs, evidence, host, path), evidence.prior)
     whole = _scored(docs, evidence, host, path, F.struct("*").alias("doc"))
     return _with_rates(whole, rates).where(_kept(targets)).select("doc.*")
