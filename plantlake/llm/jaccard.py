@@ -36,18 +36,20 @@ GATHERED = 4_000_000
 FREQUENT = 16
 #: Frequent n-grams whose rank every task knows. Only the order of columns depends on it.
 RANKED = 1_000_000
-#: Rounds against leaders before all classes that are left meet.
-LEADER_ROUNDS = 4
+#: All classes that are left meet once that is no more than so many pairs per matrix cell;
+#: rounds against leaders go before it.
+MEETINGS_PER_CELL = 4
+MAX_LEADER_ROUNDS = 12
 
 
 def _frequencies(docs: DataFrame, words: int) -> DataFrame:
-    """gram, n: n-grams seen more than once by a task, with how often (lossy counting)."""
+    """gram, n: n-grams that a task meets more than once, with how often (lossy counting)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, held, size = Shingler(words), [], 0
         for batch in batches:
             for text in batch.column(0):
-                held.append(shingler.set(text.as_py()))
+                held.append(shingler.grams(shingler.words(text.as_py())))
                 size += held[-1].size
                 if size >= GATHERED:
                     yield repeated(held)
@@ -141,14 +143,58 @@ def _may_link(n1: Column, n2: Column, percent: int) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of (a, b), the pairs that link: the product over all columns."""
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+def _head_linked(n1: Column, n2: Column, common: Column, percent: int) -> Column:
+    """What two heads must share if the sets link.
+
+    Up to the smaller of the last columns of the two heads, one head is
+    complete: what it misses there, the overlap misses as well.
+    """
+    needed = F.ceil(percent * (n1 + n2) / (100 + percent))
+    return common >= needed - F.ceil(percent * F.greatest(n1, n2) / 100) + 1
+
+
+def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b), the pairs whose heads share enough: the product over the head block."""
+    left = sketches.select(F.col("row").alias("a"), F.col("head").alias("ha"), F.col("n").alias("na"))
+    right = sketches.select(F.col("row").alias("b"), F.col("head").alias("hb"), F.col("n").alias("nb"))
     met = pairs.join(left, "a").join(right, "b")
-    overlap = F.size(F.array_intersect("ga", "gb")).cast("long")
-    linked = _linked(F.size("ga").cast("long"), F.size("gb").cast("long"), overlap, percent)
-    return met.where(linked).select("a", "b")
+    common = F.size(F.array_intersect("ha", "hb")).cast("long")
+    may = _may_link(F.col("na"), F.col("nb"), percent)
+    return met.where(may & _head_linked(F.col("na"), F.col("nb"), common, percent)).select("a", "b")
+
+
+class _Verifier:
+    """Multiplies pairs over all columns; reads each text's whole set once it is asked for."""
+
+    def __init__(self, docs: DataFrame, sketches: DataFrame, words: int, percent: int):
+        self.docs, self.sketches, self.words, self.percent = docs, sketches, words, percent
+        self.sets: DataFrame | None = None
+
+    def _ask(self, nodes: DataFrame) -> None:
+        if self.sets is not None:
+            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
+        ids = self.sketches.select(F.col("row").alias("node"), "doc_id", "key")
+        named = stored(nodes.join(ids, "node"), "jaccard-named")
+        if named.isEmpty():
+            return
+        wanted = sized_broadcast(named.select(F.col("doc_id").alias("wanted")).distinct(), 16)
+        texts = self.docs.join(wanted, self.docs["doc_id"].eqNullSafe(wanted["wanted"]), "left_semi")
+        found = _sets(texts, self.words).join(named.select("key", "node"), "key")
+        new = stored(found.dropDuplicates(["node"]).select("node", "grams"), "jaccard-sets")
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Of (a, b), the pairs that link."""
+        pairs = stored(_plausible(pairs, self.sketches, self.percent), "jaccard-pairs")
+        self._ask(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        if self.sets is None:
+            return pairs
+        left = self.sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+        right = self.sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+        met = pairs.join(left, "a").join(right, "b")
+        overlap = F.size(F.array_intersect("ga", "gb")).cast("long")
+        linked = _linked(F.size("ga").cast("long"), F.size("gb").cast("long"), overlap, self.percent)
+        return stored(met.where(linked).select("a", "b"), "jaccard-links")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -236,77 +282,69 @@ def _component_labels(docs, sketches, classes, words: int, percent: int) -> Data
     others = sketches.where("n > 0").select("key", "row").join(
         classes.where("rows > 1").select("key", "node"), "key"
     ).where("row <> node").select("row")
-    heads = sketches.where("n > 0").join(
-        sized_broadcast(others, 16), "row", "left_anti"
-    ).select(F.col("row").alias("node"), "n", F.posexplode("head").alias("pos", "gram"))
-    shared = heads.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = shared.where("lo < hi").select("gram")
+    single = sketches.where("n > 0").join(sized_broadcast(others, 16), "row", "left_anti")
+    heads = single.select(F.col("row").alias("node"), F.posexplode("head").alias("pos", "gram"))
+    shared = heads.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    sizes = sketches.select(F.col("row").alias("node"), "n")
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    cells = stored(heads.join(shared, "gram").withColumn("band", band), "jaccard-cells")
-
+    cells = stored(
+        stored(heads.join(shared, "gram"), "jaccard-shared").join(sizes, "node").withColumn("band", band),
+        "jaccard-cells",
+    )
     labels = stored(
         cells.select("node").distinct().select("node", F.col("node").alias("comp")), "jaccard-labels"
     )
-    ids = classes.select("node", "key").join(labels.select("node"), "node")
-    named = stored(
-        ids.join(sketches.select(F.col("row").alias("node"), "doc_id"), "node"), "jaccard-named"
-    )
-    wanted = named.select(F.col("doc_id").alias("wanted_id")).distinct()
-    texts = docs.join(
-        sized_broadcast(wanted, 16), docs["doc_id"].eqNullSafe(F.col("wanted_id")), "left_semi"
-    )
-    sets = _sets(texts, words).dropDuplicates(["key"]).join(named.select("key", "node"), "key")
-    sets = stored(sets.select("node", "grams"), "jaccard-sets")
-
-    tested = None
-    for _ in range(LEADER_ROUNDS):
-        pairs = _leader_pairs(_open_cells(cells, labels, ["gram", "band"]), percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        # of all leaders, the one that the class overlaps most
-        best = F.max_by("b", F.struct("overlap", -F.col("b")))
-        pairs = stored(pairs.groupBy("a").agg(best.alias("b")), "jaccard-pairs")
-        if pairs.isEmpty():
+    verifier = _Verifier(docs, sketches, words, percent)
+    for turn in range(MAX_LEADER_ROUNDS):
+        known = cells.join(labels, "node")
+        if _meetings(known) <= MEETINGS_PER_CELL * cells.count():
             break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = _relabelled(labels, stored(_verified(pairs, sets, percent), "jaccard-links"))
-    pairs = _all_pairs(_open_cells(cells, labels, ["gram"]), percent)
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    links = stored(_verified(stored(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
+        pairs = stored(_leader_pairs(known, turn, percent), "jaccard-pairs")
+        links = verifier.links(pairs)
+        if not links.isEmpty():
+            labels = _relabelled(labels, links)
+    links = verifier.links(_all_pairs(cells.join(labels, "node"), percent))
     return labels if links.isEmpty() else _relabelled(labels, links)
 
 
-def _open_cells(cells: DataFrame, labels: DataFrame, column: list[str]) -> DataFrame:
-    """The cells of columns where different components meet, with the column's leader."""
-    known = cells.join(labels, "node")
-    lead = known.groupBy(*column).agg(
-        F.min(F.struct("comp", "node", "n")).alias("lead"), F.max("comp").alias("top")
-    )
-    return known.join(lead.where("lead.comp < top").drop("top"), column)
+def _meetings(cells: DataFrame) -> int:
+    """Pairs of different components that meet in a column, over all columns."""
+    sizes = cells.groupBy("gram", "comp").agg(F.count("*").alias("n"))
+    columns = sizes.groupBy("gram").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    total = columns.agg(F.sum((F.col("all").cast("double") ** 2 - F.col("same")) / 2)).first()[0]
+    return total or 0
 
 
-def _leader_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """a, b, overlap: each class with the leaders of its columns, over the head block."""
-    apart = (F.col("comp") != F.col("lead.comp")) & _may_link(F.col("n"), F.col("lead.n"), percent)
-    return (
-        cells.where(apart)
-        .groupBy(F.col("node").alias("a"), F.col("lead.node").alias("b"))
-        .agg(F.count("*").alias("overlap"))
+def _leader_pairs(cells: DataFrame, turn: int, percent: int) -> DataFrame:
+    """a, b: each class with the leader, of other components, that it overlaps most.
+
+    A column has a leader for each size band, drawn by a hash, so that large
+    groups mostly share one and each turn draws another.
+    """
+    drawn = F.xxhash64(F.lit(turn), F.col("node"))
+    lead = cells.groupBy("gram", "band").agg(F.min(F.struct(drawn, "node", "comp", "n")).alias("lead"))
+    lead = lead.select("gram", "band", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "comp", "n")])
+    met = cells.join(lead, ["gram", "band"]).where(
+        (F.col("comp") != F.col("lead_comp")) & _may_link(F.col("n"), F.col("lead_n"), percent)
     )
+    overlaps = met.groupBy("node", "lead_node").agg(F.count("*").alias("overlap"))
+    best = F.max_by("lead_node", F.struct("overlap", "lead_node"))
+    return overlaps.groupBy(F.col("node").alias("a")).agg(best.alias("b"))
 
 
 def _all_pairs(cells: DataFrame, percent: int) -> DataFrame:
     """a, b: classes of different components that meet in a head column and may still link."""
+    several = cells.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    cells = cells.join(several.where("lo < hi").select("gram"), "gram", "left_semi")
     x = cells.select("gram", *[F.col(c).alias(f"{c}x") for c in ("node", "comp", "n", "pos")])
     y = cells.select("gram", *[F.col(c).alias(f"{c}y") for c in ("node", "comp", "n", "pos")])
     longer = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("nodex") > F.col("nodey"))
     # counted from the pair's first common column, no more can overlap than what follows it
-    most = 1 + F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy")) - 1
+    most = F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy"))
     met = x.join(y, "gram").where(
         (F.col("compx") != F.col("compy")) & longer
         & _may_link(F.col("nx"), F.col("ny"), percent)
         & _linked(F.col("nx"), F.col("ny"), most, percent)
     )
-    return met.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct()
-
+    overlaps = met.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
+    return overlaps.agg(F.count("*").alias("overlap")).select("a", "b")
