@@ -14,7 +14,11 @@ from plantlake.sources import files, jdbc, kafka
 from plantlake.streaming import alerts_job, landing_job
 
 
-def options_of(pairs: list[str]) -> dict[str, str]:
+def options_of(pairs: list[str], file: str | None = None) -> dict[str, str]:
+    """KEY=VALUE pairs, those of a file included: secrets stay off the command line."""
+    if file:
+        with open(file, encoding="utf-8") as lines:
+            pairs = [*(x.strip() for x in lines if "=" in x and not x.startswith("#")), *pairs]
     return dict(pair.split("=", 1) for pair in pairs)
 
 
@@ -32,29 +36,43 @@ def gold(spark, a):
 
 
 def chain(spark, a):
-    bronze = files.mixed_bronze(spark, a.bronze) if a.mixed else files.bronze_sensors(spark, a.bronze)
-    daily.run_daily(spark, bronze, a.silver, a.gold, silver_format=a.format)
+    if a.since or a.factory:
+        bronze = files.bronze_sensors(spark, a.bronze, a.factory, a.since)
+    else:
+        bronze = files.mixed_bronze(spark, a.bronze) if a.mixed else files.bronze_sensors(spark, a.bronze)
+    incremental = a.incremental or bool(a.since or a.factory)
+    daily.run_daily(spark, bronze, a.silver, a.gold, silver_format=a.format, incremental=incremental)
 
 
 def serve(spark, a):
-    rows = serve_gold(files.gold(spark, a.gold), a.url, options_of(a.property), a.connections)
+    rows = serve_gold(files.gold(spark, a.gold), a.url, options_of(a.property, a.properties), a.connections)
     print(f"{schemas.SERVING_TABLE}: {rows} rows")
 
 
+def topic_of(a) -> dict:
+    return {
+        "max_offsets": a.max_offsets, "min_partitions": a.min_partitions,
+        "extra": options_of(a.property, a.properties),
+    }
+
+
 def alerts(spark, a):
-    messages = kafka.sensor_topic(spark, a.servers, start="latest")
+    messages = kafka.sensor_topic(spark, a.servers, start="latest", **topic_of(a))
     alerts_job.run_alerts(messages, a.path, a.checkpoint, a.console)
 
 
 def land(spark, a):
-    messages = kafka.sensor_topic(spark, a.servers, start="earliest")
+    messages = kafka.sensor_topic(spark, a.servers, start="earliest", **topic_of(a))
     landing_job.start_landing(
         messages, a.path, a.checkpoint, writers_per_factory=a.writers
     ).awaitTermination()
 
 
 def erp(spark, a):
-    table = jdbc.equipment_events(spark, a.url, options_of(a.property))
+    split = None
+    if a.parts:
+        split = jdbc.split_options(a.split_column, a.low, a.high, a.parts)
+    table = jdbc.equipment_events(spark, a.url, options_of(a.property, a.properties), split=split)
     ingest.ingest_erp(table, a.day, a.path)
 
 
@@ -67,16 +85,21 @@ def registry(spark, a):
     first = spark.createDataFrame([], schemas.EQUIPMENT)
     ingest.build_registry(
         files.equipment(spark, a.base) if a.base else first,
-        files.equipment(spark, a.incoming),
+        files.equipment_delivery(spark, a.incoming),
         files.factories(spark, a.factories),
         a.path,
+        a.rejects,
+        version=files.DELIVERED,
     ).show()
 
 
 def check(spark, a):
-    lines = files.raw_lines(spark, a.bronze)
-    quality.report(quality.inspect(lines), quality.event_rules()).show(truncate=False)
-    quality.duplicate_rate(files.mixed_bronze(spark, a.bronze)).show(truncate=False)
+    """Prints the report of all rules; exits with 1 if one failed."""
+    found = quality.gate(files.raw_lines(spark, a.bronze)).collect()
+    for rule in found:
+        print(f"{'ok  ' if rule.passed else 'FAIL'} {rule.rule}: {rule.failed} of {rule.checked}")
+    if not all(rule.passed for rule in found):
+        raise SystemExit(1)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -93,16 +116,22 @@ def parser() -> argparse.ArgumentParser:
 
     mixed, fmt = {"action": "store_true"}, {"choices": ["json", "parquet"], "default": "json"}
     props = {"action": "append", "default": [], "metavar": "KEY=VALUE"}
+    secrets = {"metavar": "FILE", "help": "file of KEY=VALUE lines, for secrets"}
+    flag, number = {"action": "store_true"}, {"type": int}
+    topic = {"max_offsets": number, "min_partitions": number, "property": props, "properties": secrets}
     job(silver, "bronze", "silver", mixed=mixed, format=fmt, max_files={"type": int},
         by_month={"action": "store_true"})
     job(gold, "silver", "gold", format=fmt, since={"metavar": "YYYY-MM"})
-    job(chain, "bronze", "silver", "gold", mixed=mixed, format=fmt)
-    job(serve, "gold", "url", property=props, connections={"type": int, "default": 16})
-    job(alerts, "servers", "path", "checkpoint", console={"action": "store_true"})
-    job(land, "servers", "path", "checkpoint", writers={"type": int})
-    job(erp, "url", "day", "path", property=props)
+    job(chain, "bronze", "silver", "gold", mixed=mixed, format=fmt, since={"metavar": "YYYY-MM-DD"},
+        factory={}, incremental=flag)
+    job(serve, "gold", "url", property=props, properties=secrets, connections={"type": int, "default": 16})
+    job(alerts, "servers", "path", "checkpoint", console=flag, **topic)
+    job(land, "servers", "path", "checkpoint", writers=number, **topic)
+    job(erp, "url", "day", "path", property=props, properties=secrets, parts=number,
+        split_column={"default": "id"}, low={"default": "0"}, high={"default": "1000000000"})
     job(maintenance, "snapshot", "day", "path")
-    job(registry, "incoming", "factories", "path", base={"help": "current snapshot, if any"})
+    job(registry, "incoming", "factories", "path", base={"help": "current snapshot, if any"},
+        rejects={"help": "where refused documents go, with their reasons"})
     job(check, "bronze")
     return root
 

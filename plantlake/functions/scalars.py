@@ -17,8 +17,13 @@ def tidy_lower(name: str) -> Column:
 
 
 def event_time(name: str = "timestamp") -> Column:
-    """ISO-8601 text → timestamp; text that is no time → null, not an error."""
-    return F.try_to_timestamp(F.col(name))
+    """ISO-8601 text → timestamp; text that is no time → null, not an error.
+
+    The text must start with a full date: a bare time of day would be taken as
+    today's, and a year as its first day.
+    """
+    dated = F.trim(F.col(name)).rlike(f"^{schemas.ISO_DATE}({schemas.ISO_CLOCK})?$")
+    return F.when(dated, F.try_to_timestamp(F.trim(F.col(name))))
 
 
 def iso_text(ts: Column) -> Column:

@@ -20,14 +20,17 @@ def windowed_rates(
     """Counts, anomalies and mean per tumbling window × factory × equipment × measurement.
 
     Readings are taken as they come: neither trimmed nor deduplicated, unless
-    ``distinct_events`` asks for one reading per id within the watermark.
+    ``distinct_events`` asks for one reading per id within the watermark (those
+    without an id all count).
     Readings without a usable time belong to no window.
     """
     timed = events.withColumn("event_ts", event_time()).withWatermark("event_ts", delay)
-    if distinct_events and timed.isStreaming:
-        timed = timed.dropDuplicatesWithinWatermark(["event_id"])
-    elif distinct_events:
-        timed = timed.dropDuplicates(["event_id"])
+    if distinct_events:
+        streaming = timed.isStreaming
+        own = F.expr("uuid()") if streaming else F.monotonically_increasing_id().cast("string")
+        timed = timed.withColumn("_own", F.when(F.col("event_id").isNull(), own))
+        distinct = timed.dropDuplicatesWithinWatermark if streaming else timed.dropDuplicates
+        timed = distinct(["event_id", "_own"])
     return (
         timed.groupBy(
             F.window("event_ts", window), "factory_id", "equipment_id", "measurement_type"

@@ -34,11 +34,13 @@ def latest_per_id(landed: DataFrame, order: str = "landed_at", key: str = "id")
 
     The whole row takes part in the comparison, so ties end the same way in
     every run. ``max`` combines before the shuffle: a hot id costs one row per
-    map task.
+    map task. Records without an id are no versions of each other: all stay.
     """
     rest = [c for c in landed.columns if c not in (key, order)]
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     newest = F.max(F.struct(order, *rest)).alias("newest")
-    return landed.groupBy(key).agg(newest).select(key, "newest.*").select(*landed.columns)
+    latest = landed.withColumn("_own", own).groupBy(key, "_own").agg(newest)
+    return latest.select(key, "newest.*").select(*landed.columns)
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:
@@ -50,14 +52,20 @@ def retained(
     landed: DataFrame,
     as_of: Column,
     day: str,
+    *grains: str,
     folder: str = "run_date",
     months: int = schemas.RETENTION_MONTHS,
 ) -> DataFrame:
     """Records whose ``day`` is still inside the retention period.
 
-    The second predicate is implied for folders of up to a month; it prunes the
-    expired ones before a file is opened.
+    ``grains`` are those the folders were written with (see
+    :func:`plantlake.sinks.files.run_date`). A folder starts no earlier than
+    the period that holds its records, so the second predicate is implied by
+    the first; it prunes expired folders before a file is opened.
     """
+    if not grains or set(grains) - set(schemas.GRAINS):
+        raise ValueError(f"name the grains of the folders, of {schemas.GRAINS}, not {grains}")
     cutoff = F.add_months(as_of, -months)
-    kept = F.col(day).cast("date") >= cutoff
-    return landed.filter(kept & (F.col(folder) >= F.trunc(cutoff, "month")))
+    starts = [F.date_trunc(g, cutoff.cast("timestamp")).cast("date") for g in grains]
+    first = F.least(*starts) if len(starts) > 1 else starts[0]
+    return landed.filter((F.col(day).cast("date") >= cutoff) & (F.col(folder) >= first))

@@ -148,7 +148,9 @@ def contract_rules() -> list[Rule]:
         "measurement_type": _one_of("measurement_type", schemas.MEASUREMENTS),
         "value": _is_number("value"),
         "unit": _is_text("unit"),
-        "timestamp": _is_text("timestamp") & F.try_to_timestamp("timestamp").isNotNull(),
+        "timestamp": _is_text("timestamp")
+        & F.col("timestamp").rlike(f"^{schemas.ISO_DATE}{schemas.ISO_CLOCK}$")
+        & F.try_to_timestamp("timestamp").isNotNull(),
         "quality": _one_of("quality", schemas.QUALITIES),
         "is_anomaly": F.col("is_anomaly_type") == "BOOLEAN",
         "battery_level": _is_whole("battery_level")
@@ -194,6 +196,37 @@ def duplicate_rate(events: DataFrame, limit: float = schemas.MAX_DUPLICATE_RATE)
     )
 
 
+def gate(messages: DataFrame, limit: float = schemas.MAX_DUPLICATE_RATE) -> DataFrame:
+    """Every rule of the raw events and the duplicate rate, from one read of the lines.
+
+    Lines are counted per event id first, with the faults of its lines, so the
+    duplicate rate needs no second pass and a hot id is one row per task.
+    """
+    rules = event_rules()
+    checks = [F.count_if(r.relevant()).alias(f"checked_{i}") for i, r in enumerate(rules)]
+    faults = [F.count_if(r.broken()).alias(f"failed_{i}") for i, r in enumerate(rules)]
+    per_id = inspect(messages).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), *checks, *faults)
+    sums = [F.sum(c) for c in per_id.columns[1:]]
+    names = per_id.columns[1:]
+    totals = per_id.agg(
+        *[F.coalesce(s, F.lit(0)).alias(c) for s, c in zip(sums, names, strict=True)],
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeats"),
+    )
+
+    def line(name: str, checked: Column, failed: Column, passed: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("rule"), checked.alias("checked"), failed.alias("failed"), passed.alias("passed")
+        )
+
+    rate = F.try_divide(F.col("repeats").cast("double"), F.col("n").cast("double"))
+    lines = [
+        line(r.name, F.col(f"checked_{i}"), F.col(f"failed_{i}"), F.col(f"failed_{i}") == 0)
+        for i, r in enumerate(rules)
+    ]
+    lines.append(line("duplicate_rate", F.col("n"), F.col("repeats"), F.coalesce(rate < limit, F.lit(True))))
+    return totals.select(F.inline(F.array(*lines)))
+
+
 # --- layers and registry -----------------------------------------------------
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.scalars import next_due
-from plantlake.operators.bronze import latest_per_id
+from plantlake.operators.bronze import latest_per_id, union_feeds
 from plantlake.operators.joins import lookup_join
 
 # --- lookups -----------------------------------------------------------------
@@ -62,11 +62,27 @@ def maintenance_due(equipment: DataFrame) -> DataFrame:
 # --- factories inside equipment ----------------------------------------------
 
 
-def denormalize(equipment: DataFrame, factories: DataFrame) -> DataFrame:
-    """Embed id, name and location of each document's factory."""
+def denormalize(equipment: DataFrame, factories: DataFrame, how: str = "inner") -> DataFrame:
+    """Embed id, name and location of each document's factory.
+
+    ``how`` "left" keeps documents whose factory is unknown, with none embedded.
+    """
     embedded = F.struct(F.col("_id").alias("id"), "name", "location").alias("factory")
     table = factories.select(F.col("_id").alias("factory_id"), embedded)
-    return lookup_join(equipment.drop("factory"), table, ["factory_id"], "inner")
+    return lookup_join(equipment.drop("factory"), table, ["factory_id"], how)
+
+
+def assessed(equipment: DataFrame, factories: DataFrame, rules: list) -> DataFrame:
+    """Documents with their factory embedded and ``reasons``: why each one is refused.
+
+    ``unknown_factory``, or the names of the rules it breaks; empty for a
+    document that is accepted. No document is left out.
+    """
+    known = denormalize(equipment, factories, "left")
+    unmatched = F.col("factory").isNull()
+    broken = F.array_compact(F.array(*[F.when(r.broken(), F.lit(r.name)) for r in rules]))
+    reasons = F.when(unmatched, F.array(F.lit("unknown_factory"))).otherwise(broken)
+    return known.withColumn("reasons", reasons)
 
 
 def refresh_factory_names(equipment: DataFrame, changed: DataFrame) -> DataFrame:
@@ -90,14 +106,17 @@ def upsert(
     """Replace whole records by key, add new ones; running it twice changes nothing.
 
     ``valid`` is checked on the incoming side only: records already stored are
-    left alone even if they break the contract. A delivery that repeats a key
-    needs a ``version`` column; its newest record wins. Write the result to a
-    new path, never over ``base``.
+    left alone even if they break the contract. Of a delivery that repeats a
+    key the newest record by ``version`` wins, without a version (or among
+    equal ones) the largest by its other columns. Write the result to a new
+    path, never over ``base``.
     """
     if valid is not None:
         incoming = incoming.filter(F.coalesce(valid, F.lit(False)))
+    order = version or next(c for c in incoming.columns if c != key)
+    incoming = latest_per_id(incoming, order=order, key=key)
     if version is not None:
-        incoming = latest_per_id(incoming, order=version, key=key).drop(version)
+        incoming = incoming.drop(version)
     replaced = incoming.select(key).distinct()
     return base.join(replaced, key, "left_anti").unionByName(incoming)
 
@@ -139,18 +158,16 @@ def unknown_factories(events: DataFrame, factories: DataFrame) -> DataFrame:
     return used.join(known, "factory_id", "left_anti")
 
 
-def factory_conflicts(*sources: DataFrame) -> DataFrame:
-    """Equipment that the sources place in more than one factory."""
-    pairs = None
-    for source in sources:
-        part = source.select("equipment_id", "factory_id")
-        pairs = part if pairs is None else pairs.unionByName(part)
-    return (
-        pairs.groupBy("equipment_id")
-        .agg(
-            F.count_distinct("factory_id").alias("factories"),
-            F.min("factory_id").alias("first_factory"),
-            F.max("factory_id").alias("last_factory"),
-        )
-        .filter(F.col("factories") > 1)
-    )
+def factory_conflicts(**sources: DataFrame) -> DataFrame:
+    """Equipment that the sources place in more than one factory: who says what.
+
+    One row per equipment, source and factory, with the number of factories
+    named in all. Distinct pairs come first, so a hot equipment is a few rows.
+    """
+    named = [
+        df.select("equipment_id", "factory_id").withColumn("source", F.lit(name))
+        for name, df in sources.items()
+    ]
+    pairs = union_feeds(*named).where("factory_id IS NOT NULL").distinct()
+    totals = pairs.groupBy("equipment_id").agg(F.count_distinct("factory_id").alias("factories"))
+    return pairs.join(totals.where("factories > 1"), "equipment_id")

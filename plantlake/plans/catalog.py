@@ -153,11 +153,11 @@ def bronze_landing(spark, sf_dir):
 def bronze_union(spark, sf_dir):
     """The three feeds as one relation."""
     return bronze.union_feeds(
-        _events(spark, sf_dir).drop("metadata").withColumn("feed", F.lit("sensors")),
-        bronze.erp_records(_erp(spark, sf_dir)).drop("source").withColumns(
+        _flat_metadata(_events(spark, sf_dir)).withColumn("feed", F.lit("sensors")),
+        bronze.erp_records(_erp(spark, sf_dir)).withColumns(
             {"feed": F.lit("erp"), "id": F.col("id").cast("string")}
         ),
-        _maintenance(spark, sf_dir).drop("landed_at").withColumn("feed", F.lit("maintenance")),
+        _maintenance(spark, sf_dir).withColumn("feed", F.lit("maintenance")),
     )
 
 
@@ -185,15 +185,25 @@ def erp_ingest(spark, sf_dir):
     return sources.erp(spark, path)
 
 
-@query
-def bronze_retention(spark, sf_dir):
+def _retained(spark, sf_dir, grain):
     path = fresh_path(spark, "erp")
-    sinks.land_erp(bronze.erp_records(_erp(spark, sf_dir)), path, "month")
+    sinks.land_erp(bronze.erp_records(_erp(spark, sf_dir)), path, grain)
     as_of = F.lit(RETENTION_DAY).cast("date")
-    kept = bronze.retained(sources.erp(spark, path), as_of, "event_date")
+    kept = bronze.retained(sources.erp(spark, path), as_of, "event_date", grain)
     return kept.select("id", "equipment_id", "event_date")
 
 
+@query
+def bronze_retention(spark, sf_dir):
+    return _retained(spark, sf_dir, "month")
+
+
+@query
+def bronze_retention_week(spark, sf_dir):
+    """Week folders start before the month of their records."""
+    return _retained(spark, sf_dir, "week")
+
+
 @query
 def maintenance_extract(spark, sf_dir):
     day = bronze.on_date(_maintenance(spark, sf_dir), "scheduled_date", EXTRACT_DAY)
@@ -334,21 +344,21 @@ def gold_by_factory_month(spark, sf_dir):
     )
 
 
-def _settled(df, column):
-    """A nudge below the reported places: exact ties round up in every engine."""
-    return df.withColumn(column, F.col(column) + 1e-9)
+def _by_total(df):
+    """The sum behind a mean: it has few decimals, so all engines round it alike."""
+    return df.withColumn("value_total", F.col("avg_value") * F.col("event_count")).drop("avg_value")
 
 
 @query
 def dash_factory(spark, sf_dir):
     totals = gold.regroup(_gold(spark, sf_dir), "factory_id", "year", "month")
-    return _settled(totals, "avg_value")
+    return _by_total(totals)
 
 
 @query
 def dash_metric_trend(spark, sf_dir):
     totals = gold.regroup(_gold(spark, sf_dir), "measurement_type", "year", "month", "day")
-    return _settled(totals, "avg_value")
+    return _by_total(totals)
 
 
 def _money(df, *columns):
@@ -380,6 +390,21 @@ def daily_chain(spark, sf_dir):
     return sources.gold(spark, f"{root}/gold")
 
 
+@query
+def daily_chain_incremental(spark, sf_dir):
+    """The same chain fed by three arrival days, each merged as it comes."""
+    root = fresh_path(spark, "daily")
+    day = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)).cast("int")
+    arrival = F.date_add(F.lit("2024-06-01").cast("date"), day).cast("timestamp")
+    landed = landing_job.landing_rows(_lines(spark, sf_dir), arrival)
+    landed.write.partitionBy(*landing_job.PARTITIONS).text(f"{root}/bronze")
+    for k in range(3):
+        arrived = sources.bronze_sensors(spark, f"{root}/bronze").where(F.col("day") == k + 1)
+        paths = f"{root}/silver", f"{root}/gold"
+        run_daily(spark, arrived, *paths, silver_format="parquet", incremental=True)
+    return sources.gold(spark, f"{root}/gold")
+
+
 # --- alerts ------------------------------------------------------------------
 
 
@@ -498,6 +523,17 @@ def registry_build(spark, sf_dir):
     return _flat_equipment(sources.equipment(spark, path))
 
 
+@query
+def registry_rejects(spark, sf_dir):
+    """The delivered documents that the registry refuses, and why."""
+    incoming = feeds.incoming_equipment(feeds.table(spark, sf_dir, "customer"))
+    rules = quality.equipment_rules()
+    assessed = registry.assessed(incoming, _factories(spark, sf_dir), rules)
+    return assessed.where(F.size("reasons") > 0).select(
+        F.col("_id").alias("equipment_id"), F.array_join("reasons", ",").alias("reason")
+    )
+
+
 @query
 def registry_find(spark, sf_dir):
     """The most frequent lookup: active equipment of one factory."""
@@ -551,15 +587,25 @@ def maintenance_due(spark, sf_dir):
     return registry.maintenance_due(_equipment(spark, sf_dir))
 
 
-@query
-def range_anomaly(spark, sf_dir):
+def _range_anomaly(spark, sf_dir, **join_options):
     ranges = registry.sensor_ranges(_equipment(spark, sf_dir))
-    return registry.flag_out_of_range(_silver(spark, sf_dir), ranges).select(
+    return registry.flag_out_of_range(_silver(spark, sf_dir), ranges, **join_options).select(
         "event_id", "equipment_id", "sensor_id", "value", "is_anomaly",
         "normal_min", "normal_max", "out_of_range",
     )
 
 
+@query
+def range_anomaly(spark, sf_dir):
+    return _range_anomaly(spark, sf_dir)
+
+
+@query
+def range_anomaly_large(spark, sf_dir):
+    """The same as if the registry were too large to broadcast, with some hot sensors."""
+    return _range_anomaly(spark, sf_dir, max_broadcast_bytes=0, hot_rows=20)
+
+
 @query
 def unknown_factory(spark, sf_dir):
     return registry.unknown_factories(_events(spark, sf_dir), _factories(spark, sf_dir))
@@ -570,9 +616,9 @@ def factory_conflicts(spark, sf_dir):
     # distinct pairs do not care about repeats, so the readings need no dedup
     readings = silver.complete(silver.tidy_events(silver.sensor_rows(_events(spark, sf_dir))))
     return registry.factory_conflicts(
-        readings,
-        _erp(spark, sf_dir),
-        _equipment(spark, sf_dir).withColumnRenamed("_id", "equipment_id"),
+        sensors=readings,
+        erp=_erp(spark, sf_dir),
+        registry=_equipment(spark, sf_dir).withColumnRenamed("_id", "equipment_id"),
     )
 
 
@@ -584,6 +630,12 @@ def dq_report(spark, sf_dir):
     return quality.report(quality.inspect(_lines(spark, sf_dir)), quality.event_rules())
 
 
+@query
+def dq_gate(spark, sf_dir):
+    """All rules and the duplicate rate from one read."""
+    return quality.gate(_lines(spark, sf_dir))
+
+
 @query
 def dq_violations(spark, sf_dir):
     rows = quality.inspect(_lines(spark, sf_dir))

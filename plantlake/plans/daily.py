@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.operators import gold, silver
-from plantlake.session import pin_utc
-from plantlake.sinks.files import write_gold, write_silver
+from plantlake.session import fresh_path, pin_utc
+from plantlake.sinks.files import replace_months, write_gold, write_silver
 from plantlake.sinks.serving import serve_gold
 from plantlake.sources import files
 
@@ -20,18 +24,75 @@ def bronze_to_silver(bronze: DataFrame, path: str, **options) -> bool:
     return True
 
 
-def silver_to_gold(rows: DataFrame, path: str, since: str | None = None) -> None:
-    """Gold for all of Silver, or only for the months from ``since`` (``YYYY-MM``) on.
+def update_silver(arrived: DataFrame, path: str, fmt: str = "parquet") -> set[tuple[int, int]]:
+    """Merge newly arrived readings into Silver partitioned by month.
+
+    Equal to a full rebuild over all arrivals, since the smallest of all copies
+    of an event is the smallest of the old survivor and the new copies. Late
+    readings may belong to older months, and a copy may move its event to
+    another one: exactly the months of the new readings and of the survivors
+    they meet are replaced. Returns those (year, month) pairs; arriving again
+    changes nothing.
+    """
+    spark = arrived.sparkSession
+    plain = [c for c in silver.clean(arrived).columns if c not in ("year", "month", "day")]
+    staged = fresh_path(spark, "arrived")
+    write_silver(silver.clean(arrived), staged, fmt=fmt)
+    new = files.silver(spark, staged, fmt)
+    ids = new.select("event_id")
+    try:
+        old = files.silver(spark, path, fmt)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = new.limit(0)
+    met = old.join(ids, "event_id", "left_semi")
+    months = _months(new) | _months(met)
+    if not months:
+        return months
+    winners = silver.with_calendar(silver.dedup(met.unionByName(new).select(*plain)))
+    kept = old.where(_in_months(months)).join(ids, "event_id", "left_anti")
+    replace_months(kept.unionByName(winners), path, months, fmt)
+    return months
+
+
+def _months(rows: DataFrame) -> set[tuple[int, int]]:
+    """The months that occur; one small set, however many rows."""
+    found = rows.agg(F.collect_set(F.struct("year", "month"))).first()[0]
+    return {(r["year"], r["month"]) for r in found}
 
-    An hour lies in one month, so recomputing whole months is exact: their
-    folders are replaced, older ones stay. Silver partitioned by year and month
-    is then read for those months only. A factory that vanished from a month
-    keeps its old folder until the next full run.
+
+def _in_months(months: set[tuple[int, int]]) -> Column:
+    """A predicate on the partition columns, one part per month."""
+    part = [(F.col("year") == y) & (F.col("month") == m) for y, m in sorted(months)]
+    return reduce(or_, part, F.lit(False))
+
+
+def silver_to_gold(
+    rows: DataFrame,
+    path: str,
+    since: str | None = None,
+    months: set[tuple[int, int]] | None = None,
+) -> None:
+    """Gold for all of Silver, for the months from ``since`` (``YYYY-MM``) on, or for ``months``.
+
+    An hour lies in one month, so recomputing whole months is exact: they are
+    replaced as a whole, factories that vanished included, and others stay.
+    Silver partitioned by year and month is then read for those months only.
     """
-    if since is not None:
+    if since is None and months is None:
+        write_gold(gold.hourly(rows), path)
+        return
+    if months is None:
         first = int(since.replace("-", ""))
-        rows = rows.filter(F.col("year") * 100 + F.col("month") >= first)
-    write_gold(gold.hourly(rows), path, incremental=since is not None)
+        recent = F.col("year") * 100 + F.col("month") >= first
+        months = _months(rows.filter(recent))
+        try:
+            months |= _months(files.gold(rows.sparkSession, path).filter(recent))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    replace_months(gold.hourly(rows.filter(_in_months(months))), path, months)
 
 
 def run_daily(
@@ -41,15 +102,26 @@ def run_daily(
     gold_path: str,
     serving: dict | None = None,
     silver_format: str = "json",
+    incremental: bool = False,
 ) -> bool:
     """Each step starts after the one before it has been written; a rerun overwrites.
 
+    ``incremental`` takes ``bronze`` as what has arrived lately (see
+    :func:`plantlake.sources.files.bronze_sensors`), merges it into Silver
+    partitioned by month and recomputes the months it touches.
     ``serving`` holds ``url`` and ``properties`` of the relational target.
     """
     pin_utc(spark)
-    if not bronze_to_silver(bronze, silver_path, fmt=silver_format):
-        return False
-    silver_to_gold(files.silver(spark, silver_path, silver_format), gold_path)
+    if incremental:
+        months = update_silver(bronze, silver_path, silver_format)
+        if not months:
+            return False
+        rows = files.silver(spark, silver_path, silver_format)
+        silver_to_gold(rows, gold_path, months=months)
+    else:
+        if not bronze_to_silver(bronze, silver_path, fmt=silver_format):
+            return False
+        silver_to_gold(files.silver(spark, silver_path, silver_format), gold_path)
     if serving:
         serve_gold(files.gold(spark, gold_path), **serving)
     return True

@@ -37,11 +37,6 @@ TYPE_OF = {
     "HOUSEHOLD": "conveyor", "MACHINERY": "turbine",
 }
 STATES = ["SP", "RJ", "MG"]
-CITIES = {
-    "SP": ("Fábrica São Paulo", -23.5505, -46.6333),
-    "RJ": ("Fábrica Rio de Janeiro", -22.9068, -43.1729),
-    "MG": ("Fábrica Belo Horizonte", -19.9167, -43.9345),
-}
 ERP_TYPES = ["preventive_maintenance", "corrective_maintenance", "inspection", "replacement"]
 ORDER_TYPES = ["preventive", "corrective", "inspection"]
 ORDER_STATUS = ["scheduled", "in_progress", "completed", "cancelled"]
@@ -75,7 +70,8 @@ WIRE_RULES = {
     "measurement_type": "CASE WHEN n % 7 = 0 THEN concat(' ', upper(kind), ' ') ELSE kind END",
     "value": "CASE WHEN n % 97 != 0 THEN v END",
     "unit": "CASE WHEN n % 17 = 0 THEN upper(unit) ELSE unit END",
-    "timestamp": "CASE WHEN n % 89 = 0 THEN 'not-a-time' ELSE iso END",
+    "timestamp": """CASE WHEN n % 89 = 0 THEN 'not-a-time' WHEN n % 167 = 0 THEN '12:30'
+        WHEN n % 173 = 0 THEN '2024' WHEN n % 179 = 0 THEN 'T01' ELSE iso END""",
     "quality": "CASE WHEN n % 19 = 0 THEN upper(grade) ELSE grade END",
     "is_anomaly": "CASE WHEN n % 101 != 0 THEN k < 5 + 10 * (i % 4) END",
     "metadata": """CASE WHEN n % 137 != 0 THEN named_struct(
@@ -93,15 +89,24 @@ LOST_WHEN = {
 
 
 def _numbered(events: DataFrame) -> DataFrame:
-    """Readings before any wire fault, with their number ``n``; some appear twice."""
+    """Readings with their faults and their number ``n``; some appear twice."""
     kind = lookup(F.col("event_type"), MEASUREMENT_OF)
     numbers = events.select(
         F.col("event_id").alias("n"),
         F.expr("user_id div 10 + 1").alias("i"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         kind.alias("kind"),
-        F.col("value").alias("v"),
-        iso_text(F.col("ts").cast("timestamp")).alias("iso"),
+        F.col("value").alias("v0"),
+        F.col("ts").cast("timestamp").alias("sent"),
+        F.expr("explode(sequence(1, CASE WHEN event_id % 200 = 0 THEN 2 ELSE 1 END))").alias("copy"),
+    )
+    # some second copies tell another time and value
+    moved = """sent + make_dt_interval(CASE WHEN copy = 2 AND n % 800 = 0 THEN -1 ELSE 0 END,
+        CASE WHEN copy = 2 AND n % 800 = 400 THEN 1 ELSE 0 END)"""
+    numbers = numbers.select(
+        "n", "i", "k", "kind",
+        F.expr("v0 + CASE WHEN copy = 2 AND n % 400 = 0 THEN 1 ELSE 0 END").alias("v"),
+        iso_text(F.expr(moved)).alias("iso"),
     )
     place = F.array_position(F.array(*[F.lit(m) for m in SENSOR_ORDER]), F.col("kind"))
     clean = numbers.select(
@@ -112,7 +117,6 @@ def _numbered(events: DataFrame) -> DataFrame:
         round_robin(F.col("i"), schemas.FACTORIES).alias("factory"),
         lookup(F.col("kind"), schemas.UNITS).alias("unit"),
         F.expr("CASE WHEN k % 6 < 4 THEN 'good' WHEN k % 6 = 4 THEN 'warning' ELSE 'bad' END").alias("grade"),
-        F.expr("explode(sequence(1, CASE WHEN n % 200 = 0 THEN 2 ELSE 1 END))").alias("copy"),
     )
     return clean.selectExpr("n", *[f"{rule} AS {name}" for name, rule in WIRE_RULES.items()])
 
@@ -195,8 +199,13 @@ def maintenance_records(lineitem: DataFrame) -> DataFrame:
 # --- registry ----------------------------------------------------------------
 
 
-def _city(state: Column, part: int) -> Column:
-    return lookup(state, {s: CITIES[s][part] for s in STATES})
+def _plant_name(state: Column) -> Column:
+    return F.concat(F.lit("Plant "), state)
+
+
+def _grid(state: Column, origin: float, step: float) -> Column:
+    """A coordinate by the state's number; unknown states have none."""
+    return lookup(state, {s: origin - step * k for k, s in enumerate(STATES)})
 
 
 def factories(supplier: DataFrame) -> DataFrame:
@@ -208,12 +217,12 @@ def factories(supplier: DataFrame) -> DataFrame:
     shift = (number - 1).cast("double") * 0.01
     return supplier.select(
         F.format_string("FAB-%s-%02d", state, number).alias("_id"),
-        F.when(s % 29 != 7, F.concat(_city(state, 0), extra)).alias("name"),
+        F.when(s % 29 != 7, F.concat(_plant_name(state), extra)).alias("name"),
         F.struct(
-            F.when(s % 13 != 5, _city(state, 1) + shift).alias("lat"),
-            (_city(state, 2) + shift).alias("lng"),
+            F.when(s % 13 != 5, _grid(state, -10.0, 5.0) + shift).alias("lat"),
+            (_grid(state, -40.0, 2.5) + shift).alias("lng"),
         ).alias("location"),
-        F.concat(F.lit("Rua Industrial, "), (s * 10).cast("string")).alias("address"),
+        F.concat(F.lit("Plant road "), (s * 10).cast("string")).alias("address"),
         (F.col("s_acctbal") >= 0).alias("active"),
     )
 
@@ -276,8 +285,8 @@ def equipment(customer: DataFrame) -> DataFrame:
             ~every("c_custkey", 131),
             F.struct(
                 factory.alias("id"),
-                _city(state, 0).alias("name"),
-                F.struct(_city(state, 1).alias("lat"), _city(state, 2).alias("lng")).alias(
+                F.when(state.isin(*STATES), _plant_name(state)).alias("name"),
+                F.struct(_grid(state, -10.0, 5.0).alias("lat"), _grid(state, -40.0, 2.5).alias("lng")).alias(
                     "location"
                 ),
             ),

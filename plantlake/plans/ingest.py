@@ -25,13 +25,39 @@ def ingest_maintenance(
 
 
 def build_registry(
-    base: DataFrame, incoming: DataFrame, factories: DataFrame, path: str
+    base: DataFrame,
+    incoming: DataFrame,
+    factories: DataFrame,
+    path: str,
+    rejects: str | None = None,
+    version: str | None = None,
 ) -> DataFrame:
     """Embed factories in the delivered documents, check them, upsert, write a new snapshot.
 
-    Returns how many documents and sensors the snapshot holds.
+    Refused documents are written to ``rejects`` with their reasons. Of a key
+    delivered more than once the last by ``version`` counts. Returns (measure,
+    n): the snapshot's equipment and sensors, and what became of the delivery;
+    accepted, superseded and refused documents add up to those delivered.
     """
-    complete = registry.denormalize(incoming, factories)
-    valid = quality.obeys(quality.equipment_rules())
-    sinks.write_documents(registry.upsert(base, complete, valid=valid), path)
-    return registry.sensor_total(equipment(base.sparkSession, path))
+    assessed = registry.assessed(incoming, factories, quality.equipment_rules())
+    if rejects:
+        sinks.write_documents(assessed.where(F.size("reasons") > 0), rejects)
+    accepted = assessed.where(F.size("reasons") == 0).drop("reasons")
+    sinks.write_documents(registry.upsert(base, accepted, version=version), path)
+    total = registry.sensor_total(equipment(base.sparkSession, path))
+    return _measures(total).unionByName(_measures(delivery_totals(assessed)))
+
+
+def delivery_totals(assessed: DataFrame) -> DataFrame:
+    """delivered = accepted + superseded + refused, for :func:`registry.assessed` documents."""
+    fine = F.size("reasons") == 0
+    return assessed.agg(
+        F.count(F.lit(1)).alias("delivered"),
+        F.count_distinct(F.when(fine, F.col("_id"))).alias("accepted"),
+        F.count_if(~fine).alias("refused"),
+    ).withColumn("superseded", F.expr("delivered - accepted - refused"))
+
+
+def _measures(row: DataFrame) -> DataFrame:
+    pairs = [F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("n")) for c in row.columns]
+    return row.select(F.inline(F.array(*pairs)))

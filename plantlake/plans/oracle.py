@@ -11,13 +11,17 @@ from __future__ import annotations
 READINGS = """
 num AS (
   SELECT event_id AS n, user_id // 10 + 1 AS i,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, ts, value AS v,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         ts + CASE WHEN copy = 2 AND event_id % 800 = 0 THEN INTERVAL (-1) DAY
+                   WHEN copy = 2 AND event_id % 800 = 400 THEN INTERVAL 1 HOUR
+                   ELSE INTERVAL 0 DAY END AS ts,
+         value + CASE WHEN copy = 2 AND event_id % 400 = 0 THEN 1 ELSE 0 END AS v,
          CASE event_type WHEN 'click' THEN 'temperature' WHEN 'error' THEN 'vibration'
               WHEN 'purchase' THEN 'current' WHEN 'signup' THEN 'humidity'
               WHEN 'view' THEN 'pressure' END AS kind,
          CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
               WHEN 'signup' THEN 4 WHEN 'view' THEN 5 END AS mi
-  FROM events),
+  FROM (SELECT *, unnest(CASE WHEN event_id % 200 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM events)),
 named AS (
   SELECT *, format('{:08x}-0000-4000-8000-{:012x}', n, n) AS uid,
          printf('SENS-%05d', (i - 1) * 5 + mi) AS sensor, printf('EQ-%04d', i) AS eq,
@@ -38,7 +42,8 @@ base AS (
     CASE WHEN n % 7 = 0 THEN ' ' || upper(kind) || ' ' ELSE kind END AS measurement_type,
     CASE WHEN n % 97 <> 0 THEN v END AS value,
     CASE WHEN n % 17 = 0 THEN upper(u) ELSE u END AS unit,
-    CASE WHEN n % 89 = 0 THEN 'not-a-time'
+    CASE WHEN n % 89 = 0 THEN 'not-a-time' WHEN n % 167 = 0 THEN '12:30'
+         WHEN n % 173 = 0 THEN '2024' WHEN n % 179 = 0 THEN 'T01'
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS "timestamp",
     CASE WHEN n % 19 = 0 THEN upper(q) ELSE q END AS quality,
     CASE WHEN n % 101 <> 0 THEN k < 5 + 10 * (i % 4) END AS is_anomaly,
@@ -47,7 +52,7 @@ base AS (
        'battery_level': CASE WHEN n % 109 = 0 THEN 3000000000 ELSE CAST(20 + k % 81 AS BIGINT) END,
        'signal_strength': CAST(-30 - k % 61 AS BIGINT)} END AS metadata
   FROM named),
-copies AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE n % 200 = 0)
+copies AS (SELECT * FROM base)
 """
 
 LINES = READINGS + """,
@@ -93,16 +98,21 @@ SILVER = EVENTS + """,
 tidy AS (
   SELECT event_id, trim(sensor_id) AS sensor_id, trim(equipment_id) AS equipment_id,
     trim(factory_id) AS factory_id, lower(trim(measurement_type)) AS measurement_type, value,
-    lower(trim(unit)) AS unit, TRY_CAST("timestamp" AS TIMESTAMP) AS "timestamp",
+    lower(trim(unit)) AS unit,
+    CASE WHEN regexp_matches("timestamp", '^[0-9]{4}-[0-9]{2}-[0-9]{2}')
+         THEN TRY_CAST("timestamp" AS TIMESTAMP) END AS "timestamp",
     lower(trim(quality)) AS quality, is_anomaly,
     metadata.firmware_version AS firmware_version,
     TRY_CAST(metadata.battery_level AS INTEGER) AS battery_level,
     TRY_CAST(metadata.signal_strength AS INTEGER) AS signal_strength
   FROM ev WHERE sensor_id IS NOT NULL),
 sv AS (
-  SELECT DISTINCT *, CAST(year("timestamp") AS INTEGER) AS year,
+  SELECT *, CAST(year("timestamp") AS INTEGER) AS year,
     CAST(month("timestamp") AS INTEGER) AS month, CAST(day("timestamp") AS INTEGER) AS day
-  FROM tidy WHERE event_id IS NOT NULL AND value IS NOT NULL AND "timestamp" IS NOT NULL)
+  FROM tidy WHERE event_id IS NOT NULL AND value IS NOT NULL AND "timestamp" IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY "timestamp", sensor_id, equipment_id,
+    factory_id NULLS FIRST, measurement_type, value, unit, quality NULLS FIRST,
+    is_anomaly NULLS FIRST) = 1)
 """
 
 
@@ -141,7 +151,8 @@ GOLD_KEYS = "equipment_id, factory_id, measurement_type, timestamp_hour, year, m
 def _alerts(width: str, flag: str = "is_anomaly", source: str = "ev") -> str:
     return f"""
 timed AS (
-  SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS event_ts FROM {source}),
+  SELECT *, CASE WHEN regexp_matches("timestamp", '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
+    THEN TRY_CAST("timestamp" AS TIMESTAMP) END AS event_ts FROM {source}),
 windowed AS (
   SELECT time_bucket(INTERVAL '{width}', event_ts, TIMESTAMP '1970-01-01') AS window_start,
     factory_id, equipment_id, measurement_type, count(*) AS event_count,
@@ -212,15 +223,14 @@ FACTORIES = """
 fac AS (
   SELECT printf('FAB-%s-%02d', st, no) AS id,
     CASE WHEN s_suppkey % 29 <> 7 THEN
-      CASE st WHEN 'SP' THEN 'Fábrica São Paulo' WHEN 'RJ' THEN 'Fábrica Rio de Janeiro'
-              ELSE 'Fábrica Belo Horizonte' END
+      'Plant ' || st
       || CASE WHEN no > 1 THEN ' ' || CAST(no AS VARCHAR) ELSE '' END END AS name,
     CASE WHEN s_suppkey % 13 <> 5 THEN
-      CASE st WHEN 'SP' THEN -23.5505::DOUBLE WHEN 'RJ' THEN -22.9068::DOUBLE ELSE -19.9167::DOUBLE END
+      CASE st WHEN 'SP' THEN -10.0::DOUBLE WHEN 'RJ' THEN -15.0::DOUBLE ELSE -20.0::DOUBLE END
       + (no - 1) * 0.01::DOUBLE END AS lat,
-    CASE st WHEN 'SP' THEN -46.6333::DOUBLE WHEN 'RJ' THEN -43.1729::DOUBLE ELSE -43.9345::DOUBLE END
+    CASE st WHEN 'SP' THEN -40.0::DOUBLE WHEN 'RJ' THEN -42.5::DOUBLE ELSE -45.0::DOUBLE END
       + (no - 1) * 0.01::DOUBLE AS lng,
-    'Rua Industrial, ' || CAST(s_suppkey * 10 AS VARCHAR) AS address,
+    'Plant road ' || CAST(s_suppkey * 10 AS VARCHAR) AS address,
     s_acctbal >= 0 AS active, s_acctbal
   FROM (SELECT *, CASE s_suppkey % 3 WHEN 0 THEN 'SP' WHEN 1 THEN 'RJ' ELSE 'MG' END AS st,
                s_suppkey // 3 + 1 AS no FROM supplier))
@@ -249,14 +259,13 @@ eq AS (
     kind AS type, fid AS factory_id,
     CASE WHEN c_custkey % 131 <> 0 THEN fid END AS embedded_id,
     CASE WHEN c_custkey % 131 <> 0 THEN
-      CASE substr(fid, 5, 2) WHEN 'SP' THEN 'Fábrica São Paulo' WHEN 'RJ' THEN 'Fábrica Rio de Janeiro'
-           WHEN 'MG' THEN 'Fábrica Belo Horizonte' END END AS embedded_name,
+      CASE WHEN substr(fid, 5, 2) IN ('SP', 'RJ', 'MG') THEN 'Plant ' || substr(fid, 5, 2) END END AS embedded_name,
     CASE WHEN c_custkey % 131 <> 0 THEN
-      CASE substr(fid, 5, 2) WHEN 'SP' THEN -23.5505::DOUBLE WHEN 'RJ' THEN -22.9068::DOUBLE
-           WHEN 'MG' THEN -19.9167::DOUBLE END END AS lat,
+      CASE substr(fid, 5, 2) WHEN 'SP' THEN -10.0::DOUBLE WHEN 'RJ' THEN -15.0::DOUBLE
+           WHEN 'MG' THEN -20.0::DOUBLE END END AS lat,
     CASE WHEN c_custkey % 131 <> 0 THEN
-      CASE substr(fid, 5, 2) WHEN 'SP' THEN -46.6333::DOUBLE WHEN 'RJ' THEN -43.1729::DOUBLE
-           WHEN 'MG' THEN -43.9345::DOUBLE END END AS lng,
+      CASE substr(fid, 5, 2) WHEN 'SP' THEN -40.0::DOUBLE WHEN 'RJ' THEN -42.5::DOUBLE
+           WHEN 'MG' THEN -45.0::DOUBLE END END AS lng,
     CAST(cnt AS INTEGER) AS sensors, schedule, installed + CAST(30 + c_custkey % 271 AS INTEGER) AS last_m,
     CASE WHEN c_custkey % 127 <> 0 THEN strftime(installed, '%Y-%m-%d') END AS installed_at,
     CASE WHEN c_custkey % 97 = 0 THEN 'broken' ELSE
@@ -364,7 +373,8 @@ def _contract() -> list[tuple[str, str, str]]:
         "measurement_type": EVENT_RULES[1][2],
         "value": _number("value"),
         "unit": _string("unit"),
-        "timestamp": f"{_string('timestamp')} AND TRY_CAST({_text('timestamp')} AS TIMESTAMP) IS NOT NULL",
+        "timestamp": f"{_string('timestamp')} AND regexp_matches({_text('timestamp')}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T')"
+        f" AND TRY_CAST({_text('timestamp')} AS TIMESTAMP) IS NOT NULL",
         "quality": EVENT_RULES[2][2],
         "is_anomaly": f"{_kind('is_anomaly')} = 'BOOLEAN'",
         "battery_level": f"{_number('metadata.battery_level')} AND {battery} = floor({battery})"
@@ -423,7 +433,7 @@ DECODED = EVENT_COLUMNS + """,
 
 REGROUPED = """
   CAST(sum(event_count) AS BIGINT) AS event_count, CAST(sum(anomaly_count) AS BIGINT) AS anomaly_count,
-  round(sum(avg_value * event_count) / sum(event_count) + 1e-9::DOUBLE, 6) AS avg_value,
+  round(sum(avg_value * event_count), 6) AS value_total,
   min(min_value) AS min_value, max(max_value) AS max_value,
   round(CAST(sum(anomaly_count) AS DOUBLE) / CAST(sum(event_count) AS DOUBLE), 6) AS anomaly_rate
 """
@@ -445,6 +455,9 @@ located AS (
   SELECT eq.* REPLACE (fac.id AS embedded_id, fac.name AS embedded_name, fac.lat AS lat, fac.lng AS lng)
   FROM eq JOIN fac ON eq.factory_id = fac.id),
 new AS (""")
+    delivered = changed[: changed.index("good AS (")].replace("new AS (", "undelivered AS (")
+    judged = rebuilt[: rebuilt.index("good AS (")].replace("new AS (", "judged AS (")
+    refused = delivered.rstrip() + judged.strip().rstrip(",")
     flagged = """
 flagged AS (
   SELECT ev.*, NOT (ev.value BETWEEN sen.normal_min AND sen.normal_max) AS out_of_range
@@ -474,22 +487,25 @@ flagged AS (
         "bronze_scan": _with(EVENTS, f"SELECT {DECODED} FROM ev WHERE sensor_id IS NOT NULL"),
         "bronze_landing": _with(LINES, "SELECT value, landed_factory AS factory_id FROM lines"),
         "bronze_union": _with(EVENTS + "," + ERP + "," + MAINTENANCE, f"""
-            SELECT {EVENT_COLUMNS}, 'sensors' AS feed FROM ev
+            SELECT {DECODED}, 'sensors' AS feed FROM ev
             UNION ALL BY NAME
-            SELECT CAST(id AS VARCHAR) AS id, equipment_id, factory_id, event_type, description,
+            SELECT 'erp' AS source, CAST(id AS VARCHAR) AS id, equipment_id, factory_id, event_type, description,
               technician, cost, strftime(event_date, '%Y-%m-%d') AS event_date,
               strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, 'erp' AS feed FROM erp
             UNION ALL BY NAME
-            SELECT {MAINTENANCE_COLUMNS}, 'maintenance' AS feed FROM mnt"""),
+            SELECT {MAINTENANCE_COLUMNS}, landed_at, 'maintenance' AS feed FROM mnt"""),
         "erp_extract": _with(ERP, f"SELECT {ERP_ROWS} FROM erp WHERE event_date = {day}"),
         "erp_ingest": _with(ERP, f"""
             SELECT {ERP_ROWS}, strftime(erp.event_date, '%Y-%m-%d') AS run_date FROM erp
             WHERE erp.event_date = {day}"""),
         "erp_landing": _with(ERP, f"""SELECT {ERP_ROWS},
             strftime(date_trunc('month', erp.event_date), '%Y-%m-%d') AS run_date FROM erp"""),
-        "bronze_retention": _with(ERP, f"""
+        **{
+            name: _with(ERP, f"""
             SELECT id, equipment_id, strftime(event_date, '%Y-%m-%d') AS event_date FROM erp
-            WHERE erp.event_date >= {cut}"""),
+            WHERE erp.event_date >= {cut}""")
+            for name in ("bronze_retention", "bronze_retention_week")
+        },
         "maintenance_extract": _with(
             MAINTENANCE, f"SELECT {MAINTENANCE_COLUMNS} FROM mnt WHERE scheduled_date = {day}"),
         "maintenance_landing": _with(
@@ -553,6 +569,7 @@ flagged AS (
             SELECT strftime(date_trunc('month', event_date), '%Y-%m-%d') AS period, event_type,
               count(*) AS events, round(sum(cost), 2) AS total_cost FROM erp GROUP BY ALL"""),
         "daily_chain": _with(chained + "," + _rollup("hour"), gold_rows),
+        "daily_chain_incremental": _with(chained + "," + _rollup("hour"), gold_rows),
         # alerts
         "alerts_batch": _with(EVENTS + "," + _alerts("5 minutes"), "SELECT * FROM alerts"),
         "alerts_daily": _with(EVENTS + "," + _alerts("1 day"), "SELECT * FROM alerts"),
@@ -604,21 +621,38 @@ flagged AS (
             SELECT equipment_id AS _id, schedule, strftime(last_m, '%Y-%m-%d') AS last_maintenance,
               strftime(last_m + CASE schedule WHEN 'weekly' THEN 7 WHEN 'monthly' THEN 30
                 WHEN 'quarterly' THEN 90 ELSE 180 END, '%Y-%m-%d') AS next_maintenance FROM eq"""),
-        "range_anomaly": _with(SILVER + "," + EQUIPMENT, """
+        **{
+            name: _with(SILVER + "," + EQUIPMENT, """
             SELECT event_id, sv.equipment_id, sv.sensor_id, round(value, 6) AS value, is_anomaly,
               normal_min, normal_max, NOT (value BETWEEN normal_min AND normal_max) AS out_of_range
-            FROM sv LEFT JOIN sen ON sv.equipment_id = sen.equipment_id AND sv.sensor_id = sen.sensor_id"""),
+            FROM sv LEFT JOIN sen ON sv.equipment_id = sen.equipment_id AND sv.sensor_id = sen.sensor_id""")
+            for name in ("range_anomaly", "range_anomaly_large")
+        },
         "unknown_factory": _with(EVENTS + "," + FACTORIES, """
             SELECT factory_id, count(*) AS events FROM ev
             WHERE NOT EXISTS (SELECT 1 FROM fac WHERE fac.id = ev.factory_id) GROUP BY factory_id"""),
-        "factory_conflicts": _with(SILVER + "," + ERP + "," + EQUIPMENT, """
-            SELECT equipment_id, count(DISTINCT factory_id) AS factories,
-              min(factory_id) AS first_factory, max(factory_id) AS last_factory
-            FROM (SELECT equipment_id, factory_id FROM sv
-                  UNION ALL SELECT equipment_id, factory_id FROM erp
-                  UNION ALL SELECT equipment_id, factory_id FROM eq)
-            GROUP BY equipment_id HAVING count(DISTINCT factory_id) > 1"""),
+        "factory_conflicts": _with(SILVER + "," + ERP + "," + EQUIPMENT + """,
+said AS (
+  SELECT DISTINCT * FROM (
+    SELECT equipment_id, factory_id, 'sensors' AS source FROM sv
+    UNION ALL SELECT equipment_id, factory_id, 'erp' FROM erp
+    UNION ALL SELECT equipment_id, factory_id, 'registry' FROM eq) WHERE factory_id IS NOT NULL),
+many AS (
+  SELECT equipment_id, count(DISTINCT factory_id) AS factories FROM said
+  GROUP BY equipment_id HAVING count(DISTINCT factory_id) > 1)
+""", "SELECT said.*, factories FROM said JOIN many USING (equipment_id)"),
+        "registry_rejects": _with(EQUIPMENT + "," + FACTORIES + "," + refused, f"""
+            SELECT equipment_id, 'unknown_factory' AS reason FROM undelivered WHERE factory_id NOT IN (SELECT id FROM fac)
+            UNION ALL
+            SELECT equipment_id, concat_ws(',', {', '.join(f"CASE WHEN coalesce({a}, false) AND NOT coalesce({ok}, false) THEN '{n}' END" for n, a, ok in EQUIPMENT_RULES)}) AS reason
+            FROM judged WHERE NOT coalesce({' AND '.join(f"(NOT coalesce({a}, false) OR coalesce({ok}, false))" for _, a, ok in EQUIPMENT_RULES)}, false)"""),
         # data quality
+        "dq_gate": _with(LINES, _rules("docs", EVENT_RULES) + f""" UNION ALL
+            SELECT 'duplicate_rate', count(*), count(*) - (count(DISTINCT {_text('event_id')})
+                + count(DISTINCT CASE WHEN {_text('event_id')} IS NULL THEN 1 END)),
+              (count(*) - (count(DISTINCT {_text('event_id')})
+                + count(DISTINCT CASE WHEN {_text('event_id')} IS NULL THEN 1 END))) / CAST(count(*) AS DOUBLE) < 0.01
+            FROM docs"""),
         "dq_report": _with(LINES, _rules("docs", EVENT_RULES)),
         "dq_violations": _with(LINES, " UNION ALL ".join(
             f"""SELECT {_text('event_id')} AS event_id, '{name}' AS rule FROM docs

@@ -110,3 +110,10 @@ MAX_SENSORS = 50
 RETENTION_MONTHS = 24
 SENSOR_TOPIC = "iot-sensors"
 SERVING_TABLE = "gold_equipment_metrics"
+
+#: Periods that a landing folder may cover.
+GRAINS = ["day", "week", "month", "quarter", "year"]
+
+#: ISO-8601 text: a full date, for readings with a time of day and perhaps a zone.
+ISO_DATE = r"\d{4}-\d{2}-\d{2}"
+ISO_CLOCK = r"[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s?(Z|[+-]\d{2}(:?\d{2})?)?"

@@ -12,8 +12,11 @@ JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # start wide, let AQE merge small shuffle partitions up to the advisory size
+    # start wide, let AQE merge small shuffle partitions up to the advisory size,
+    # not just until every core has one
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 

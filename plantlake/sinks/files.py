@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake import schemas
+from plantlake.session import fresh_path
 from plantlake.sources.files import JSON_TIME
 
 BY_MONTH = ["year", "month", "factory_id"]
@@ -32,23 +34,40 @@ def write_silver(
     writer.format(fmt).save(path)
 
 
-def write_gold(gold: DataFrame, path: str, incremental: bool = False) -> None:
+def write_gold(gold: DataFrame, path: str) -> None:
     """Overwrite Gold as Parquet by year, month and factory.
 
     The rebalance brings each folder's rows together and splits the big ones,
-    so neither many small files nor one huge task result. ``incremental``
-    replaces only the folders present in ``gold``.
+    so neither many small files nor one huge task result.
     """
-    mode = "dynamic" if incremental else "static"
     (
         gold.hint("rebalance", *BY_MONTH)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*BY_MONTH)
         .parquet(path)
     )
 
 
+def replace_months(
+    rows: DataFrame, path: str, months: set[tuple[int, int]], fmt: str = "parquet"
+) -> None:
+    """Make ``rows`` all that the given (year, month) folders hold; others stay.
+
+    A factory that vanished from a month loses its folder. The rows are worked
+    out once, into a staging folder, since they may depend on what is replaced.
+    """
+    spark, staging = rows.sparkSession, fresh_path(rows.sparkSession, "months")
+    writer = rows.hint("rebalance", *BY_MONTH).write.option("timestampFormat", JSON_TIME)
+    writer.partitionBy(*BY_MONTH).format(fmt).save(staging)
+    staged = spark.read.schema(rows.schema).option("timestampFormat", JSON_TIME).format(fmt).load(staging)
+    for year, month in sorted(months):
+        part = staged.where((F.col("year") == year) & (F.col("month") == month)).drop("year", "month")
+        writer = part.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = writer.option("timestampFormat", JSON_TIME).partitionBy("factory_id")
+        writer.format(fmt).save(f"{path}/year={year}/month={month}")
+
+
 def land_by_run_date(records: DataFrame, path: str, mode: str) -> bool:
     """JSON lines per ``run_date``; nothing is written for no rows.
 
@@ -70,6 +89,8 @@ def land_by_run_date(records: DataFrame, path: str, mode: str) -> bool:
 
 def run_date(day: str, grain: str) -> Column:
     """The first day a run covers: daily runs, or a backfill in coarser ones."""
+    if grain not in schemas.GRAINS:
+        raise ValueError(f"grain must be one of {schemas.GRAINS}, not {grain!r}")
     return F.date_trunc(grain, F.col(day).cast("timestamp")).cast("date")
 
 

@@ -82,6 +82,16 @@ def equipment(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EQUIPMENT).json(path)
 
 
+#: When the file that delivered a document was written.
+DELIVERED = "delivered_at"
+
+
+def equipment_delivery(spark: SparkSession, path: str) -> DataFrame:
+    """Delivered documents with :data:`DELIVERED`: a later file's document replaces an earlier one's."""
+    written = F.col("_metadata.file_modification_time").alias(DELIVERED)
+    return equipment(spark, path).select("*", written)
+
+
 def factories(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FACTORY).json(path)
 

@@ -17,12 +17,15 @@ LARGE_FILES = 500_000
 
 
 def landing_rows(messages: DataFrame, arrival: Column | None = None) -> DataFrame:
-    """The untouched line plus its partition: factory (or ``unknown``) and arrival date."""
+    """The untouched line plus its partition: factory (``unknown`` if missing or blank), arrival date."""
     arrived = F.current_timestamp() if arrival is None else arrival
     line = F.col("value").cast("string")
+    named = F.get_json_object(line, "$.factory_id")
+    # an empty folder name would read back as null
+    factory = F.when(F.trim(named) != "", named).otherwise("unknown")
     return messages.select(
         line.alias("value"),
-        F.coalesce(F.get_json_object(line, "$.factory_id"), F.lit("unknown")).alias("factory_id"),
+        factory.alias("factory_id"),
         F.date_format(arrived, "yyyy").alias("year"),
         F.date_format(arrived, "MM").alias("month"),
         F.date_format(arrived, "dd").alias("day"),

@@ -172,16 +172,28 @@ def test_nothing_to_land_writes_nothing(spark, folder):
 def test_retention_keeps_the_boundary_day_and_prunes_folders(spark, folder):
     path = folder + "/erp"
     days = [(1, "1.00", "2022-05-31"), (2, "2.00", "2022-06-01"), (3, "3.00", "2022-06-02"), (4, "4.00", "2024-01-01")]
-    for grain in ("day", "month"):
+    for grain in ("day", "week", "month", "quarter", "year"):
         sinks.land_erp(bronze.erp_records(erp_rows(spark, *days)), f"{path}/{grain}", grain)
-        kept = bronze.retained(
-            files.erp(spark, f"{path}/{grain}"), F.lit("2024-06-02").cast("date"), "event_date"
-        )
+        as_of = F.lit("2024-06-02").cast("date")
+        kept = bronze.retained(files.erp(spark, f"{path}/{grain}"), as_of, "event_date", grain)
         assert sorted(r.id for r in kept.collect()) == [3, 4]
         plan = kept._jdf.queryExecution().executedPlan().toString()
         assert "run_date" in plan.split("PartitionFilters: [")[1].split("], ")[0]
 
 
+def test_retention_knows_the_folders_it_prunes(spark, folder):
+    days = [(1, "1.00", "2024-05-02"), (2, "1.00", "2024-04-30")]
+    for grain in ("week", "year"):
+        sinks.land_erp(bronze.erp_records(erp_rows(spark, *days)), folder + "/erp", grain)
+    rows, as_of = files.erp(spark, folder + "/erp"), F.lit("2026-05-01").cast("date")
+    assert [r.id for r in bronze.retained(rows, as_of, "event_date", "week", "year").collect()] == [1, 1]
+    for grains in ((), ("fortnight",)):
+        with pytest.raises(ValueError):
+            bronze.retained(rows, as_of, "event_date", *grains)
+    with pytest.raises(ValueError):
+        sinks.run_date("event_date", "fortnight")
+
+
 # --- maintenance -----------------------------------------------------------------
 
 
@@ -228,6 +240,23 @@ def test_topic_options():
     options = kafka.topic_options("broker:9092", start="earliest")
     assert options["subscribe"] == "iot-sensors" and options["startingOffsets"] == "earliest"
     assert kafka.topic_options("b")["startingOffsets"] == "latest"
+    # landing must not skip what is gone, alerts go on
+    assert options["failOnDataLoss"] == "true" and kafka.topic_options("b")["failOnDataLoss"] == "false"
+    options = kafka.topic_options("b", max_offsets=10**6, min_partitions=64, extra={"kafka.security.protocol": "SSL"})
+    assert options["maxOffsetsPerTrigger"] == "1000000" and options["minPartitions"] == "64"
+    assert options["kafka.security.protocol"] == "SSL"
+
+
+def test_records_without_an_id_are_all_kept(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 1), (None, 2), ("a", 1), ("a", 2)], "id string, landed_at int")
+    latest = bronze.latest_per_id(rows)
+    assert sorted(map(str, latest.collect())) == sorted(map(str, rows.where("id IS NULL OR landed_at = 2").collect()))
+
+
+def test_preview_prints_schema_and_rows(spark, capsys):
+    sinks.preview(spark.range(3), rows=2)
+    out = capsys.readouterr().out
+    assert "id: long" in out and "only showing top 2 rows" in out
 
 
 def test_split_reads_name_their_ranges():

@@ -7,7 +7,7 @@ from helpers import assert_same, events, reading
 from pyspark.sql import functions as F
 
 from plantlake.operators import gold, silver
-from plantlake.sinks.files import write_gold
+from plantlake.sinks.files import replace_months, write_gold
 from plantlake.sources import files
 
 
@@ -84,7 +84,7 @@ def test_top_critical_puts_unknown_scores_last(spark):
     assert [r.equipment_id for r in out.collect()] == ["C", "B", "A"]
 
 
-def test_gold_round_trip_and_incremental_overwrite(spark, folder):
+def test_gold_round_trip_and_whole_months(spark, folder):
     path = folder + "/gold"
     may = hourly(spark, at(1, 1), at(2, 2, factory_id="FAB-RJ-01"))
     june = hourly(spark, reading(3, timestamp="2024-06-01T00:00:00+00:00"))
@@ -92,9 +92,10 @@ def test_gold_round_trip_and_incremental_overwrite(spark, folder):
     assert_same(may.unionByName(june), files.gold(spark, path))
 
     newer = hourly(spark, at(1, 1, value=99.0))
-    write_gold(newer, path, incremental=True)
-    expected = may.filter("factory_id = 'FAB-RJ-01'").unionByName(june).unionByName(newer)
-    assert_same(expected, files.gold(spark, path))
+    replace_months(newer, path, {(2024, 5)})
+    assert_same(june.unionByName(newer), files.gold(spark, path))  # the other factory is gone
+    replace_months(newer.limit(0), path, {(2024, 5)})
+    assert_same(june, files.gold(spark, path))
 
     write_gold(newer, path)
     assert_same(newer, files.gold(spark, path))

@@ -4,7 +4,7 @@ import pytest
 from helpers import assert_same
 from pyspark.sql import functions as F
 
-from plantlake.operators.joins import lookup_join
+from plantlake.operators.joins import _marked, hot_keys, lookup_join
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +29,10 @@ def table(spark):
 def test_both_ways_agree_with_a_plain_join(spark, rows, table, how):
     plain = rows.join(table, "k", how)
     assert_same(plain, lookup_join(rows, table, ["k"], how))
-    assert_same(plain, lookup_join(rows, table, ["k"], how, max_broadcast_bytes=0, salts=8))
+    assert_same(plain, lookup_join(rows, table, ["k"], how, max_broadcast_bytes=0))
+    for hot in (15, 200):
+        salted = lookup_join(rows, table, ["k"], how, max_broadcast_bytes=0, hot_rows=hot, salts=8)
+        assert_same(plain, salted.select(*plain.columns))
 
 
 def test_small_tables_are_broadcast_and_big_ones_are_not(spark, rows, table):
@@ -37,13 +40,22 @@ def test_small_tables_are_broadcast_and_big_ones_are_not(spark, rows, table):
         return lookup_join(rows, table, ["k"], **options)._jdf.queryExecution().executedPlan().toString()
 
     assert "BroadcastHashJoin" in plan()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        salted = plan(max_broadcast_bytes=0)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Broadcast" not in salted
-    assert "hashpartitioning(k" in salted and "_salt" in salted
+    # default settings: Spark itself would broadcast so small a table
+    plain = plan(max_broadcast_bytes=0)
+    assert "Broadcast" not in plain and "SortMergeJoin" in plain and "explode" not in plain
+    salted = plan(max_broadcast_bytes=0, hot_rows=200)
+    assert "SortMergeJoin [k" in salted and "_salt" in salted
+
+
+def test_only_hot_keys_are_copied(spark, rows, table):
+    found = hot_keys(rows, ["k"], 200).collect()
+    assert [r.k for r in found] == ["hot"]
+    salted = lookup_join(rows, table, ["k"], max_broadcast_bytes=0, hot_rows=200, salts=8)
+    salted.collect()
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Generate explode") == 1
+    marked = _marked(table, hot_keys(rows, ["k"], 200), ["k"])
+    assert {r.k for r in marked.where("_hot").collect()} == {"hot"}
 
 
 def test_copies_of_one_row_are_spread_over_the_salts(spark, table):
@@ -58,7 +70,7 @@ def test_copies_of_one_row_are_spread_over_the_salts(spark, table):
     for key, value in conf.items():
         spark.conf.set(key, value)
     try:
-        joined = lookup_join(copies, table, ["k"], max_broadcast_bytes=0, salts=8)
+        joined = lookup_join(copies, table, ["k"], max_broadcast_bytes=0, hot_rows=1000, salts=8)
         tasks = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
     finally:
         for key, value in before.items():

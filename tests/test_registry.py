@@ -134,6 +134,30 @@ def test_newest_of_repeated_deliveries_wins(spark):
     )
     out = registry.upsert(base, incoming, version="v").collect()
     assert [r.name for r in out] == ["v9"]
+    # without a version: still one document, the same one each time
+    out = registry.upsert(base, incoming.drop("v")).collect()
+    assert [r.name for r in out] == ["v9"]
+
+
+def test_no_delivered_document_is_lost_silently(spark, folder):
+    from plantlake.plans import ingest
+    from plantlake.sources import files
+
+    delivered = documents(
+        spark, document(1), document(1, name="Again"), document(2, type="motor2"), document(3, factory_id="X"),
+    )
+    path = folder + "/registry"
+    out = ingest.build_registry(
+        documents(spark, document(9)), delivered, factories(spark, factory("FAB-SP-01")), path, folder + "/rejects"
+    )
+    assert {r.measure: r.n for r in out.collect() if r.measure != "sensors"} == {
+        "equipment": 2, "delivered": 4, "accepted": 1, "superseded": 1, "refused": 2,
+    }
+    rejects = spark.read.json(folder + "/rejects")
+    assert {r["_id"]: r.reasons for r in rejects.collect()} == {
+        "EQ-0002": ["type"], "EQ-0003": ["unknown_factory"],
+    }
+    assert sorted(r["_id"] for r in files.equipment(spark, path).collect()) == ["EQ-0001", "EQ-0009"]
 
 
 @pytest.mark.parametrize(
@@ -197,9 +221,9 @@ def test_factory_conflicts_between_sources(spark):
     layout = "equipment_id string, factory_id string"
     a = spark.createDataFrame([("E1", "A"), ("E2", "A"), ("E2", "A")], layout)
     b = spark.createDataFrame([("E1", "B"), ("E2", "A"), ("E3", None)], layout)
-    out = registry.factory_conflicts(a, b).collect()
-    assert [(r.equipment_id, r.factories, r.first_factory, r.last_factory) for r in out] == [
-        ("E1", 2, "A", "B")
+    out = registry.factory_conflicts(erp=a, registry=b).collect()
+    assert sorted((r.equipment_id, r.source, r.factory_id, r.factories) for r in out) == [
+        ("E1", "erp", "A", 2), ("E1", "registry", "B", 2)
     ]
 
 

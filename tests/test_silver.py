@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from helpers import assert_same, events, line, messages, reading
 from pyspark.sql import functions as F
 
@@ -129,3 +130,21 @@ def test_blank_lines_are_skipped_by_the_file_scan(spark, folder):
     with open(folder + "/a.json", "w") as f:
         f.write("\n" + json.dumps(reading(1)) + "\n\n" + json.dumps(reading(2)) + "\n")
     assert files.mixed_bronze(spark, folder).count() == 2
+
+
+@pytest.mark.parametrize("text", ["12:30", "2024", "T01", "2024-05", "2024-05-01T", "05-01-2024", "", " "])
+def test_text_without_a_full_date_is_no_time(spark, text):
+    from plantlake.functions.scalars import event_time
+
+    row = spark.createDataFrame([(text,)], "timestamp string").select(event_time().alias("t")).first()
+    assert row.t is None
+
+
+@pytest.mark.parametrize(
+    "text", ["2024-05-01", "2024-05-01T10:00", "2024-05-01 10:00:00", "2024-05-01T10:00:00.123456Z", " 2024-05-01T10:00:00+02:00 "]
+)
+def test_iso_texts_are_times(spark, text):
+    from plantlake.functions.scalars import event_time
+
+    row = spark.createDataFrame([(text,)], "timestamp string").select(event_time().alias("t")).first()
+    assert row.t is not None
