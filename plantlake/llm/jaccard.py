@@ -33,13 +33,14 @@ from plantlake.llm.shingles import SHINGLE_WORDS, Shingler, set_key
 PERCENT = 80
 #: Shingles a task gathers before it reports those it saw twice, and reports that make one frequent.
 GATHERED = 4_000_000
-FREQUENT = 16
+FREQUENT = 3
 #: Frequent n-grams whose rank every task knows. Only the order of columns depends on it.
 RANKED = 1_000_000
 #: All classes that are left meet once that is no more than so many pairs per matrix cell;
-#: rounds against leaders go before it.
-MEETINGS_PER_CELL = 4
-MAX_LEADER_ROUNDS = 12
+#: rounds against leaders go before it, as long as they take pairs away.
+MEETINGS_PER_CELL = 16
+MAX_LEADER_ROUNDS = 6
+FADING = 0.9
 
 
 def _frequencies(docs: DataFrame, words: int) -> DataFrame:
@@ -295,24 +296,37 @@ def _component_labels(docs, sketches, classes, words: int, percent: int) -> Data
         cells.select("node").distinct().select("node", F.col("node").alias("comp")), "jaccard-labels"
     )
     verifier = _Verifier(docs, sketches, words, percent)
-    for turn in range(MAX_LEADER_ROUNDS):
-        known = cells.join(labels, "node")
-        if _meetings(known) <= MEETINGS_PER_CELL * cells.count():
+    before = None
+    for turn in range(MAX_LEADER_ROUNDS + 1):
+        cells = _open_cells(cells, labels)
+        meetings, count = _meetings(cells)
+        few = meetings <= MEETINGS_PER_CELL * count
+        if few or turn == MAX_LEADER_ROUNDS or (before and meetings > FADING * before):
             break
-        pairs = stored(_leader_pairs(known, turn, percent), "jaccard-pairs")
+        before = meetings
+        pairs = stored(_leader_pairs(cells, turn, percent), "jaccard-pairs")
         links = verifier.links(pairs)
-        if not links.isEmpty():
-            labels = _relabelled(labels, links)
-    links = verifier.links(_all_pairs(cells.join(labels, "node"), percent))
+        if links.isEmpty():
+            break
+        labels = _relabelled(labels, links)
+    links = verifier.links(_all_pairs(cells, percent))
     return labels if links.isEmpty() else _relabelled(labels, links)
 
 
-def _meetings(cells: DataFrame) -> int:
-    """Pairs of different components that meet in a column, over all columns."""
-    sizes = cells.groupBy("gram", "comp").agg(F.count("*").alias("n"))
+def _open_cells(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """The cells, with their component, of columns where different components meet."""
+    known = cells.drop("comp").join(labels, "node")
+    ends = known.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return stored(known.join(ends.where("lo < hi").select("gram"), "gram"), "jaccard-cells")
+
+
+def _meetings(cells: DataFrame) -> tuple[float, int]:
+    """Pairs of different components that meet in a column, over all columns; the number of cells."""
+    sizes = cells.groupBy("gram", "comp").agg(F.count("*").cast("double").alias("n"))
     columns = sizes.groupBy("gram").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    total = columns.agg(F.sum((F.col("all").cast("double") ** 2 - F.col("same")) / 2)).first()[0]
-    return total or 0
+    pairs = F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)
+    row = columns.agg(pairs.alias("pairs"), F.sum("all").alias("cells")).first()
+    return row["pairs"] or 0.0, int(row["cells"] or 0)
 
 
 def _leader_pairs(cells: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -334,8 +348,6 @@ def _leader_pairs(cells: DataFrame, turn: int, percent: int) -> DataFrame:
 
 def _all_pairs(cells: DataFrame, percent: int) -> DataFrame:
     """a, b: classes of different components that meet in a head column and may still link."""
-    several = cells.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    cells = cells.join(several.where("lo < hi").select("gram"), "gram", "left_semi")
     x = cells.select("gram", *[F.col(c).alias(f"{c}x") for c in ("node", "comp", "n", "pos")])
     y = cells.select("gram", *[F.col(c).alias(f"{c}y") for c in ("node", "comp", "n", "pos")])
     longer = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("nodex") > F.col("nodey"))
