@@ -221,7 +221,8 @@ class LineIndex:
     def drops(self, docs: DataFrame) -> DataFrame:
         """drop_id, lines (hashes): the lines that each document of ``docs`` loses."""
         hits = self._lines(docs, self._probe())
-        counted = self.references().where(F.col("n_docs") >= self.min_docs)
+        # written first: a join of two plain tables can be split where a line is hot
+        counted = stored(self.references().where(F.col("n_docs") >= self.min_docs), "line-counts")
         hits = stored(hits, "line-hits").join(counted, ["high", "low"])
         lost = hits.where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
         line = F.struct("high", "low")
