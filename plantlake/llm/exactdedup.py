@@ -91,7 +91,10 @@ class DigestIndex:
         log.repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
         chosen = fresh.select("digest", F.col("last.row").alias("keep_row"))
-        decided = self.entries().hint("merge").join(chosen.hint("merge"), "digest", "left")
+        # written first: a join of two plain tables can be split where a digest is hot
+        decided = stored(
+            self.entries().hint("merge").join(chosen.hint("merge"), "digest", "left"), "digest-keepers"
+        )
         return rows.join(decided.hint("merge"), "digest").select(
             "doc_id",
             "digest",
