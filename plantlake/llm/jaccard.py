@@ -41,6 +41,8 @@ RANKED = 1_000_000
 MEETINGS_PER_CELL = 16
 MAX_LEADER_ROUNDS = 6
 FADING = 0.9
+#: Columns of a pair's heads that are counted before its heads are compared.
+COUNTED = 6
 
 
 def _frequencies(docs: DataFrame, words: int) -> DataFrame:
@@ -150,8 +152,17 @@ def _head_linked(n1: Column, n2: Column, common: Column, percent: int) -> Column
     Up to the smaller of the last columns of the two heads, one head is
     complete: what it misses there, the overlap misses as well.
     """
-    needed = F.ceil(percent * (n1 + n2) / (100 + percent))
-    return common >= needed - F.ceil(percent * F.greatest(n1, n2) / 100) + 1
+    return common >= _needed(n1, n2, percent)
+
+
+def _needed(n1: Column, n2: Column, percent: int) -> Column:
+    overlap = F.ceil(percent * (n1 + n2) / (100 + percent))
+    return overlap - F.ceil(percent * F.greatest(n1, n2) / 100) + 1
+
+
+def _head(n: Column, percent: int) -> Column:
+    """:func:`head_size` as an expression."""
+    return n - F.ceil(percent * n / 100) + 1
 
 
 def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -351,12 +362,18 @@ def _all_pairs(cells: DataFrame, percent: int) -> DataFrame:
     x = cells.select("gram", *[F.col(c).alias(f"{c}x") for c in ("node", "comp", "n", "pos")])
     y = cells.select("gram", *[F.col(c).alias(f"{c}y") for c in ("node", "comp", "n", "pos")])
     longer = (F.col("nx") > F.col("ny")) | (F.col("nx") == F.col("ny")) & (F.col("nodex") > F.col("nodey"))
-    # counted from the pair's first common column, no more can overlap than what follows it
-    most = F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy"))
+    # the heads share ``needed`` columns or more; of those, the first ``some`` lie so far in front
+    # in both heads that the others have room behind them
+    needed = _needed(F.col("nx"), F.col("ny"), percent)
+    some = F.least(needed, F.lit(COUNTED))
+    room = needed - some
+    ahead = (F.col("posx") < _head(F.col("nx"), percent) - room) & (
+        F.col("posy") < _head(F.col("ny"), percent) - room
+    )
     met = x.join(y, "gram").where(
-        (F.col("compx") != F.col("compy")) & longer
-        & _may_link(F.col("nx"), F.col("ny"), percent)
-        & _linked(F.col("nx"), F.col("ny"), most, percent)
+        (F.col("compx") != F.col("compy")) & longer & _may_link(F.col("nx"), F.col("ny"), percent) & ahead
+    )
+    overlaps = met.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b")).agg(
+        F.count("*").alias("overlap"), F.first(some).alias("some")
     )
-    overlaps = met.groupBy(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
-    return overlaps.agg(F.count("*").alias("overlap")).select("a", "b")
+    return overlaps.where(F.col("overlap") >= F.col("some")).select("a", "b")
