@@ -91,14 +91,23 @@ def shard_rows(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     shard or page of its own. Only sizes and hashes are shuffled. An empty
     table gives no rows.
     """
-    sized = docs.select(
-        "doc_id",
+    columns = ["doc_id", "bytes", "depth", "shard", "shard_bytes", "shard_rows"]
+    return _placed(stored(docs.select(*_sized()), "shard-rows"), limit).select(*columns)
+
+
+def _sized() -> list[Column]:
+    """What a row's place depends on."""
+    return [
+        F.col("doc_id"),
         F.octet_length(whole_text(F.col("text"))).cast("long").alias("bytes"),
         key_hash(F.col("doc_id")).alias("h"),
         F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().alias("row"),
-    )
-    sized = stored(sized, "shard-rows")
+    ]
+
+
+def _placed(sized: DataFrame, limit: int) -> DataFrame:
+    """doc_id, bytes, row, depth, shard, shard_bytes, shard_rows for each row of ``sized``, a stored table."""
     # a third of the rows may share an id: sums per id and task come first
     hashes = stored(
         sized.groupBy("h").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")),
@@ -124,7 +133,7 @@ def shard_rows(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         F.expr("substring(lpad(bin(b.slot), 60, '0'), 61 - b.depth, 60)").alias("shard"),
     )
     paged = (F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)
-    columns = ["doc_id", "bytes", "depth", "shard", "shard_bytes", "shard_rows"]
+    columns = ["doc_id", "bytes", "row", "depth", "shard", "shard_bytes", "shard_rows"]
     if hashes.where((F.col("bytes") > limit) & (F.col("n") > 1)).isEmpty():
         return placed.select(*columns)
     return placed.where(~paged).select(*columns).unionByName(
@@ -148,10 +157,12 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """Whole documents as Parquet, one folder per shard. Row ids tie text to shard.
+    """Whole documents as Parquet, one folder per shard: every row where :func:`shard_rows` puts it.
 
-    For tables whose doc_id is unique and not null; others keep their first row of each id.
+    Rows are stored with their text and row number first, and the number ties
+    text to shard, so null and repeated ids keep all their rows and pages.
     """
-    where = shard_rows(docs, limit).select("doc_id", "shard").dropDuplicates(["doc_id"])
-    placed = docs.join(where, "doc_id")
+    kept = stored(docs.select(F.struct("*").alias("doc"), *_sized()), "shard-documents")
+    where = _placed(kept.drop("doc"), limit).select("row", "shard")
+    placed = kept.select("row", "doc").join(sized_broadcast(where, 128), "row").select("doc.*", "shard")
     placed.repartition("shard").write.partitionBy("shard").parquet(path)

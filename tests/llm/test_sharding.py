@@ -3,6 +3,8 @@
 import os
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from plantlake.llm.sharding import shard_rows, write_shards
 
 from .conftest import prose
@@ -53,3 +55,16 @@ def test_write_shards(spark, documents, folder):
     back = spark.read.parquet(folder + "/out")
     assert back.count() == 40 and back.select(docs.columns).exceptAll(docs).isEmpty()
     assert len([d for d in os.listdir(folder + "/out") if d.startswith("shard=")]) > 3
+
+
+def test_write_shards_keeps_null_and_repeated_ids_on_their_pages(spark, documents, folder):
+    docs = documents(
+        *[(7, prose(k, 30)) for k in range(60)], *[(None, prose(100 + k, 30)) for k in range(20)],
+        *[(k, prose(200 + k, 30)) for k in range(20)], (None, None), (7, prose(0, 30)),
+    )
+    write_shards(docs, folder + "/out", 1000)
+    back = spark.read.parquet(folder + "/out")
+    assert back.count() == 102 and back.select(docs.columns).exceptAll(docs).isEmpty()
+    sizes = back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    assert sizes.where("bytes > 1000").isEmpty()
+    assert sizes.count() == shard_rows(docs, 1000).select("shard").distinct().count()
