@@ -96,14 +96,22 @@ def surface(raw: bytes, words: list[bytes], distinct: int) -> list[float]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, targets, limit: int) -> DataFrame:
-    """text and 0/1 per target for at most ``limit`` labelled rows, the same each run."""
+    """text and 0/1 per target for at most ``limit`` labelled rows, the same each run.
+
+    Ids are drawn among those that have a document, and an id that repeats
+    gives one row, the one with the smallest hash of its text.
+    """
     marked = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         *[F.max(t.label).cast("int").alias(f"t{k}") for k, t in enumerate(targets)]
     )
-    drawn = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    held = marked.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    drawn = held.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     drawn = F.broadcast(drawn)  # at most ``limit`` rows of a few numbers
     picked = docs.select("doc_id", "text").join(drawn, "doc_id")
-    return picked.drop("doc_id")
+    # each task sends one row of an id, however many it has
+    marks = [f"t{k}" for k in range(len(targets))]
+    one = picked.groupBy("doc_id", *marks).agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return one.select("one.text", *marks)
 
 
 def _chosen_words(sample: DataFrame, target: int) -> list[int]:

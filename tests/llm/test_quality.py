@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plantlake.llm.quality import STRENGTH, accepted, classify, fit_logistic, site_rates
+from plantlake.llm.quality import STRENGTH, TARGETS, _sample, accepted, classify, fit_logistic, site_rates
 
 from .conftest import prose
 
@@ -81,3 +81,14 @@ def test_without_labels_all_stay_and_an_empty_table_is_empty(spark, documents):
     empty = documents((1, "a")).where("false")
     assert classify(empty, none, F.col("source"), F.col("lang")).collect() == []
     assert accepted(empty, none, F.col("source"), F.col("lang")).collect() == []
+
+
+def test_the_sample_is_bounded_in_rows_and_full(spark, documents):
+    """An id with a third of the rows gives one of them; labels without a document take no place."""
+    docs = documents(*[(7, prose(k, 10)) for k in range(40)], *[(k, prose(k, 10)) for k in range(10, 90)])
+    marks = [(k, k % 2, 0) for k in (7, *range(10, 90), *range(1000, 3000))]
+    labels = spark.createDataFrame(marks, LABELS)
+    everything = _sample(docs, labels, TARGETS, 10_000)
+    assert everything.count() == 81 and everything.where("t0 is null").isEmpty()
+    drawn = _sample(docs, labels, TARGETS, 50)
+    assert drawn.count() == 50 and drawn.exceptAll(_sample(docs, labels, TARGETS, 50)).isEmpty()
