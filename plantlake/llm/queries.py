@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import ann, bpe, exactdedup, jaccard, linededup, mixing, quality, sharding, substrings, urlfilter
+from plantlake.llm import (
+    ann,
+    bpe,
+    exactdedup,
+    jaccard,
+    linededup,
+    mixing,
+    quality,
+    sharding,
+    substrings,
+    urlfilter,
+    veccodes,
+)
 from plantlake.llm.common import stored, table
 from plantlake.session import fresh_path
 
@@ -254,3 +266,53 @@ def op1_nearest(spark, sf_dir):
 def op7_substring_dedup(spark, sf_dir):
     """Every passage of 50 words or more that an earlier document holds as well."""
     return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+# --- 13: vector code compression ----------------------------------------------
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    """Every vector's code and error, after four rounds on four codebooks."""
+    coded, books = veccodes.compress(table(spark, sf_dir, "embeddings"))
+    told = veccodes.with_label_error(coded)
+    return told.select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256() if books else None).alias("codebooks_sha256")
+    )
+
+
+def vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Distances to all entries, a round after the other; sums stay below 2^53, so doubles are exact."""
+    near = lambda r: f"""
+    a{r} AS MATERIALIZED (
+      SELECT row, part, any_value(y) AS y,
+        min({{'d': list_dot_product(y, y) - 2 * list_dot_product(y, c) + list_dot_product(c, c), 'e': e}}) AS best
+      FROM p JOIN c{r} USING (part) GROUP BY row, part)"""
+    better = lambda r: f"""
+    m{r} AS (
+      SELECT part, e, list(v ORDER BY j) AS c FROM (
+        SELECT part, best.e AS e, j, floor(sum(y[j]) / count(*)) AS v
+        FROM (SELECT *, unnest(range(1, len(y) + 1)) AS j FROM a{r}) GROUP BY ALL)
+      GROUP BY ALL),
+    c{r + 1} AS MATERIALIZED (
+      SELECT part, e, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (part, e))"""
+    steps = ",".join(near(r) + "," + better(r) for r in range(rounds))
+    return f"""
+    WITH v AS (
+      SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS row,
+        [floor({veccodes.SCALE} * CAST(x AS DOUBLE)) FOR x IN embedding] AS ints
+      FROM embeddings WHERE len(embedding) = len([x FOR x IN embedding IF isfinite(x)])),
+    p AS MATERIALIZED (
+      SELECT row, vec_id, part, ints[part * len(ints) // {parts} + 1 : (part + 1) * len(ints) // {parts}] AS y
+      FROM v, (SELECT unnest(range({parts})) AS part)),
+    c0 AS MATERIALIZED (SELECT part, row - 1 AS e, y AS c FROM p WHERE row <= {entries}),{steps},{near(rounds)},
+    s AS (
+      SELECT row, string_agg(right('0' || hex(best.e), 2), '' ORDER BY part) AS code,
+        CAST(sum(best.d) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY row)
+    SELECT vec_id, lower(code) AS code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+      (SELECT sha256(string_agg(array_to_string([CAST(x AS BIGINT) FOR x IN c], ','), ',' ORDER BY part, e)) FROM c{rounds}) AS codebooks_sha256
+    FROM v JOIN s USING (row)
+    """
+
+
+ORACLE["op13_vector_codes"] = vector_codes_sql()
