@@ -17,6 +17,7 @@ from plantlake.llm import (
     quality,
     sharding,
     substrings,
+    tokenalign,
     urlfilter,
     veccodes,
 )
@@ -316,3 +317,15 @@ def vector_codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str
 
 
 ORACLE["op13_vector_codes"] = vector_codes_sql()
+
+# --- 11: cross-tokenizer alignment ---------------------------------------------
+
+
+@query
+def op11_token_alignment(spark, sf_dir):
+    """How two tokenizers' tokens meet in every document, and how usual those meetings are."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return tokenalign.align(docs, *files)

@@ -1,0 +1,141 @@
+"""Alignment of two tokenizers: equal to the libraries and a plain double loop."""
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from plantlake.llm import tokenalign
+from plantlake.llm.queries import QUERIES
+
+FILES = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+LEFT = Tokenizer.from_file(FILES[0])
+LEFT.encode_special_tokens = True
+RIGHT = sentencepiece.SentencePieceProcessor(model_file=FILES[1])
+
+
+def left_bytes(token):
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters, extra = {}, 256
+    for byte in range(256):
+        if byte in plain:
+            letters[chr(byte)] = byte
+        else:
+            letters[chr(extra)] = byte
+            extra += 1
+    return bytes(letters[c] for c in token)
+
+
+def right_bytes(i):
+    piece = RIGHT.id_to_piece(i)
+    return bytes([int(piece[3:5], 16)]) if piece.startswith("<0x") else piece.replace("▁", " ").encode()
+
+
+def sides(text):
+    """(id, start, end) of both sides, or None."""
+    if not text:
+        return None
+    found = []
+    a = LEFT.encode(" " + text, add_special_tokens=False).ids
+    for ids, piece in ((a, lambda i: left_bytes(LEFT.id_to_token(i))), (RIGHT.encode(text), right_bytes)):
+        at, side = 0, []
+        for i in ids:
+            side.append((i, at, at + len(piece(i))))
+            at = side[-1][2]
+        if b"".join(piece(i) for i in ids) != (" " + text).encode():
+            return None
+        found.append(side)
+    return found
+
+
+def brute(docs):
+    groups_of, held = {}, Counter()
+    for row, (_, text) in enumerate(docs):
+        found = sides(text)
+        if found is None:
+            continue
+        a, b = found
+        cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        groups, rest = [], [iter(a), iter(b)]
+        for cut in cuts:
+            pair = ([], [])
+            for ids, side in zip(pair, rest, strict=True):
+                for i, _, end in side:
+                    ids.append(i)
+                    if end == cut:
+                        break
+            groups.append(pair)
+        groups_of[row] = groups
+        held.update({(x, y) for ga, gb in groups for x in ga for y in gb})
+    top = {}
+    for (x, _), n in held.items():
+        top[x] = max(top.get(x, 0), n)
+    out = []
+    for row, (doc_id, _) in enumerate(docs):
+        groups = groups_of.get(row, [])
+        links = [(x, y) for ga, gb in groups for x in ga for y in gb]
+        text = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups)
+        out.append((
+            doc_id, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), len(links),
+            sum(held[p] == top[p[0]] for p in links), sum(held[p] for p in links),
+            hashlib.sha256(text.encode()).hexdigest() if groups else "",
+        ))
+    return sorted(out, key=str)
+
+
+ODD = [
+    None, "", " ", "\n\t \r\x0b", "a<|endoftext|>b <s></s><unk><0x0A>", "already ▁ marked", "naïve café ﬁ Å é ½",
+    "日本語 текст \U0001f600\U0001f600", "\x00 nul", "x" * 5000, "ab" * 3000 + " it's", " lead and trail  ", "  z\x85",
+    "the same text", "the same text", "the same text", "The Same Text",
+]
+
+
+@pytest.mark.parametrize("limit", [tokenalign.FREQUENT_PAIRS, 5, 0])
+def test_odd_texts(spark, documents, limit):
+    docs = [*enumerate(ODD), (0, "again the same"), (None, "no id")]
+    got = tokenalign.align(documents(*docs), *FILES, limit)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    got = QUERIES["op11_token_alignment"](spark, sf_dir)
+    docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs)
+
+
+def test_copies_weigh_but_are_aligned_once(spark, documents):
+    docs = documents(*[(k, "a hot text") for k in range(500)], (900, "another"), (901, None))
+    texts = tokenalign.distinct_texts(docs)
+    assert {(r.text, r.docs) for r in texts.collect()} == {("a hot text", 500), ("another", 1)}
+    got = tokenalign.align(docs, *FILES).where("doc_id < 500").drop("doc_id").distinct().collect()
+    assert len(got) == 1 and got[0].count_sum == 500 * got[0].n_links
+
+
+def test_wide_groups_are_counted_like_listed_ones(monkeypatch):
+    aligner = tokenalign.Tools(open(FILES[0], encoding="utf-8").read(), open(FILES[1], "rb").read()).get()
+    found = aligner.align("日本語 текст and 字字字字 some words, \U0001f600 more")
+    listed = [x.tolist() for x in found.pairs(aligner.base)]
+    monkeypatch.setattr(tokenalign, "WIDE_GROUP", 1)
+    assert [x.tolist() for x in found.pairs(aligner.base)] == listed
+
+
+def test_groups_as_text(spark, documents):
+    tools = tokenalign.Tools(open(FILES[0], encoding="utf-8").read(), open(FILES[1], "rb").read())
+    row = tokenalign.align_texts(tokenalign.distinct_texts(documents((1, "hello there"))), tools, with_groups=True).first()
+    assert hashlib.sha256(row.groups.encode()).hexdigest() == row.groups_sha256
+    assert row.groups.count(";") == row.n_groups - 1
+
+
+@pytest.mark.parametrize("run", [" ", "x", "!", "\n"])
+def test_long_runs(run):
+    """The faster encoder's time would grow with the square of the run."""
+    tokens = tokenalign.ByteTokenizer(open(FILES[0], encoding="utf-8").read())
+    text = " a" + run * 300_000 + "b"
+    assert tokens.ids(text) == LEFT.encode(text, add_special_tokens=False).ids
+
+
+def test_empty_table(spark, documents):
+    assert tokenalign.align(documents((1, "a")).where("false"), *FILES).collect() == []
