@@ -104,21 +104,6 @@ class PieceTokenizer:
         return self.model.encode(text, num_threads=1)
 
 
-class Tools:
-    """Both tokenizers, made once in each worker; only the files' contents travel."""
-
-    def __init__(self, definition: str, model: bytes):
-        self.files, self.made = (definition, model), None
-
-    def __getstate__(self):
-        return {"files": self.files, "made": None}
-
-    def get(self) -> Aligner:
-        if self.made is None:
-            self.made = Aligner(ByteTokenizer(self.files[0]), PieceTokenizer(self.files[1]))
-        return self.made
-
-
 class Alignment:
     """A text's ids of both sides and the groups they fall in."""
 
@@ -157,6 +142,8 @@ class Alignment:
 
 
 class Aligner:
+    """Both tokenizers, and how their ids are written."""
+
     def __init__(self, left: ByteTokenizer, right: PieceTokenizer):
         self.left, self.right = left, right
         self.base = len(right.pieces)
@@ -167,6 +154,13 @@ class Aligner:
             for t, last in ((left, "|"), (right, ";"))
         ]
 
+    @classmethod
+    def of(cls, files: dict) -> Aligner:
+        """From the files' contents, which keep what was made for the worker's next task."""
+        if "made" not in files:
+            files["made"] = cls(ByteTokenizer(files["definition"]), PieceTokenizer(files["model"]))
+        return files["made"]
+
     def align(self, text: str) -> Alignment | None:
         """None if the pieces of either side do not make up a space and the text."""
         if not text:
@@ -203,7 +197,13 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     return held.groupBy("text").agg(F.count(F.lit(1)).alias("docs"))
 
 
-def align_texts(texts: DataFrame, tools: Tools, with_groups: bool = False) -> DataFrame:
+def contents(definition: str, model: str) -> dict:
+    """What travels to the workers: the vocabulary files themselves."""
+    with open(definition, encoding="utf-8") as file, open(model, "rb") as other:
+        return {"definition": file.read(), "model": other.read()}
+
+
+def align_texts(texts: DataFrame, files: dict, with_groups: bool = False) -> DataFrame:
     """A row per text of :func:`distinct_texts`.
 
     digest (SHA-256 of the text), docs, n_a, n_b, n_groups, n_links,
@@ -212,12 +212,12 @@ def align_texts(texts: DataFrame, tools: Tools, with_groups: bool = False) -> Da
     up has zeros and an empty ``groups_sha256``.
     """
     small_batches(texts.sparkSession)
-    shipped = texts.sparkSession.sparkContext.broadcast(tools)
+    shipped = texts.sparkSession.sparkContext.broadcast(files)
     numbers = ["n_a", "n_b", "n_groups", "n_links"]
     text_columns = ["groups_sha256", "groups"] if with_groups else ["groups_sha256"]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = shipped.value.get()
+        aligner = Aligner.of(shipped.value)
         for batch in batches:
             counts, told, keys, times = [], [], [], []
             for value in batch.column("text"):
@@ -300,11 +300,9 @@ def align(docs: DataFrame, definition: str, model: str, limit: int = FREQUENT_PA
     have zeros and ''. Rows that repeat an id, or have none, are documents of
     their own. An empty table gives no rows. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    with open(definition, encoding="utf-8") as file, open(model, "rb") as other:
-        tools = Tools(file.read(), other.read())
-    aligned = stored(align_texts(distinct_texts(docs), tools), "aligned")
-    base = tools.get().base
+    files = contents(definition, model)
+    aligned = stored(align_texts(distinct_texts(docs), files), "aligned")
+    base = len(PieceTokenizer(files["model"]).pieces)
     measures = link_measures(aligned, pair_counts(aligned, base), limit)
     numbers = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     texts = aligned.drop("pairs", "times", "docs").join(measures.hint("merge"), "digest", "left")

@@ -1,5 +1,6 @@
 """Alignment of two tokenizers: equal to the libraries and a plain double loop."""
 
+import functools
 import hashlib
 from collections import Counter
 
@@ -17,18 +18,28 @@ LEFT.encode_special_tokens = True
 RIGHT = sentencepiece.SentencePieceProcessor(model_file=FILES[1])
 
 
-def left_bytes(token):
+def _letters():
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters, extra = {}, 256
     for byte in range(256):
-        if byte in plain:
-            letters[chr(byte)] = byte
-        else:
-            letters[chr(extra)] = byte
-            extra += 1
-    return bytes(letters[c] for c in token)
+        letters[chr(byte if byte in plain else extra)] = byte
+        extra += byte not in plain
+    return letters
+
+
+LETTERS = _letters()
+
+
+def left_bytes(token):
+    return bytes(LETTERS[c] for c in token)
+
+
+@functools.cache
+def left_bytes_of(i):
+    return left_bytes(LEFT.id_to_token(i))
 
 
+@functools.cache
 def right_bytes(i):
     piece = RIGHT.id_to_piece(i)
     return bytes([int(piece[3:5], 16)]) if piece.startswith("<0x") else piece.replace("▁", " ").encode()
@@ -40,7 +51,7 @@ def sides(text):
         return None
     found = []
     a = LEFT.encode(" " + text, add_special_tokens=False).ids
-    for ids, piece in ((a, lambda i: left_bytes(LEFT.id_to_token(i))), (RIGHT.encode(text), right_bytes)):
+    for ids, piece in ((a, left_bytes_of), (RIGHT.encode(text), right_bytes)):
         at, side = 0, []
         for i in ids:
             side.append((i, at, at + len(piece(i))))
@@ -115,7 +126,7 @@ def test_copies_weigh_but_are_aligned_once(spark, documents):
 
 
 def test_wide_groups_are_counted_like_listed_ones(monkeypatch):
-    aligner = tokenalign.Tools(open(FILES[0], encoding="utf-8").read(), open(FILES[1], "rb").read()).get()
+    aligner = tokenalign.Aligner.of(tokenalign.contents(*FILES))
     found = aligner.align("日本語 текст and 字字字字 some words, \U0001f600 more")
     listed = [x.tolist() for x in found.pairs(aligner.base)]
     monkeypatch.setattr(tokenalign, "WIDE_GROUP", 1)
@@ -123,8 +134,8 @@ def test_wide_groups_are_counted_like_listed_ones(monkeypatch):
 
 
 def test_groups_as_text(spark, documents):
-    tools = tokenalign.Tools(open(FILES[0], encoding="utf-8").read(), open(FILES[1], "rb").read())
-    row = tokenalign.align_texts(tokenalign.distinct_texts(documents((1, "hello there"))), tools, with_groups=True).first()
+    files = tokenalign.contents(*FILES)
+    row = tokenalign.align_texts(tokenalign.distinct_texts(documents((1, "hello there"))), files, with_groups=True).first()
     assert hashlib.sha256(row.groups.encode()).hexdigest() == row.groups_sha256
     assert row.groups.count(";") == row.n_groups - 1
 
@@ -132,7 +143,7 @@ def test_groups_as_text(spark, documents):
 @pytest.mark.parametrize("run", [" ", "x", "!", "\n"])
 def test_long_runs(run):
     """The faster encoder's time would grow with the square of the run."""
-    tokens = tokenalign.ByteTokenizer(open(FILES[0], encoding="utf-8").read())
+    tokens = tokenalign.ByteTokenizer(tokenalign.contents(*FILES)["definition"])
     text = " a" + run * 300_000 + "b"
     assert tokens.ids(text) == LEFT.encode(text, add_special_tokens=False).ids
 
