@@ -14,6 +14,7 @@ from plantlake.llm import (
     jaccard,
     linededup,
     mixing,
+    pii,
     quality,
     sharding,
     substrings,
@@ -329,3 +330,12 @@ def op11_token_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return tokenalign.align(docs, *files)
+
+# --- 12: personal data -----------------------------------------------------------
+
+
+@query
+def op12_pii(spark, sf_dir):
+    """Every document's personal data: the patterns' spans, and those a CRF adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(pii.labelled(docs)))
