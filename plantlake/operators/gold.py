@@ -81,6 +81,52 @@ def regroup(gold: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def merged(gold: DataFrame, *keys: str) -> DataFrame:
+    """The measures of :func:`rollup` over ``keys``, from finer Gold alone.
+
+    A Gold row carries count, mean and deviation, so also its sum of squared
+    deviations, M2 = (n - 1) std². Groups merge by the variance formula
+    M2 = Σ M2ᵢ + Σ nᵢ (meanᵢ - mean)²: the common mean is found first, so that
+    large means do not cancel small spreads. Event counts are value counts, as
+    Silver has no null values.
+    """
+    n, mean = F.col("event_count"), F.col("avg_value")
+    common = gold.groupBy(*keys).agg(
+        F.try_divide(F.sum(mean * n), F.sum(n)).alias("common_mean")
+    )
+    same = [F.col(f"fine.{k}").eqNullSafe(F.col(f"coarse.{k}")) for k in keys]
+    met = gold.alias("fine").join(common.alias("coarse"), same).select("fine.*", "common_mean")
+    own = F.coalesce((n - 1) * F.col("std_value") * F.col("std_value"), F.lit(0.0))
+    off = mean - F.col("common_mean")
+    total = F.sum(n)
+    return met.groupBy(*keys).agg(
+        F.first("common_mean").alias("avg_value"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.when(total > 1, F.sqrt(F.sum(own + n * off * off) / (total - 1))).alias("std_value"),
+        total.alias("event_count"),
+        F.sum("anomaly_count").alias("anomaly_count"),
+    )
+
+
+def coarser(gold: DataFrame, grain: str, fine: str = "hour") -> DataFrame:
+    """Gold of a coarser calendar unit, with scores, from finer Gold instead of Silver."""
+    units = list(CALENDAR)
+    if grain not in units[: units.index(fine)]:
+        raise ValueError(f"grain must be coarser than {fine}, not {grain!r}")
+    bucket = f"timestamp_{grain}"
+    keys = ["equipment_id", "factory_id", "measurement_type", bucket]
+    parts = {u: CALENDAR[u](bucket) for u in units[: units.index(grain) + 1]}
+    rows = gold.drop(*CALENDAR).withColumn(bucket, F.date_trunc(grain, f"timestamp_{fine}"))
+    found = merged(rows, *keys).withColumns(parts)
+    return score(found.select(*keys, *parts, *[c for c in found.columns if c not in keys and c not in parts]))
+
+
+def spread(gold: DataFrame, *keys: str) -> DataFrame:
+    """Deviation, anomaly rate and criticality at a dashboard's grain, from Gold."""
+    return score(merged(gold, *keys))
+
+
 def event_type_totals(erp: DataFrame) -> DataFrame:
     """ERP events and cost by type."""
     return erp.groupBy("event_type").agg(

@@ -13,7 +13,8 @@ from plantlake.functions.records import decode_events, encode_events
 from plantlake.functions.scalars import clamp, event_time, lookup
 from plantlake.operators import alerts, bronze, gold, quality, registry, silver
 from plantlake.plans import feeds, ingest
-from plantlake.plans.daily import run_daily
+from plantlake.plans.daily import lines_to_silver, run_daily, update_silver
+from plantlake.plans.ledger import RunLedger
 from plantlake.session import fresh_path, pin_utc
 from plantlake.sinks import files as sinks
 from plantlake.sinks.serving import counted
@@ -204,6 +205,17 @@ def bronze_retention_week(spark, sf_dir):
     return _retained(spark, sf_dir, "week")
 
 
+@query
+def bronze_expiry(spark, sf_dir):
+    """What expiry does to every folder, and the rows left in it."""
+    path = fresh_path(spark, "erp")
+    sinks.land_erp(bronze.erp_records(_erp(spark, sf_dir)), path, "month")
+    plan = sinks.expire(sources.erp(spark, path), path, RETENTION_DAY, "event_date", "month")
+    plan = spark.createDataFrame([(n.split("=")[1], a) for n, a in plan], "run_date string, action string")
+    left = sources.erp(spark, path).groupBy(F.col("run_date").cast("string").alias("run_date")).count()
+    return plan.join(left, "run_date", "left").select("run_date", "action", F.coalesce("count", F.lit(0)).alias("rows_left"))
+
+
 @query
 def maintenance_extract(spark, sf_dir):
     day = bronze.on_date(_maintenance(spark, sf_dir), "scheduled_date", EXTRACT_DAY)
@@ -271,6 +283,23 @@ def silver_by_month(spark, sf_dir):
     return sources.silver(spark, path)
 
 
+@query
+def silver_rejects(spark, sf_dir):
+    """Every line that Silver does not take, with its reasons, from the reject sink."""
+    path = fresh_path(spark, "silver")
+    lines_to_silver(_lines(spark, sf_dir), f"{path}/silver", f"{path}/rejects")
+    found = spark.read.schema("line string, reasons array<string>").json(f"{path}/rejects")
+    return found.select("line", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query
+def silver_account(spark, sf_dir):
+    """What became of all lines; accepted, duplicate and rejected ones add up to those read."""
+    path = fresh_path(spark, "silver")
+    told = lines_to_silver(_lines(spark, sf_dir), f"{path}/silver", f"{path}/rejects")
+    return spark.createDataFrame(list(told.items()), "fate string, lines long")
+
+
 @query
 def silver_dedup(spark, sf_dir):
     return _flat_metadata(silver.dedup(_events(spark, sf_dir)))
@@ -300,6 +329,18 @@ def gold_daily(spark, sf_dir):
     return gold.score(gold.rollup(_silver(spark, sf_dir), "day"))
 
 
+@query
+def gold_daily_from_hourly(spark, sf_dir):
+    """The same as ``gold_daily``, from hourly Gold alone."""
+    return gold.coarser(_gold(spark, sf_dir), "day")
+
+
+@query
+def dash_factory_spread(spark, sf_dir):
+    """Deviation and criticality per factory, measurement and month, from Gold."""
+    return gold.spread(_gold(spark, sf_dir), "factory_id", "measurement_type", "year", "month")
+
+
 @query
 def criticality(spark, sf_dir):
     daily = gold.score(gold.rollup(_silver(spark, sf_dir), "day"))
@@ -390,16 +431,33 @@ def daily_chain(spark, sf_dir):
     return sources.gold(spark, f"{root}/gold")
 
 
-@query
-def daily_chain_incremental(spark, sf_dir):
-    """The same chain fed by three arrival days, each merged as it comes."""
+def _three_arrivals(spark, sf_dir):
+    """Landed lines of three arrival days, each as a read of its own, and the folder they lie in."""
     root = fresh_path(spark, "daily")
     day = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)).cast("int")
     arrival = F.date_add(F.lit("2024-06-01").cast("date"), day).cast("timestamp")
     landed = landing_job.landing_rows(_lines(spark, sf_dir), arrival)
     landed.write.partitionBy(*landing_job.PARTITIONS).text(f"{root}/bronze")
-    for k in range(3):
-        arrived = sources.bronze_sensors(spark, f"{root}/bronze").where(F.col("day") == k + 1)
+    landed = sources.bronze_sensors(spark, f"{root}/bronze")
+    return [landed.where(F.col("day") == k + 1) for k in range(3)], root
+
+
+@query
+def daily_chain_incremental(spark, sf_dir):
+    """The same chain fed by three arrival days, each merged as it comes."""
+    days, root = _three_arrivals(spark, sf_dir)
+    for arrived in days:
+        paths = f"{root}/silver", f"{root}/gold"
+        run_daily(spark, arrived, *paths, silver_format="parquet", incremental=True)
+    return sources.gold(spark, f"{root}/gold")
+
+
+@query
+def daily_chain_resumed(spark, sf_dir):
+    """The same, but every run stops after Silver once before it is run again."""
+    days, root = _three_arrivals(spark, sf_dir)
+    for arrived in days:
+        update_silver(arrived, f"{root}/silver", "parquet", RunLedger(spark, f"{root}/silver_runs"))
         paths = f"{root}/silver", f"{root}/gold"
         run_daily(spark, arrived, *paths, silver_format="parquet", incremental=True)
     return sources.gold(spark, f"{root}/gold")

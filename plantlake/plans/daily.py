@@ -6,12 +6,13 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.operators import gold, silver
+from plantlake.plans.ledger import RunLedger
 from plantlake.session import fresh_path, pin_utc
-from plantlake.sinks.files import replace_months, write_gold, write_silver
+from plantlake.sinks.files import filled_months, replace_months, stage_months, swap_months, write_gold, write_silver
 from plantlake.sinks.serving import serve_gold
 from plantlake.sources import files
 
@@ -24,7 +25,37 @@ def bronze_to_silver(bronze: DataFrame, path: str, **options) -> bool:
     return True
 
 
-def update_silver(arrived: DataFrame, path: str, fmt: str = "parquet") -> set[tuple[int, int]]:
+def lines_to_silver(lines: DataFrame, path: str, rejects: str, **options) -> dict[str, int]:
+    """Raw lines → Silver, and what Silver does not take → ``rejects`` with its reasons.
+
+    The lines are parsed once, into a staging folder by fate; Silver and the
+    rejects (JSON lines) are written from there. Returns what became of the
+    lines: read = accepted + duplicates + rejected, each counted by the pass
+    that writes it. Without lines nothing is written.
+    """
+    spark, staging = lines.sparkSession, fresh_path(lines.sparkSession, "judged")
+    read, kept, refused = Observation("read"), Observation("kept"), Observation("refused")
+    one, fits = F.count(F.lit(1)), F.size("reasons") == 0
+    judged = silver.assessed(lines).withColumn("fits", fits)
+    judged = judged.observe(read, one.alias("rows"), F.count_if("fits").alias("fit"))
+    judged.write.partitionBy("fits").parquet(staging)
+    told = {"read": read.get["rows"], "accepted": 0, "duplicates": 0, "rejected": 0}
+    if not told["read"]:
+        return told
+    staged = spark.read.schema(judged.schema).parquet(staging)
+    refusals = silver.rejected(staged.where("NOT fits")).observe(refused, one.alias("rows"))
+    refusals.write.mode("overwrite").json(rejects)
+    rows = silver.survivors(staged.where("fits").drop("fits")).observe(kept, one.alias("rows"))
+    write_silver(rows, path, **options)
+    told["rejected"] = refused.get["rows"]
+    told["accepted"] = kept.get["rows"]
+    told["duplicates"] = read.get["fit"] - told["accepted"]
+    return told
+
+
+def update_silver(
+    arrived: DataFrame, path: str, fmt: str = "parquet", ledger: RunLedger | None = None
+) -> set[tuple[int, int]]:
     """Merge newly arrived readings into Silver partitioned by month.
 
     Equal to a full rebuild over all arrivals, since the smallest of all copies
@@ -33,6 +64,9 @@ def update_silver(arrived: DataFrame, path: str, fmt: str = "parquet") -> set[tu
     another one: exactly the months of the new readings and of the survivors
     they meet are replaced. Returns those (year, month) pairs; arriving again
     changes nothing.
+
+    With a ``ledger`` the months are noted when their new content is complete
+    beside the old one, before anything changes; see :func:`resume_silver`.
     """
     spark = arrived.sparkSession
     plain = [c for c in silver.clean(arrived).columns if c not in ("year", "month", "day")]
@@ -52,10 +86,33 @@ def update_silver(arrived: DataFrame, path: str, fmt: str = "parquet") -> set[tu
         return months
     winners = silver.with_calendar(silver.dedup(met.unionByName(new).select(*plain)))
     kept = old.where(_in_months(months)).join(ids, "event_id", "left_anti")
-    replace_months(kept.unionByName(winners), path, months, fmt)
+    merged = kept.unionByName(winners)
+    if ledger is None:
+        replace_months(merged, path, months, fmt)
+        return months
+    staging = ledger.staging()
+    stage_months(merged, staging, fmt)
+    filled = filled_months(spark, staging, months)
+    ledger.note("staged", filled, staging)
+    swap_months(spark, staging, path, filled)
+    ledger.note("silver", months)
     return months
 
 
+def resume_silver(spark: SparkSession, path: str, ledger: RunLedger) -> set[tuple[int, int]]:
+    """End what a failed run has begun on Silver; the months whose Gold is not written yet.
+
+    Staged months that are not in their place are moved there: a month is
+    either as before the failed run or as after it, never in between.
+    """
+    pending = ledger.pending()
+    for staging in dict.fromkeys(p["staged"] for p in pending if p["state"] == "staged"):
+        filled = {(p["year"], p["month"]): p["filled"] for p in pending if p["staged"] == staging}
+        swap_months(spark, staging, path, filled)
+        ledger.note("silver", set(filled))
+    return {(p["year"], p["month"]) for p in pending}
+
+
 def _months(rows: DataFrame) -> set[tuple[int, int]]:
     """The months that occur; one small set, however many rows."""
     found = rows.agg(F.collect_set(F.struct("year", "month"))).first()[0]
@@ -108,16 +165,21 @@ def run_daily(
 
     ``incremental`` takes ``bronze`` as what has arrived lately (see
     :func:`plantlake.sources.files.bronze_sensors`), merges it into Silver
-    partitioned by month and recomputes the months it touches.
+    partitioned by month and recomputes the months it touches. What has begun
+    is noted in a ledger beside Silver: after a failure at any step the next
+    run ends it first, so the layers become those of runs that never failed.
     ``serving`` holds ``url`` and ``properties`` of the relational target.
     """
     pin_utc(spark)
     if incremental:
-        months = update_silver(bronze, silver_path, silver_format)
+        ledger = RunLedger(spark, f"{silver_path.rstrip('/')}_runs")
+        months = resume_silver(spark, silver_path, ledger)
+        months |= update_silver(bronze, silver_path, silver_format, ledger)
         if not months:
             return False
         rows = files.silver(spark, silver_path, silver_format)
         silver_to_gold(rows, gold_path, months=months)
+        ledger.note("done", months)
     else:
         if not bronze_to_silver(bronze, silver_path, fmt=silver_format):
             return False

@@ -397,13 +397,26 @@ def _missing(key: str) -> str:
     return f"CASE WHEN {_kind(key)} IS NULL THEN '{key}' END"
 
 
+#: What Silver refuses and why, from the lines themselves.
+REJECTS = f"""
+judged AS (
+  SELECT line, {_text('event_id')} AS id, CASE WHEN j IS NULL THEN 'broken_line' ELSE concat_ws(',',
+    CASE WHEN {_text('sensor_id')} IS NULL THEN 'no_sensor_id' END,
+    CASE WHEN {_text('event_id')} IS NULL THEN 'no_event_id' END,
+    CASE WHEN {_text('value')} IS NULL THEN 'no_value' WHEN NOT {_number('value')} THEN 'bad_value' END,
+    CASE WHEN {_text('timestamp')} IS NULL THEN 'no_timestamp'
+      WHEN NOT regexp_matches({_text('timestamp')}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')
+        OR TRY_CAST({_text('timestamp')} AS TIMESTAMP) IS NULL THEN 'bad_timestamp' END) END AS reasons
+  FROM docs)
+"""
+
 EQUIPMENT_RULES = [
     ("required", "true", "(name IS NOT NULL AND type IS NOT NULL AND embedded_id IS NOT NULL"
      " AND status IS NOT NULL AND installed_at IS NOT NULL)"),
     ("type", "(type IS NOT NULL)", "(type IN ('compressor', 'pump', 'motor', 'conveyor', 'turbine'))"),
     ("status", "(status IS NOT NULL)", "(status IN ('active', 'inactive', 'maintenance'))"),
     ("sensor_count", "true", "(sensors BETWEEN 1 AND 50)"),
-    ("sensor_fields", "true", "(equipment_id NOT IN (SELECT equipment_id FROM sen WHERE unit IS NULL))"),
+    ("sensor_fields", "true", "(replace(equipment_id, 'NEW-', '') NOT IN (SELECT equipment_id FROM sen WHERE unit IS NULL))"),
     ("factory_fields", "(embedded_id IS NOT NULL)", "(embedded_name IS NOT NULL)"),
 ]
 FACTORY_RULES = [
@@ -506,6 +519,13 @@ flagged AS (
             WHERE erp.event_date >= {cut}""")
             for name in ("bronze_retention", "bronze_retention_week")
         },
+        "bronze_expiry": _with(ERP, f"""
+            SELECT strftime(date_trunc('month', event_date), '%Y-%m-%d') AS run_date,
+              CASE WHEN date_trunc('month', event_date) >= {cut} THEN 'kept'
+                   WHEN date_trunc('month', event_date) + INTERVAL 1 MONTH <= {cut} THEN 'dropped'
+                   ELSE 'rewritten' END AS action,
+              count(*) FILTER (event_date >= {cut}) AS rows_left
+            FROM erp GROUP BY ALL"""),
         "maintenance_extract": _with(
             MAINTENANCE, f"SELECT {MAINTENANCE_COLUMNS} FROM mnt WHERE scheduled_date = {day}"),
         "maintenance_landing": _with(
@@ -542,8 +562,26 @@ flagged AS (
                 CASE measurement_type WHEN 'temperature' THEN 70 WHEN 'humidity' THEN 60
                   WHEN 'pressure' THEN 15 WHEN 'vibration' THEN 10 ELSE 50 END), 2) AS clamped FROM sv"""),
         # Gold
+        "silver_rejects": _with(LINES + "," + REJECTS, "SELECT line, reasons FROM judged WHERE reasons <> ''"),
+        "silver_account": _with(LINES + "," + REJECTS + """,
+            fate AS (SELECT count(*) AS seen, count(*) FILTER (reasons <> '') AS refused,
+              count(DISTINCT id) FILTER (reasons = '') AS kept FROM judged)""", """
+            SELECT 'read' AS fate, seen AS lines FROM fate UNION ALL
+            SELECT 'accepted', kept FROM fate UNION ALL SELECT 'rejected', refused FROM fate UNION ALL
+            SELECT 'duplicates', seen - kept - refused FROM fate"""),
         "gold_hourly": _with(HOURLY, gold_rows),
         "gold_daily": _with(DAILY, daily_rows),
+        "gold_daily_from_hourly": _with(DAILY, daily_rows),
+        "dash_factory_spread": _with(SILVER, """
+            SELECT factory_id, measurement_type, year, month, round(avg(value), 6) AS avg_value,
+              round(min(value), 6) AS min_value, round(max(value), 6) AS max_value,
+              round(CASE WHEN count(*) > 1 THEN stddev_samp(value) END, 6) AS std_value,
+              count(*) AS event_count, CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_count,
+              round(sum(CAST(is_anomaly AS INTEGER)) / CAST(count(*) AS DOUBLE), 6) AS anomaly_rate,
+              round(sum(CAST(is_anomaly AS INTEGER)) / CAST(count(*) AS DOUBLE) * 0.6::DOUBLE
+                + CASE WHEN count(*) > 1 THEN stddev_samp(value) END / nullif(avg(value), 0) * 0.4::DOUBLE, 6)
+                AS criticality_score
+            FROM sv GROUP BY ALL"""),
         "criticality": _with(DAILY, """
             SELECT equipment_id, measurement_type, round(max(criticality_score), 6) AS worst_score,
               round(max(anomaly_rate), 6) AS worst_rate, count(criticality_score) AS scored_days
@@ -570,6 +608,7 @@ flagged AS (
               count(*) AS events, round(sum(cost), 2) AS total_cost FROM erp GROUP BY ALL"""),
         "daily_chain": _with(chained + "," + _rollup("hour"), gold_rows),
         "daily_chain_incremental": _with(chained + "," + _rollup("hour"), gold_rows),
+        "daily_chain_resumed": _with(chained + "," + _rollup("hour"), gold_rows),
         # alerts
         "alerts_batch": _with(EVENTS + "," + _alerts("5 minutes"), "SELECT * FROM alerts"),
         "alerts_daily": _with(EVENTS + "," + _alerts("1 day"), "SELECT * FROM alerts"),
