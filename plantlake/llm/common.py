@@ -54,7 +54,7 @@ def sized_broadcast(df: DataFrame, row_bytes: int, limit: int = 32 * 1024 * 1024
     return df.hint("merge")
 
 
-def small_batches(spark, rows: int = 1000, size: int = 16 * 1024 * 1024) -> None:
+def small_batches(spark, rows: int = 1000, size: int = 4 * 1024 * 1024) -> None:
     """Texts are long: fewer rows and bytes at once between Spark and its Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -49,22 +49,28 @@ def _frequencies(docs: DataFrame, words: int) -> DataFrame:
     """gram, n: n-grams that a task meets more than once, with how often (lossy counting)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, size = Shingler(words), [], 0
+        shingler, held, size = Shingler(words), np.empty(GATHERED, dtype=np.uint64), 0
         for batch in batches:
             for text in batch.column(0):
-                held.append(shingler.grams(shingler.words(text.as_py())))
-                size += held[-1].size
-                if size >= GATHERED:
-                    yield repeated(held)
-                    held, size = [], 0
-        if held:
-            yield repeated(held)
-
-    def repeated(held: list[np.ndarray]) -> pa.RecordBatch:
-        grams, n = np.unique(np.concatenate(held), return_counts=True)
-        twice = n > 1
+                grams = shingler.grams(shingler.words(text.as_py()))
+                while grams.size:
+                    part = grams[: GATHERED - size]
+                    held[size : size + part.size] = part
+                    size, grams = size + part.size, grams[part.size :]
+                    if size == GATHERED:
+                        yield repeated(held)
+                        size = 0
+        if size:
+            yield repeated(held[:size])
+
+    def repeated(held: np.ndarray) -> pa.RecordBatch:
+        """Sorted in place; of its runs only those longer than one are looked at."""
+        held.sort()
+        same = np.concatenate([[False], held[1:] == held[:-1], [False]])
+        starts = np.flatnonzero(~same[:-1] & same[1:])
+        ends = np.flatnonzero(same[:-1] & ~same[1:])
         return pa.RecordBatch.from_arrays(
-            [pa.array(grams[twice].view(np.int64)), pa.array(n[twice].astype(np.int64))], ["gram", "n"]
+            [pa.array(held[starts].view(np.int64)), pa.array((ends - starts + 1).astype(np.int64))], ["gram", "n"]
         )
 
     seen = docs.select("text").mapInArrow(count, "gram long, n long")

@@ -6,7 +6,7 @@ documents is averaged per path and host. Hosts are shrunk toward the global
 rate and paths toward their host, with prior strengths estimated from the
 spread between sites, so a site with few documents says little and one with
 many has its own rate. A document's score is its evidence on top of its path's
-posterior rate. All statistics are grouped aggregates over all documents; only
+posterior rate, taken without the document itself. All statistics are grouped aggregates over all documents; only
 the model is fitted on a bounded sample of labelled rows.
 """
 
@@ -31,6 +31,8 @@ BUCKETS = 1 << 18
 #: Labelled documents that must hold a word, and how clearly it must tell the classes apart.
 MIN_DOCUMENTS = 8
 MIN_GAIN = 16.0
+#: What is known of a path for a target: its own sums, its host's and those of all documents.
+SITE = ("n", "s", "strength", "host_n", "host_s", "host_strength", "whole_n", "whole_s")
 #: Bounds of a prior strength, in documents.
 STRENGTH = (1.0, 1e6)
 
@@ -63,7 +65,7 @@ class Words:
         self.known: dict[bytes, int] = {}
 
     def buckets(self, words: set[bytes]) -> set[int]:
-        if len(self.known) > 300_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         known, found = self.known, set()
         for word in words:
@@ -298,10 +300,12 @@ def site_rates(scored: DataFrame, prior: list[float]) -> DataFrame:
 
     ``scored`` has host, path and evidence; ``prior`` is the log odds of each
     target among labelled rows, with which evidence becomes a probability.
-    Null hosts and paths are a site of their own.
+    Null hosts and paths are a site of their own. ``site`` has, per target, the
+    sums behind the rate, from which a document's own part can be taken
+    (:func:`_others_rate`).
     """
     targets = len(prior)
-    soft = [_sigmoid(F.col("evidence")[k] + F.lit(float(prior[k]))) for k in range(targets)]
+    soft = [_soft(k, prior) for k in range(targets)]
     paths = stored(
         scored.groupBy("host", "path").agg(
             F.count("*").alias("n"), *[F.sum(p).alias(f"s{k}") for k, p in enumerate(soft)]
@@ -311,21 +315,49 @@ def site_rates(scored: DataFrame, prior: list[float]) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ["n", *[f"s{k}" for k in range(targets)]]]
     total = paths.agg(*sums).first()
     if not total["n"]:
-        return paths.select("host", "path", F.array(*[F.lit(0.5)] * targets).alias("rates"))
+        nothing = F.struct(*[F.lit(0.5).alias(c) for c in SITE])
+        return paths.select(
+            "host", "path", F.array(*[F.lit(0.5)] * targets).alias("rates"), F.array(*[nothing] * targets).alias("site")
+        )
     renamed = {c: f"host_{c}" for c in ["n", *[f"s{k}" for k in range(targets)]]}
     hosts = paths.groupBy("host").agg(*sums).withColumnsRenamed(renamed).withColumnRenamed("host", "name")
     hosts = stored(hosts, "quality-hosts")
+    whole, host_strength = [], []
     for k in range(targets):
         rate = min(max(total[f"s{k}"] / total["n"], 1e-6), 1 - 1e-6)
         a = _strength(hosts, float(rate), "host_n", f"host_s{k}")
+        whole.append(float(total[f"s{k}"]))
+        host_strength.append(a)
         shrunk = (F.col(f"host_s{k}") + a * rate) / (F.col("host_n") + a)
         hosts = hosts.withColumn(f"host_rate{k}", shrunk)
     paths = stored(paths.join(hosts.hint("shuffle_hash"), paths["host"].eqNullSafe(hosts["name"])), "quality-sites")
-    rates = []
+    rates, site = [], []
     for k in range(targets):
         b = _strength(paths, F.col(f"host_rate{k}"), "n", f"s{k}")
         rates.append((F.col(f"s{k}") + b * F.col(f"host_rate{k}")) / (F.col("n") + b))
-    return paths.select("host", "path", F.array(*rates).alias("rates"))
+        sums = [
+            F.col("n"), F.col(f"s{k}"), F.lit(b), F.col("host_n"), F.col(f"host_s{k}"), F.lit(host_strength[k]),
+            F.lit(total["n"]), F.lit(whole[k]),
+        ]
+        site.append(F.struct(*[c.cast("double").alias(name) for name, c in zip(SITE, sums, strict=True)]))
+    return paths.select("host", "path", F.array(*rates).alias("rates"), F.array(*site).alias("site"))
+
+
+def _soft(k: int, prior: list[float]) -> Column:
+    """A document's probability by its text alone."""
+    return _sigmoid(F.col("evidence")[k] + F.lit(float(prior[k])))
+
+
+def _others_rate(k: int, prior: list[float]) -> Column:
+    """The rate of a document's path without the document itself.
+
+    Its evidence comes on top of this rate and must not be in it as well: a
+    path of one document has the rate of its host's other documents.
+    """
+    site, own = F.col("site")[k], _soft(k, prior)
+    rest = F.when(site["whole_n"] > 1, (site["whole_s"] - own) / (site["whole_n"] - 1)).otherwise(0.5)
+    host = (site["host_s"] - own + site["host_strength"] * rest) / (site["host_n"] - 1 + site["host_strength"])
+    return (site["s"] - own + site["strength"] * host) / (site["n"] - 1 + site["strength"])
 
 
 def _with_rates(scored: DataFrame, rates: DataFrame) -> DataFrame:
@@ -335,18 +367,19 @@ def _with_rates(scored: DataFrame, rates: DataFrame) -> DataFrame:
         F.max(F.coalesce(F.octet_length("site_host"), F.lit(0)) + F.coalesce(F.octet_length("site_path"), F.lit(0)))
     ).first()[0] or 0
     same = scored["host"].eqNullSafe(sites["site_host"]) & scored["path"].eqNullSafe(sites["site_path"])
-    return scored.join(sized_broadcast(sites, 128 + longest), same).drop("site_host", "site_path")
+    return scored.join(sized_broadcast(sites, 320 + longest), same).drop("site_host", "site_path")
 
 
-def _posterior(k: int) -> Column:
-    return _sigmoid(F.col("evidence")[k] + _logit(F.col("rates")[k]))
+def _posterior(k: int, prior: list[float]) -> Column:
+    return _sigmoid(F.col("evidence")[k] + _logit(_others_rate(k, prior)))
 
 
-def _kept(targets) -> Column:
+def _kept(targets, prior: list[float]) -> Column:
     """No target more likely than not on the side that goes."""
     ok = F.lit(True)
     for k, t in enumerate(targets):
-        ok = ok & ((_posterior(k) >= 0.5) if t.keep else (_posterior(k) <= 0.5))
+        likely = _posterior(k, prior)
+        ok = ok & ((likely >= 0.5) if t.keep else (likely <= 0.5))
     return ok
 
 
@@ -374,8 +407,8 @@ def classify(
     judged = _with_rates(scored, site_rates(scored, evidence.prior))
     columns = []
     for k, t in enumerate(targets):
-        columns += [F.col("evidence")[k].alias(f"{t.label}_evidence"), _posterior(k).alias(f"p_{t.label}")]
-    return judged.select("doc_id", "host", "path", *columns, _kept(targets).alias("keep"))
+        columns += [F.col("evidence")[k].alias(f"{t.label}_evidence"), _posterior(k, evidence.prior).alias(f"p_{t.label}")]
+    return judged.select("doc_id", "host", "path", *columns, _kept(targets, evidence.prior).alias("keep"))
 
 
 def accepted(
@@ -385,6 +418,7 @@ def accepted(
     """The documents that :func:`classify` keeps, with all their columns."""
     small_batches(docs.sparkSession)
     evidence = Evidence.fit(docs, labels, targets, sample_rows)
-    rates = site_rates(_scored(docs, evidence, host, path), evidence.prior)
-    whole = _scored(docs, evidence, host, path, F.struct("*").alias("doc"))
-    return _with_rates(whole, rates).where(_kept(targets)).select("doc.*")
+    # scored once: the rates and the rows are both read from what is written
+    whole = stored(_scored(docs, evidence, host, path, F.struct("*").alias("doc")), "quality-scored")
+    rates = site_rates(whole.select("host", "path", "evidence"), evidence.prior)
+    return _with_rates(whole, rates).where(_kept(targets, evidence.prior)).select("doc.*")

@@ -9,7 +9,7 @@ import xxhash
 
 SHINGLE_WORDS = 5
 #: Words whose hash a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 

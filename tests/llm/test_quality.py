@@ -4,7 +4,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plantlake.llm.quality import STRENGTH, TARGETS, _sample, accepted, classify, fit_logistic, site_rates
+from plantlake.llm.quality import (
+    STRENGTH,
+    TARGETS,
+    _others_rate,
+    _sample,
+    accepted,
+    classify,
+    fit_logistic,
+    site_rates,
+)
 
 from .conftest import prose
 
@@ -92,3 +101,26 @@ def test_the_sample_is_bounded_in_rows_and_full(spark, documents):
     assert everything.count() == 81 and everything.where("t0 is null").isEmpty()
     drawn = _sample(docs, labels, TARGETS, 50)
     assert drawn.count() == 50 and drawn.exceptAll(_sample(docs, labels, TARGETS, 50)).isEmpty()
+
+
+def test_a_document_is_not_in_the_rate_it_meets(spark):
+    """By brute force: the rates are worked out anew without each document."""
+    rng = np.random.default_rng(3)
+    rows = [(f"h{k % 3}", f"p{k % 7}", [float(e)]) for k, e in enumerate(rng.normal(0, 3, 60))] + [("h0", "alone", [-4.0])]
+    prior = 0.4
+    scored = spark.createDataFrame(rows, "host string, path string, evidence array<double>")
+    sites = site_rates(scored, [prior])
+    got = {tuple(r.evidence): r.rate for r in scored.join(sites, ["host", "path"]).withColumn("rate", _others_rate(0, [prior])).collect()}
+    told = {(r.host, r.path): r.site[0] for r in sites.collect()}
+    soft = lambda e: 1 / (1 + np.exp(-(e[0] + prior)))
+    for i, (host, path, e) in enumerate(rows):
+        rest = [r for j, r in enumerate(rows) if j != i]
+        site = told[host, path]
+        whole = np.mean([soft(x) for *_, x in rest])
+        on_host = [soft(x) for h, _, x in rest if h == host]
+        at_host = (sum(on_host) + site.host_strength * whole) / (len(on_host) + site.host_strength)
+        on_path = [soft(x) for h, p, x in rest if (h, p) == (host, path)]
+        want = (sum(on_path) + site.strength * at_host) / (len(on_path) + site.strength)
+        assert got[tuple(e)] == pytest.approx(want)
+        if path == "alone":
+            assert want == pytest.approx(at_host)
