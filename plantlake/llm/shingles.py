@@ -14,7 +14,8 @@ REMEMBERED = 100_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits spread over 64 bits, one to one."""
     x = (x ^ (x >> np.uint64(33))) * _M1
     x = (x ^ (x >> np.uint64(29))) * _M2
     return x ^ (x >> np.uint64(32))
@@ -45,7 +46,7 @@ class Shingler:
         rows = words.size - width + 1
         acc = np.full(rows, width, dtype=np.uint64)
         for k in range(width):
-            acc = _mix(acc ^ words[k : k + rows]) + np.uint64(k + 1)
+            acc = mixed(acc ^ words[k : k + rows]) + np.uint64(k + 1)
         return acc
 
     def set(self, text: str | None) -> np.ndarray:
