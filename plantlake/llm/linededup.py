@@ -19,12 +19,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.llm.common import small_batches, stored
 from plantlake.llm.cuckoo import CuckooFilter
+from plantlake.sinks.folders import Folders
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -74,7 +74,12 @@ def _line_rows(batch: pa.RecordBatch, min_chars: int, passes=None) -> pa.RecordB
 
 
 class LineIndex:
-    """Postings and filters below ``path``; opening an existing path goes on with it."""
+    """Postings and filters below ``path``; opening an existing path goes on with it.
+
+    A change counts once its postings are complete. If it stopped before, it is as if it had not
+    begun; if it stopped later, opening builds the filters from the counts. Repeating an insertion
+    changes no count, since documents are counted, not postings.
+    """
 
     def __init__(
         self, spark: SparkSession, path: str, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
@@ -82,18 +87,25 @@ class LineIndex:
     ):
         self.spark, self.path = spark, path
         self.min_docs, self.min_chars, self.shard_lines = min_docs, min_chars, shard_lines
-        self.batch, self.filters = 0, None
-        try:
-            known = spark.read.parquet(f"{path}/postings")
-        except AnalysisException:
+        folders = Folders(spark, path)
+        done = [
+            int(name.split("=")[1]) for name in folders.names(f"{path}/postings")
+            if name.startswith("batch=") and folders.exists(f"{path}/postings/{name}/_SUCCESS")
+        ]
+        self.batch, self.filters = max(done, default=-1) + 1, None
+        if not self.batch:
             return
-        self.batch = known.agg(F.max("batch")).first()[0] + 1
-        self.filters = spark.read.parquet(f"{path}/filters-{self.batch}")
+        made = f"{path}/filters-{self.batch}"
+        if folders.exists(f"{made}/_SUCCESS"):
+            self.filters = spark.read.parquet(made)
+        else:  # the last change ended before its filters were written
+            self._rebuild()
 
     # --- the exact side ---
 
     def postings(self) -> DataFrame:
-        return self.spark.read.schema(POSTING + ", batch int").parquet(f"{self.path}/postings")
+        log = self.spark.read.schema(POSTING + ", batch int").parquet(f"{self.path}/postings")
+        return log.where(F.col("batch") < self.batch)
 
     def holders(self, postings: DataFrame | None = None) -> DataFrame:
         """high, low, doc_id: the documents that hold a line now."""
@@ -132,29 +144,31 @@ class LineIndex:
         self._append(held.select("high", "low", "doc_id", (-F.col("net")).alias("sign")))
 
     def _append(self, rows: DataFrame) -> None:
-        first = self.batch == 0
         target = f"{self.path}/postings/batch={self.batch}"
-        rows.write.parquet(target)
+        rows.write.mode("overwrite").parquet(target)  # what an attempt cut short left goes
+        self.batch += 1
         added = self.spark.read.schema(POSTING).parquet(target)
-        before = None
-        if not first:
-            touched = added.select("high", "low").distinct()
-            now = self.postings().join(touched, ["high", "low"], "left_semi")
-            before = self.references(now.where(F.col("batch") < self.batch)).where(
-                F.col("n_docs") >= self.min_docs
-            ).select("high", "low")
-            after = self.references(now)
-        else:
+        if self.batch == 1:
             after = self.references(added.withColumn("batch", F.lit(0)))
-        after = after.where(F.col("n_docs") >= self.min_docs).select("high", "low")
-        if before is None:
-            changes = after.withColumn("sign", F.lit(1))
+            changes = self._repeated(after).withColumn("sign", F.lit(1))
         else:
+            touched = added.select("high", "low").distinct()
+            now = self.postings().join(touched, ["high", "low"], "left_semi")
+            before = self._repeated(self.references(now.where(F.col("batch") < self.batch - 1)))
+            after = self._repeated(self.references(now))
             changes = after.withColumn("sign", F.lit(1)).unionByName(before.withColumn("sign", F.lit(-1)))
             changes = changes.groupBy("high", "low").agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
-        self.batch += 1
         self._refilter(stored(changes, "line-changes"))
 
+    def _repeated(self, references: DataFrame) -> DataFrame:
+        return references.where(F.col("n_docs") >= self.min_docs).select("high", "low")
+
+    def _rebuild(self) -> None:
+        """All filters anew, from the counts."""
+        self.filters = None
+        kept = self._repeated(self.references())
+        self._refilter(stored(kept.withColumn("sign", F.lit(1)), "line-changes"))
+
     def _refilter(self, changes: DataFrame) -> None:
         """Insert into and delete from the filters of the shards that change."""
         lines = changes.count()
@@ -186,10 +200,8 @@ class LineIndex:
         path = f"{self.path}/filters-{self.batch}"
         made = stored(made, "line-filters")
         if not made.where("filter is null").isEmpty():  # one has no room left: build all anew
-            self.filters = None
-            kept = self.references().where(F.col("n_docs") >= self.min_docs)
-            return self._refilter(stored(kept.select("high", "low", F.lit(1).alias("sign")), "line-changes"))
-        made.write.parquet(path)
+            return self._rebuild()
+        made.write.mode("overwrite").parquet(path)
         self.filters = self.spark.read.schema(made.schema).parquet(path)
 
     # --- use ---

@@ -55,3 +55,37 @@ def test_empty_table(spark, documents, folder):
     empty = documents((1, "a")).where("false")
     assert DigestIndex(spark, folder + "/i", 4).add(empty).collect() == []
     assert deduplicate(empty, DigestIndex(spark, folder + "/j", 4)).collect() == []
+
+
+def test_a_batch_that_is_added_again_decides_and_counts_the_same(spark, documents, folder):
+    path, first, second = folder + "/i", documents((9, "a"), (2, "b")), documents((10, "A"), (3, "c"), (11, "c"))
+    DigestIndex(spark, path, 4).add(first, batch="one")
+    got = decisions(DigestIndex(spark, path).add(second, batch="two"))
+    DigestIndex(spark, path).close()
+    index = DigestIndex(spark, path)  # as in a new session, without naming the buckets
+    assert index.buckets == 4
+    assert decisions(index.add(second, batch="two")) == got == [(3, 11, 2, False), (10, 9, 2, False), (11, 11, 2, True)]
+    # the first one as well, though a later one has been added since
+    assert decisions(index.add(first, batch="one")) == [(2, 2, 1, True), (9, 9, 2, True)]
+    assert sorted((r.keep_id, r.n) for r in index.entries().collect()) == [(2, 1), (9, 2), (11, 2)]
+
+
+def test_a_batch_that_stopped_half_written_is_completed(spark, documents, folder):
+    docs = documents(*((i, f"text {i % 30}") for i in range(60)))
+    index = DigestIndex(spark, folder + "/i", 4)
+    whole = decisions(index.add(docs, batch="x"))
+    broken = DigestIndex(spark, folder + "/j", 4)
+    # some of the batch's files only
+    spark.table(index.name).where("hash(digest) % 2 = 0").repartition(4, "digest").write.insertInto(broken.name)
+    spark.catalog.refreshTable(broken.name)
+    assert decisions(broken.add(docs, batch="x")) == whole
+    assert broken.entries().agg({"n": "sum"}).first()[0] == 60
+
+
+def test_one_catalog_entry_per_path(spark, documents, folder):
+    for _ in range(3):
+        index = DigestIndex(spark, folder + "/i", 4)
+        index.add(documents((1, "a")))
+    assert sum(t.name == index.name for t in spark.catalog.listTables()) == 1
+    index.close()
+    assert not spark.catalog.tableExists(index.name)

@@ -1,9 +1,11 @@
 """Line dedup: the filter, the index, reversal, edge rows."""
 
 import numpy as np
+import pytest
 
 from plantlake.llm.cuckoo import CuckooFilter
 from plantlake.llm.linededup import LineIndex
+from plantlake.sinks.folders import Folders
 
 LONG = "a line that is long enough to count"
 
@@ -107,3 +109,28 @@ def test_empty_table(spark, documents, folder):
     index.insert(empty)
     assert kept(index, empty) == {}
     assert kept(index, documents((1, "a"))) == {1: (1, 0, "a")}
+
+
+@pytest.mark.parametrize("step", ["before its postings", "before its filters", "within its filters"])
+def test_an_index_whose_last_change_stopped_opens_and_goes_on(spark, documents, folder, monkeypatch, step):
+    line = "a line that is long enough"
+    first = documents(*((i, f"{line}\nown line of document {i}") for i in range(2)))
+    second = documents((5, line), (6, line.upper()))
+    LineIndex(spark, folder + "/i").insert(first)
+    index = LineIndex(spark, folder + "/i")
+    if step == "before its postings":
+        spark.range(3).write.parquet(folder + "/i/postings/batch=1")  # without the mark of a whole table
+        Folders(spark, folder).drop(folder + "/i/postings/batch=1/_SUCCESS")
+    else:
+        with monkeypatch.context() as patch:
+            patch.setattr(LineIndex, "_refilter", lambda self, changes: None)
+            index.insert(second)
+        if step == "within its filters":
+            Folders(spark, folder).move(folder + "/i/filters-1", folder + "/i/filters-2")
+            Folders(spark, folder).drop(folder + "/i/filters-2/_SUCCESS")
+    index = LineIndex(spark, folder + "/i")
+    index.insert(second)  # the caller's rerun
+    rows = {r.doc_id: r.kept for r in index.apply(first.unionByName(second)).collect()}
+    assert rows == {0: "own line of document 0", 1: "own line of document 1", 5: "", 6: line.upper()}
+    index.delete(second)
+    assert {r.n_dropped for r in index.apply(first).collect()} == {0}
