@@ -69,11 +69,16 @@ def land(spark, a):
 
 
 def erp(spark, a):
-    split = None
-    if a.parts:
+    options, split, ranges = options_of(a.property, a.properties), None, None
+    if a.parts and a.even:
+        ranges = jdbc.even_ranges(jdbc.equipment_events(spark, a.url, options), a.split_column, a.parts)
+    elif a.parts:
         split = jdbc.split_options(a.split_column, a.low, a.high, a.parts)
-    table = jdbc.equipment_events(spark, a.url, options_of(a.property, a.properties), split=split)
-    ingest.ingest_erp(table, a.day, a.path)
+    table = jdbc.equipment_events(spark, a.url, options, split=split, ranges=ranges)
+    if a.marks:
+        print("landed:", ingest.ingest_erp_since(table, a.path, a.marks, a.day, f"INTERVAL {a.overlap} DAYS"))
+    else:
+        ingest.ingest_erp(table, a.day, a.path)
 
 
 def maintenance(spark, a):
@@ -128,7 +133,10 @@ def parser() -> argparse.ArgumentParser:
     job(alerts, "servers", "path", "checkpoint", console=flag, **topic)
     job(land, "servers", "path", "checkpoint", writers=number, **topic)
     job(erp, "url", "day", "path", property=props, properties=secrets, parts=number,
-        split_column={"default": "id"}, low={"default": "0"}, high={"default": "1000000000"})
+        split_column={"default": "id"}, low={"default": "0"}, high={"default": "1000000000"},
+        even={**flag, "help": "ranges of equal size instead of equal width"},
+        marks={"help": "land what was created since the last run, which is noted here"},
+        overlap={"type": int, "default": 3, "help": "days read again for rows that became visible late"})
     job(maintenance, "snapshot", "day", "path")
     job(registry, "incoming", "factories", "path", base={"help": "current snapshot, if any"},
         rejects={"help": "where refused documents go, with their reasons"})

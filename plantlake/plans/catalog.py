@@ -186,6 +186,19 @@ def erp_ingest(spark, sf_dir):
     return sources.erp(spark, path)
 
 
+@query
+def erp_ingest_since(spark, sf_dir):
+    """Runs by high-water mark: a part of the last days becomes visible late, the last run finds nothing new."""
+    path, marks = fresh_path(spark, "erp"), fresh_path(spark, "erp-marks")
+    table, created = _erp(spark, sf_dir), F.col("created_at")
+    late = (F.col("id") % 10 == 3) & (created >= F.lit("1997-02-10").cast("timestamp"))
+    first = table.where((created < F.lit("1997-03-01").cast("timestamp")) & ~late)
+    second = table.where(created < F.lit("1999-01-01").cast("timestamp"))
+    for visible in (first, second, second):
+        ingest.ingest_erp_since(visible, path, marks, "2100-01-01", "INTERVAL 30 DAYS", "month")
+    return sources.erp(spark, path)
+
+
 def _retained(spark, sf_dir, grain):
     path = fresh_path(spark, "erp")
     sinks.land_erp(bronze.erp_records(_erp(spark, sf_dir)), path, grain)

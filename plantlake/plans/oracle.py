@@ -511,6 +511,9 @@ flagged AS (
         "erp_ingest": _with(ERP, f"""
             SELECT {ERP_ROWS}, strftime(erp.event_date, '%Y-%m-%d') AS run_date FROM erp
             WHERE erp.event_date = {day}"""),
+        "erp_ingest_since": _with(ERP, f"""SELECT {ERP_ROWS},
+            strftime(date_trunc('month', erp.event_date), '%Y-%m-%d') AS run_date FROM erp
+            WHERE erp.created_at < TIMESTAMP '1999-01-01'"""),
         "erp_landing": _with(ERP, f"""SELECT {ERP_ROWS},
             strftime(date_trunc('month', erp.event_date), '%Y-%m-%d') AS run_date FROM erp"""),
         **{
