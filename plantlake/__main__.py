@@ -6,7 +6,7 @@ import argparse
 
 from plantlake import schemas
 from plantlake.operators import quality
-from plantlake.plans import daily, ingest
+from plantlake.plans import compaction, daily, ingest
 from plantlake.session import build_session
 from plantlake.sinks.files import BY_MONTH
 from plantlake.sinks.serving import serve_gold
@@ -68,6 +68,11 @@ def land(spark, a):
     ).awaitTermination()
 
 
+def compact(spark, a):
+    """Packs the days before ``--day``; prints the number of files written."""
+    print("files:", compaction.compact(spark, a.landed, a.packed, a.day, a.megabytes << 20))
+
+
 def erp(spark, a):
     options, split, ranges = options_of(a.property, a.properties), None, None
     if a.parts and a.even:
@@ -132,6 +137,7 @@ def parser() -> argparse.ArgumentParser:
     job(serve, "gold", "url", property=props, properties=secrets, connections={"type": int, "default": 16})
     job(alerts, "servers", "path", "checkpoint", console=flag, **topic)
     job(land, "servers", "path", "checkpoint", writers=number, **topic)
+    job(compact, "landed", "packed", "day", megabytes={"type": int, "default": 256})
     job(erp, "url", "day", "path", property=props, properties=secrets, parts=number,
         split_column={"default": "id"}, low={"default": "0"}, high={"default": "1000000000"},
         even={**flag, "help": "ranges of equal size instead of equal width"},

@@ -12,7 +12,7 @@ from plantlake import schemas
 from plantlake.functions.records import decode_events, encode_events
 from plantlake.functions.scalars import clamp, event_time, lookup
 from plantlake.operators import alerts, bronze, gold, quality, registry, silver
-from plantlake.plans import feeds, ingest
+from plantlake.plans import compaction, feeds, ingest
 from plantlake.plans.daily import lines_to_silver, run_daily, update_silver
 from plantlake.plans.ledger import RunLedger
 from plantlake.session import fresh_path, pin_utc
@@ -150,6 +150,20 @@ def bronze_landing(spark, sf_dir):
     return spark.read.text(f"{root}/sensors").select("value", "factory_id")
 
 
+@query
+def bronze_compaction(spark, sf_dir):
+    """Lines landed on three days in small files, two days packed, all read from their tiers."""
+    root = fresh_path(spark, "compaction")
+    day = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)).cast("int")
+    arrival = F.date_add(F.lit("2024-06-01").cast("date"), day).cast("timestamp")
+    stream = feeds.sensor_lines(feeds.table_stream(spark, sf_dir, "events"))
+    landing_job.start_landing(
+        stream, f"{root}/sensors", f"{root}/checkpoint", None, landing_job.SMALL_FILES, arrival=arrival
+    ).awaitTermination()
+    compaction.compact(spark, f"{root}/sensors", f"{root}/packed", "2024-06-03")
+    return compaction.bronze_lines(spark, f"{root}/sensors", f"{root}/packed").select("value", "factory_id")
+
+
 @query
 def bronze_union(spark, sf_dir):
     """The three feeds as one relation."""

@@ -498,7 +498,10 @@ flagged AS (
             ORDER BY "timestamp", event_id LIMIT 3"""),
         # Bronze
         "bronze_scan": _with(EVENTS, f"SELECT {DECODED} FROM ev WHERE sensor_id IS NOT NULL"),
-        "bronze_landing": _with(LINES, "SELECT value, landed_factory AS factory_id FROM lines"),
+        **{
+            name: _with(LINES, "SELECT value, landed_factory AS factory_id FROM lines")
+            for name in ("bronze_landing", "bronze_compaction")
+        },
         "bronze_union": _with(EVENTS + "," + ERP + "," + MAINTENANCE, f"""
             SELECT {DECODED}, 'sensors' AS feed FROM ev
             UNION ALL BY NAME
