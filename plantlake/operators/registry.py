@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantlake.functions.scalars import next_due
+from plantlake.functions.scalars import event_time, next_due
 from plantlake.operators.bronze import latest_per_id, union_feeds
 from plantlake.operators.joins import lookup_join
 
@@ -147,6 +147,45 @@ def flag_out_of_range(events: DataFrame, ranges: DataFrame, **join_options) -> D
     return joined.withColumn("out_of_range", ~inside)
 
 
+def dated_ranges(snapshots: DataFrame) -> DataFrame:
+    """One row per sensor: its normal ranges by ``effective_from``, oldest first, as ``versions``.
+
+    ``snapshots`` are registry documents of several versions. Only changes are
+    kept, so a row grows with a sensor's changes and not with the snapshots. A
+    sensor that a snapshot leaves out keeps the range it had.
+    """
+    sensors = snapshots.select(
+        F.col("_id").alias("equipment_id"), "effective_from", F.explode("sensors").alias("sensor")
+    )
+    version = F.struct(
+        "effective_from",
+        F.col("sensor.normal_range.min").alias("normal_min"),
+        F.col("sensor.normal_range.max").alias("normal_max"),
+    )
+    grouped = sensors.groupBy("equipment_id", F.col("sensor.id").alias("sensor_id")).agg(
+        F.array_sort(F.collect_set(version)).alias("all")
+    )
+    before = lambda i: F.get("all", i - 1)
+    same = lambda v, i: (
+        v["normal_min"].eqNullSafe(before(i)["normal_min"]) & v["normal_max"].eqNullSafe(before(i)["normal_max"])
+    )
+    changes = F.filter("all", lambda v, i: (i == 0) | ~same(v, i))
+    return grouped.select("equipment_id", "sensor_id", changes.alias("versions"))
+
+
+def flag_out_of_range_dated(events: DataFrame, versions: DataFrame, **join_options) -> DataFrame:
+    """Like :func:`flag_out_of_range`, with the range that was in force at the reading's time.
+
+    Null before a sensor's first version and for readings without a usable time.
+    """
+    joined = lookup_join(events, versions, ["equipment_id", "sensor_id"], "left", **join_options)
+    timed = joined.withColumn("_at", event_time())
+    due = F.filter("versions", lambda v: v["effective_from"] <= F.col("_at"))
+    force = timed.withColumn("_range", F.try_element_at(due, F.lit(-1))).drop("versions", "_at")
+    flagged = force.select("*", F.col("_range.normal_min"), F.col("_range.normal_max")).drop("_range")
+    return flagged.withColumn("out_of_range", ~F.col("value").between(F.col("normal_min"), F.col("normal_max")))
+
+
 def unknown_factories(events: DataFrame, factories: DataFrame) -> DataFrame:
     """Factories named by readings but missing in the registry, with their row counts.
 

@@ -19,7 +19,7 @@ from plantlake.session import fresh_path, pin_utc
 from plantlake.sinks import files as sinks
 from plantlake.sinks.serving import counted
 from plantlake.sources import files as sources
-from plantlake.streaming import alerts_job, landing_job
+from plantlake.streaming import alerts_job, arrivals_job, landing_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -537,6 +537,53 @@ def range_alerts_stream(spark, sf_dir):
     return _through_stream(spark, alerts.windowed_alerts(flagged, flag="out_of_range"))
 
 
+def _four_triggers(spark, sf_dir, root):
+    """The readings as a stream whose triggers come in no order of time."""
+    lines = _lines(spark, sf_dir)
+    part = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(4)).cast("int")
+    lines.withColumn("part", part).repartitionById(4, "part").select("value").write.text(f"{root}/topic")
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/topic")
+    return decode_events(stream, schemas.STREAM_EVENT)
+
+
+def _split(events, root, **options):
+    arrivals_job.start_split(
+        events, f"{root}/split", f"{root}/split-checkpoint", interval=None, **options
+    ).awaitTermination()
+
+
+@query
+def alerts_corrected(spark, sf_dir):
+    """Alerts of a stream that runs out of order, and the windows of its late readings counted anew."""
+    root, layout = fresh_path(spark, "arrivals"), schemas.STREAM_EVENT
+    _split(_four_triggers(spark, sf_dir, root), root)
+    in_time = alerts.windowed_alerts(arrivals_job.follow(spark, f"{root}/split", layout))
+    alerts_job.start_file_sink(in_time, f"{root}/alerts", f"{root}/checkpoint", interval=None).awaitTermination()
+    kept = [arrivals_job.arrived(spark, f"{root}/split", part, layout) for part in (arrivals_job.IN_TIME, arrivals_job.LATE)]
+    return _flat_window(arrivals_job.corrected(sources.alerts(spark, f"{root}/alerts"), *kept))
+
+
+@query
+def range_dated_stream(spark, sf_dir):
+    """Every reading of the stream, late or not, with the range in force at its time."""
+    root, registry_root = fresh_path(spark, "arrivals"), fresh_path(spark, "snapshots")
+    base = _equipment(spark, sf_dir)
+    narrower = F.transform("sensors", lambda s: s.withField("normal_range.max", s["normal_range"]["max"] * 0.5))
+    sinks.write_snapshot(base, registry_root, "2024-01-05")
+    sinks.write_snapshot(base.withColumn("sensors", narrower), registry_root, "2024-01-15")
+
+    def flagged(rows):
+        versions = registry.dated_ranges(sources.equipment_snapshots(rows.sparkSession, registry_root))
+        return registry.flag_out_of_range_dated(rows, versions)
+
+    _split(_four_triggers(spark, sf_dir, root), root, prepare=flagged)
+    layout = schemas.STREAM_EVENT + ", normal_min double, normal_max double, out_of_range boolean"
+    kept = [arrivals_job.arrived(spark, f"{root}/split", part, layout) for part in (arrivals_job.IN_TIME, arrivals_job.LATE)]
+    return bronze.union_feeds(*kept).select(
+        "event_id", "equipment_id", "sensor_id", "timestamp", "value", "normal_min", "normal_max", "out_of_range"
+    )
+
+
 # --- registry ----------------------------------------------------------------
 
 

@@ -618,7 +618,19 @@ flagged AS (
         # alerts
         "alerts_batch": _with(EVENTS + "," + _alerts("5 minutes"), "SELECT * FROM alerts"),
         "alerts_daily": _with(EVENTS + "," + _alerts("1 day"), "SELECT * FROM alerts"),
-        "alerts_stream": _with(EVENTS + "," + _alerts("5 minutes"), CLOSED),
+        **{
+            name: _with(EVENTS + "," + _alerts("5 minutes"), CLOSED)
+            for name in ("alerts_stream", "alerts_corrected")
+        },
+        "range_dated_stream": _with(EVENTS + "," + EQUIPMENT + "," + _alerts("5 minutes") + """,
+            versions AS (
+              SELECT equipment_id, sensor_id, normal_min, normal_max, TIMESTAMP '2024-01-05' AS effective_from FROM sen
+              UNION ALL
+              SELECT equipment_id, sensor_id, normal_min, normal_max * 0.5::DOUBLE, TIMESTAMP '2024-01-15' FROM sen)""", """
+            SELECT t.event_id, t.equipment_id, t.sensor_id, t."timestamp", t.value, v.normal_min, v.normal_max,
+              NOT (t.value BETWEEN v.normal_min AND v.normal_max) AS out_of_range
+            FROM timed t ASOF LEFT JOIN versions v
+              ON t.equipment_id = v.equipment_id AND t.sensor_id = v.sensor_id AND t.event_ts >= v.effective_from"""),
         "range_alerts_stream": _with(
             EVENTS + "," + EQUIPMENT + "," + flagged + "," + _alerts("5 minutes", "out_of_range", "flagged"),
             CLOSED),

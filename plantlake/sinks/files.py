@@ -191,6 +191,13 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").json(path)
 
 
+def write_snapshot(documents: DataFrame, root: str, effective_from: str) -> None:
+    """One version of the registry, in force from a time on; writing it again replaces it."""
+    dated = documents.withColumn("effective_from", F.lit(effective_from).cast("timestamp"))
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("effective_from").json(root)
+
+
 def preview(df: DataFrame, rows: int = 20) -> None:
     """Schema and untruncated first rows on the console."""
     df.printSchema()

@@ -92,6 +92,11 @@ def equipment_delivery(spark: SparkSession, path: str) -> DataFrame:
     return equipment(spark, path).select("*", written)
 
 
+def equipment_snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """All versions of the registry as they lie there now, each document with its ``effective_from``."""
+    return spark.read.schema(schemas.EQUIPMENT + ", effective_from timestamp").json(root)
+
+
 def factories(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FACTORY).json(path)
 
