@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from plantlake import schemas
-from plantlake.operators import quality
+from plantlake.operators import contracts, quality
 from plantlake.plans import compaction, daily, ingest
 from plantlake.session import build_session
 from plantlake.sinks.files import BY_MONTH
@@ -104,8 +104,13 @@ def registry(spark, a):
 
 
 def check(spark, a):
-    """Prints the report of all rules; exits with 1 if one failed."""
-    found = quality.gate(files.raw_lines(spark, a.bronze)).collect()
+    """Prints the report of all rules, or of a contract's; exits with 1 if one failed."""
+    lines = files.raw_lines(spark, a.bronze)
+    if a.contract:
+        rules = contracts.compiled(contracts.load(spark, a.contract))
+        found = quality.report(contracts.documents(lines), rules).collect()
+    else:
+        found = quality.gate(lines).collect()
     for rule in found:
         print(f"{'ok  ' if rule.passed else 'FAIL'} {rule.rule}: {rule.failed} of {rule.checked}")
     if not all(rule.passed for rule in found):
@@ -146,7 +151,7 @@ def parser() -> argparse.ArgumentParser:
     job(maintenance, "snapshot", "day", "path")
     job(registry, "incoming", "factories", "path", base={"help": "current snapshot, if any"},
         rejects={"help": "where refused documents go, with their reasons"})
-    job(check, "bronze")
+    job(check, "bronze", contract={"metavar": "FILE", "help": "a JSON Schema whose rules are checked instead"})
     return root
 
 

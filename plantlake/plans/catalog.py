@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from plantlake import schemas
 from plantlake.functions.records import decode_events, encode_events
 from plantlake.functions.scalars import clamp, event_time, lookup
-from plantlake.operators import alerts, bronze, gold, quality, registry, silver
+from plantlake.operators import alerts, bronze, contracts, gold, quality, registry, silver
 from plantlake.plans import compaction, feeds, ingest
 from plantlake.plans.daily import lines_to_silver, run_daily, update_silver
 from plantlake.plans.ledger import RunLedger
@@ -795,6 +795,38 @@ def dq_contract_event(spark, sf_dir):
     return quality.report(quality.inspect(_lines(spark, sf_dir)), quality.contract_rules())
 
 
+def event_contract() -> dict:
+    """The event contract as a JSON Schema document."""
+    text, number = {"type": "string"}, {"type": "integer"}
+    keys = {key: text for key in schemas.CONTRACT_KEYS}
+    device = {
+        "firmware_version": text,
+        "battery_level": {**number, "minimum": 0, "maximum": 100},
+        "signal_strength": number,
+    }
+    return {
+        "type": "object",
+        "required": schemas.CONTRACT_KEYS,
+        "properties": {
+            **keys,
+            "event_id": {**text, "format": "uuid"},
+            "measurement_type": {**text, "enum": schemas.MEASUREMENTS},
+            "value": {"type": "number"},
+            "timestamp": {**text, "format": "date-time"},
+            "quality": {**text, "enum": schemas.QUALITIES},
+            "is_anomaly": {"type": "boolean"},
+            "metadata": {"type": "object", "properties": device},
+        },
+    }
+
+
+@query
+def dq_contract_compiled(spark, sf_dir):
+    """The same contract, compiled from its document."""
+    rules = contracts.compiled(event_contract())
+    return quality.report(contracts.documents(_lines(spark, sf_dir)), rules)
+
+
 @query
 def dq_contract_equipment(spark, sf_dir):
     return quality.report(_equipment(spark, sf_dir), quality.equipment_rules())

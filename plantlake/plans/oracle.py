@@ -387,6 +387,19 @@ def _contract() -> list[tuple[str, str, str]]:
     return rules
 
 
+def _documented() -> list[tuple[str, str, str]]:
+    """The same with names by path, and what only the document says."""
+    device = ("valid:battery_level", "valid:signal_strength")
+    named = [(n.replace(":", ":metadata.") if n in device else n, applies, ok) for n, applies, ok in _contract()]
+    version = "metadata.firmware_version"
+    return [
+        *named,
+        ("valid:$", "true", "json_type(j) = 'OBJECT'"),
+        ("valid:metadata", f"({_kind('metadata')} IS NOT NULL)", f"({_kind('metadata')} = 'OBJECT')"),
+        (f"valid:{version}", f"({_kind(version)} IS NOT NULL)", f"({_string(version)})"),
+    ]
+
+
 def _json_kind(key: str) -> str:
     return f"""CASE WHEN {_kind(key)} IS NULL THEN 'absent' WHEN {_kind(key)} = 'NULL' THEN 'null'
       WHEN {_number(key)} THEN 'number' WHEN {_kind(key)} = 'VARCHAR' THEN 'string'
@@ -729,6 +742,7 @@ many AS (
             SELECT {_json_kind('is_anomaly')} AS is_anomaly_kind, {_json_kind('value')} AS value_kind,
               count(*) AS events FROM docs GROUP BY ALL"""),
         "dq_contract_event": _with(LINES, _rules("docs", _contract())),
+        "dq_contract_compiled": _with(LINES, _rules("docs", _documented())),
         "dq_contract_equipment": _with(EQUIPMENT, _rules("eq", EQUIPMENT_RULES)),
         "dq_contract_factory": _with(FACTORIES, _rules("fac", FACTORY_RULES)),
         "dq_silver": _with(SILVER, """
