@@ -4,7 +4,7 @@ import ast
 import os
 
 import pytest
-from helpers import assert_same, events, line, reading
+from helpers import assert_same, events, line, messages, reading
 from pyspark.sql import functions as F
 
 from plantlake import session
@@ -15,6 +15,7 @@ from plantlake.plans.daily import _in_months, run_daily, silver_to_gold, update_
 from plantlake.sinks.files import BY_MONTH, write_silver
 from plantlake.sinks.serving import counted, serving_options
 from plantlake.sources import files
+from plantlake.streaming import landing_job
 
 PACKAGE = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "plantlake")
 
@@ -222,6 +223,31 @@ def test_the_quality_gate_passes_clean_lines_and_stops_repeats(spark, folder, ca
     main(bronze("none", []))
 
 
+def test_a_contract_document_is_checked(spark, folder, capsys):
+    from plantlake.__main__ import main
+
+    os.makedirs(f"{folder}/bronze")
+    with open(f"{folder}/bronze/a.json", "w") as f:
+        f.write(line(1) + "\n" + line(2, value="high") + "\n")
+    with open(f"{folder}/contract.json", "w") as f:
+        f.write('{"required": ["unit"], "properties": {"value": {"type": "number"}}}')
+    with pytest.raises(SystemExit):
+        main(["check", "--bronze", f"{folder}/bronze", "--contract", f"{folder}/contract.json"])
+    out = capsys.readouterr().out
+    assert "FAIL valid:value: 1 of 2" in out and "ok   required:unit: 0 of 2" in out
+
+
+def test_closed_days_are_packed(spark, folder, capsys):
+    from plantlake.__main__ import main
+
+    day = F.lit("2024-05-01").cast("timestamp")
+    rows = landing_job.landing_rows(messages(spark, [line(k) for k in range(40)]).repartition(8), day)
+    rows.write.partitionBy(*landing_job.PARTITIONS).text(f"{folder}/landed")
+    main(["compact", "--landed", f"{folder}/landed", "--packed", f"{folder}/packed", "--day", "2024-05-02"])
+    assert "files: 1\n" in capsys.readouterr().out
+    assert spark.read.text(f"{folder}/packed").count() == 40
+
+
 def test_secrets_come_from_a_file(folder):
     from plantlake.__main__ import options_of
 
