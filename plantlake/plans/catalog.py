@@ -538,11 +538,13 @@ def range_alerts_stream(spark, sf_dir):
 
 
 def _four_triggers(spark, sf_dir, root):
-    """The readings as a stream whose triggers come in no order of time."""
+    """The readings as a stream whose triggers come in no order of time, of files of bounded size."""
     lines = _lines(spark, sf_dir)
-    part = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(4)).cast("int")
-    lines.withColumn("part", part).repartitionById(4, "part").select("value").write.text(f"{root}/topic")
-    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/topic")
+    readings = feeds.table(spark, sf_dir, "events").count()
+    files = max(1, -(-readings // (4 * landing_job.LARGE_FILES)))  # of a trigger
+    part = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(4 * files)).cast("int")
+    lines.withColumn("part", part).repartitionById(4 * files, "part").select("value").write.text(f"{root}/topic")
+    stream = spark.readStream.option("maxFilesPerTrigger", files).text(f"{root}/topic")
     return decode_events(stream, schemas.STREAM_EVENT)
 
 
@@ -572,9 +574,10 @@ def range_dated_stream(spark, sf_dir):
     sinks.write_snapshot(base, registry_root, "2024-01-05")
     sinks.write_snapshot(base.withColumn("sensors", narrower), registry_root, "2024-01-15")
 
+    versions = ingest.RangeVersions(registry_root)
+
     def flagged(rows):
-        versions = registry.dated_ranges(sources.equipment_snapshots(rows.sparkSession, registry_root))
-        return registry.flag_out_of_range_dated(rows, versions)
+        return registry.flag_out_of_range_dated(rows, versions.read(rows.sparkSession))
 
     _split(_four_triggers(spark, sf_dir, root), root, prepare=flagged)
     layout = schemas.STREAM_EVENT + ", normal_min double, normal_max double, out_of_range boolean"

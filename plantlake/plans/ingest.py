@@ -9,7 +9,7 @@ from plantlake.operators import bronze, quality, registry
 from plantlake.session import fresh_path
 from plantlake.sinks import files as sinks
 from plantlake.sinks.folders import Folders
-from plantlake.sources.files import equipment, erp
+from plantlake.sources.files import equipment, equipment_snapshots, erp
 
 
 def ingest_erp(table: DataFrame, day: str, path: str) -> bool:
@@ -119,6 +119,27 @@ def build_registry(
     return _measures(total).unionByName(_measures(delivery_totals(assessed)))
 
 
+class RangeVersions:
+    """The dated ranges of a folder of registry snapshots, worked out anew only when its files have changed.
+
+    The files are listed before they are read: what changes meanwhile is met by
+    the next call.
+    """
+
+    def __init__(self, root: str):
+        self.root, self._seen, self._kept = root, None, None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """As :func:`registry.dated_ranges` over the snapshots as they lie there now."""
+        seen = Folders(spark, self.root).files(self.root)
+        if self._kept is None or seen != self._seen:
+            ranges, path = registry.dated_ranges(equipment_snapshots(spark, self.root)), fresh_path(spark, "ranges")
+            ranges.write.parquet(path)
+            self._seen, self._kept = seen, (ranges.schema, path)
+        layout, path = self._kept
+        return spark.read.schema(layout).parquet(path)
+
+
 def delivery_totals(assessed: DataFrame) -> DataFrame:
     """delivered = accepted + superseded + refused, for :func:`registry.assessed` documents."""
     fine = F.size("reasons") == 0

@@ -28,6 +28,16 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)) if s.isDirectory())
 
+    def files(self, path: str) -> list[tuple[str, int, int]]:
+        """Name, size and time of change of every file below ``path``, in order; none if it isn't there."""
+        found = []
+        if self.exists(path):
+            each = self._fs.listFiles(self._path(path), True)
+            while each.hasNext():
+                status = each.next()
+                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+        return sorted(found)
+
     def drop(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
