@@ -10,12 +10,16 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.operators import gold, silver
+from plantlake.operators.joins import measured_bytes
 from plantlake.plans.ledger import RunLedger
 from plantlake.session import fresh_path, pin_utc
 from plantlake.sinks.files import filled_months, replace_months, stage_months, swap_months, write_gold, write_silver
 from plantlake.sinks.serving import serve_gold
 from plantlake.sources import files
 
+#: Ids of an arrival up to this size are broadcast; Silver then stays where it lies.
+MAX_IDS_BYTES = 8 * 1024 * 1024
+
 
 def bronze_to_silver(bronze: DataFrame, path: str, **options) -> bool:
     """False, and nothing written, when there are no sensor rows."""
@@ -63,7 +67,8 @@ def update_silver(
     readings may belong to older months, and a copy may move its event to
     another one: exactly the months of the new readings and of the survivors
     they meet are replaced. Returns those (year, month) pairs; arriving again
-    changes nothing.
+    changes nothing. Beyond :data:`MAX_IDS_BYTES` the new ids don't pass the
+    driver: they meet Silver by a shuffle.
 
     With a ``ledger`` the months are noted when their new content is complete
     beside the old one, before anything changes; see :func:`resume_silver`.
@@ -74,6 +79,8 @@ def update_silver(
     write_silver(silver.clean(arrived), staged, fmt=fmt)
     new = files.silver(spark, staged, fmt)
     ids = new.select("event_id")
+    few = measured_bytes(ids) <= MAX_IDS_BYTES
+    ids = F.broadcast(ids) if few else ids.hint("merge")
     try:
         old = files.silver(spark, path, fmt)
     except AnalysisException as error:
@@ -84,9 +91,14 @@ def update_silver(
     months = _months(new) | _months(met)
     if not months:
         return months
-    winners = silver.with_calendar(silver.dedup(met.unionByName(new).select(*plain)))
-    kept = old.where(_in_months(months)).join(ids, "event_id", "left_anti")
-    merged = kept.unionByName(winners)
+    if few:
+        winners = silver.with_calendar(silver.dedup(met.unionByName(new).select(*plain)))
+        kept = old.where(_in_months(months)).join(ids, "event_id", "left_anti")
+        merged = kept.unionByName(winners)
+    else:
+        # one shuffle of these months: ids are unique in both, so a row that meets no other stays as it is
+        both = old.where(_in_months(months)).unionByName(new)
+        merged = silver.with_calendar(silver.dedup(both.select(*plain)))
     if ledger is None:
         replace_months(merged, path, months, fmt)
         return months

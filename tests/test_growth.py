@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import assert_same, events
+from helpers import assert_same, events, reading
 from plantlake.operators import registry
-from plantlake.plans import catalog, ingest
+from plantlake.plans import catalog, daily, ingest
 from plantlake.sinks import files as sinks
 from plantlake.sources import files
 from plantlake.streaming import landing_job
@@ -64,3 +64,26 @@ def test_the_stream_works_out_its_ranges_once_and_keeps_its_files_small(spark, t
     assert max(r["count"] for r in topic.groupBy(F.input_file_name()).count().collect()) <= 150
     assert spark.read.parquet(f"{folder}/arrivals/split/marks/batch=3").count() == 1  # four triggers
     assert not sinks.Folders(spark, folder).exists(f"{folder}/arrivals/split/marks/batch=4")
+
+
+
+@pytest.mark.parametrize("limit", [-1, 10**6])
+def test_many_ids_of_an_arrival_do_not_pass_the_driver(spark, folder, monkeypatch, limit):
+    first = events(spark, *[reading(k, timestamp=f"2024-0{k % 3 + 4}-01T00:00:00+00:00") for k in range(1, 30)])
+    second = events(
+        spark,
+        *[reading(k, value=60.0, timestamp=f"2024-0{k % 2 + 3}-01T00:00:00+00:00") for k in range(20, 40)],
+    )
+    plans, stage = [], daily.replace_months
+
+    def staged(rows, *rest):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stage(rows, *rest)
+
+    monkeypatch.setattr(daily, "replace_months", staged)
+    monkeypatch.setattr(daily, "MAX_IDS_BYTES", limit, raising=False)
+    for arrived in (first, second):
+        daily.update_silver(arrived, f"{folder}/silver")
+    assert ("Broadcast" in plans[-1]) == (limit > 0)
+    whole = daily.silver.clean(first.unionByName(second))
+    assert_same(whole, files.silver(spark, f"{folder}/silver", "parquet"))
