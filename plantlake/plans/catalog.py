@@ -129,13 +129,17 @@ def event_sample(spark, sf_dir):
 
 @query
 def bronze_scan(spark, sf_dir):
-    """A mixed tree of three feeds, read recursively as sensor rows."""
+    """A mixed tree of three feeds, read recursively as sensor rows.
+
+    Its files are packed, a tenth of the bytes; a packed file is one task, so their rows are bounded.
+    """
     root = fresh_path(spark, "mixed")
     erp, orders = bronze.erp_records(_erp(spark, sf_dir)), _maintenance(spark, sf_dir)
     landed = landing_job.landing_rows(_lines(spark, sf_dir))
-    landed.write.partitionBy(*landing_job.PARTITIONS).text(root)
-    erp.write.json(f"{root}/erp")
-    orders.write.json(f"{root}/maintenance")
+    packed = {"compression": "gzip", "maxRecordsPerFile": landing_job.LARGE_FILES}
+    landed.write.options(**packed).partitionBy(*landing_job.PARTITIONS).text(root)
+    erp.write.options(**packed).json(f"{root}/erp")
+    orders.write.options(**packed).json(f"{root}/maintenance")
     return _flat_metadata(silver.sensor_rows(sources.mixed_bronze(spark, root)))
 
 

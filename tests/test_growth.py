@@ -87,3 +87,14 @@ def test_many_ids_of_an_arrival_do_not_pass_the_driver(spark, folder, monkeypatc
     assert ("Broadcast" in plans[-1]) == (limit > 0)
     whole = daily.silver.clean(first.unionByName(second))
     assert_same(whole, files.silver(spark, f"{folder}/silver", "parquet"))
+
+
+def test_the_mixed_tree_is_packed(spark, tables, folder, monkeypatch):
+    monkeypatch.setattr(catalog, "fresh_path", lambda spark, label: f"{folder}/{label}")
+    monkeypatch.setattr(landing_job, "LARGE_FILES", 500)
+    found = catalog.QUERIES["bronze_scan"](spark, tables)
+    assert all(f.endswith(".gz") for f in found.inputFiles())
+    per_file = files.mixed_bronze(spark, f"{folder}/mixed").groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count")).first()[0] <= 500
+    lines = catalog._events(spark, tables).where("sensor_id is not null").drop("metadata")
+    assert_same(lines, found.select(*lines.columns))
