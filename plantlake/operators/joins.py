@@ -37,6 +37,7 @@ def lookup_join(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``rows`` with a ``table`` of one row per key.
 
@@ -45,16 +46,18 @@ def lookup_join(
     skewed partitions AQE splits; it is never broadcast. If keys have
     ``hot_rows`` rows or more, they alone are salted: their rows are spread
     over ``salts`` tasks and only their table rows are repeated. A stream is
-    not counted, so its keys are not salted.
+    not counted, so its keys are not salted. ``counted`` has every key at least
+    as often as ``rows``: it is counted instead, where ``rows`` are dear to work
+    out twice. A limit of zero needs no measuring.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a lookup keeps or drops its left rows, not {how!r}")
-    if measured_bytes(table) <= max_broadcast_bytes:
+    if max_broadcast_bytes > 0 and measured_bytes(table) <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
     if rows.isStreaming:
         return rows.join(table.hint("merge"), on, how)
     path = fresh_path(rows.sparkSession, "hot-keys")
-    hot = hot_keys(rows, on, hot_rows)
+    hot = hot_keys(rows if counted is None else counted, on, hot_rows)
     hot.write.parquet(path)
     hot = rows.sparkSession.read.schema(hot.schema).parquet(path)
     if hot.isEmpty():

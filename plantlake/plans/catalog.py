@@ -727,8 +727,11 @@ def maintenance_due(spark, sf_dir):
 
 
 def _range_anomaly(spark, sf_dir, **join_options):
+    events = _events(spark, sf_dir)
     ranges = registry.sensor_ranges(_equipment(spark, sf_dir))
-    return registry.flag_out_of_range(_silver(spark, sf_dir), ranges, **join_options).select(
+    # before the dedup no key has fewer rows, and counting them needs no wide shuffle
+    readings = silver.tidy_events(silver.sensor_rows(events))
+    return registry.flag_out_of_range(silver.clean(events), ranges, counted=readings, **join_options).select(
         "event_id", "equipment_id", "sensor_id", "value", "is_anomaly",
         "normal_min", "normal_max", "out_of_range",
     )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import assert_same, events, reading
-from plantlake.operators import registry
+from plantlake.operators import joins, registry
 from plantlake.plans import catalog, daily, ingest
 from plantlake.sinks import files as sinks
 from plantlake.sources import files
@@ -98,3 +98,16 @@ def test_the_mixed_tree_is_packed(spark, tables, folder, monkeypatch):
     assert per_file.agg(F.max("count")).first()[0] <= 500
     lines = catalog._events(spark, tables).where("sensor_id is not null").drop("metadata")
     assert_same(lines, found.select(*lines.columns))
+
+
+def test_hot_keys_are_counted_before_the_dedup(spark, tables, monkeypatch):
+    counted, plain = [], joins.hot_keys
+
+    def hot(rows, *rest):
+        counted.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return plain(rows, *rest)
+
+    monkeypatch.setattr(joins, "hot_keys", hot)
+    large = catalog.QUERIES["range_anomaly_large"](spark, tables)
+    assert len(counted) == 1 and "Aggregate" not in counted[0]
+    assert_same(catalog.QUERIES["range_anomaly"](spark, tables), large)
