@@ -31,6 +31,8 @@ BUCKETS = 1 << 18
 #: Labelled documents that must hold a word, and how clearly it must tell the classes apart.
 MIN_DOCUMENTS = 8
 MIN_GAIN = 16.0
+#: Rows that a Newton step takes at a time.
+FIT_ROWS = 1_000
 #: What is known of a path for a target: its own sums, its host's and those of all documents.
 SITE = ("n", "s", "strength", "host_n", "host_s", "host_strength", "whole_n", "whole_s")
 #: Bounds of a prior strength, in documents.
@@ -162,16 +164,26 @@ def _chosen_words(sample: DataFrame, target: int) -> list[int]:
 # --- the document model ------------------------------------------------------
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights (the last one is the constant) by Newton steps with a ridge penalty."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-3
+def fit_logistic(x, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
+    """Weights (the last one is the constant) by Newton steps with a ridge penalty.
+
+    ``x`` is the model matrix, or a function that gives its rows from one to
+    another: only FIT_ROWS of them are held at a time.
+    """
+    rows = x if callable(x) else lambda start, end: x[start:end]
+    w = penalty = None
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + penalty * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient = hessian = 0.0
+        for start in range(0, len(y), FIT_ROWS):
+            part = rows(start, start + FIT_ROWS)
+            part = np.hstack([part, np.ones((len(part), 1))])
+            if w is None:
+                w, penalty = np.zeros(part.shape[1]), np.full(part.shape[1], ridge)
+                penalty[-1] = 1e-3
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            gradient += part.T @ (p - y[start : start + FIT_ROWS])
+            hessian += (part * (p * (1 - p))[:, None]).T @ part
+        gradient, hessian = gradient + penalty * w, hessian + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -207,14 +219,24 @@ class Evidence:
         if not rows.num_rows:
             return self
         width = SURFACE + sum(map(len, self.words))
-        x = rows["x"].combine_chunks().flatten().to_numpy().reshape(-1, width).astype(float)
-        self.middle = x[:, :SURFACE].mean(axis=0)
-        self.scale = x[:, :SURFACE].std(axis=0) + 1e-6
+        # views of what Spark sent: single precision, put together nowhere
+        parts = [c.flatten().to_numpy().reshape(-1, width) for c in rows["x"].chunks]
+        shape = np.concatenate([p[:, :SURFACE] for p in parts]).astype(float)
+        self.middle, self.scale = shape.mean(axis=0), shape.std(axis=0) + 1e-6
+        ends = np.cumsum([len(p) for p in parts])
         for k, column in enumerate(columns):
             y = rows[column].to_numpy()
             known = (y == 0) | (y == 1)
             if known.sum() and 0 < y[known].mean() < 1:
-                self.weights[k] = fit_logistic(self._design(k)(x[known]), y[known].astype(float))
+                at, design = np.flatnonzero(known), self._design(k)
+
+                def model(start: int, end: int) -> np.ndarray:
+                    own = at[start:end]
+                    of = np.searchsorted(ends, own, side="right")
+                    part = [parts[i][own[of == i] - (ends[i] - len(parts[i]))] for i in np.unique(of)]
+                    return design(np.concatenate(part).astype(float))
+
+                self.weights[k] = fit_logistic(model, y[known].astype(float))
                 self.prior[k] = float(np.log(y[known].mean() / (1 - y[known].mean())))
         return self
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plantlake.llm import quality
 from plantlake.llm.quality import (
     STRENGTH,
     TARGETS,
@@ -124,3 +125,19 @@ def test_a_document_is_not_in_the_rate_it_meets(spark):
         assert got[tuple(e)] == pytest.approx(want)
         if path == "alone":
             assert want == pytest.approx(at_host)
+
+
+def test_the_model_is_fitted_on_a_few_rows_at_a_time(monkeypatch):
+    """Equal to one matrix, and no step holds more than a part of it."""
+    rng = np.random.default_rng(6)
+    x, asked = rng.normal(size=(1000, 4)).astype(np.float32), []
+    y = (rng.random(1000) < 1 / (1 + np.exp(-x[:, 0]))).astype(float)
+
+    def rows(start, end):
+        asked.append(end - start)
+        return x[start:end].astype(float)
+
+    whole = fit_logistic(x.astype(float), y)
+    monkeypatch.setattr(quality, "FIT_ROWS", 90)
+    assert fit_logistic(rows, y) == pytest.approx(whole, rel=1e-9)
+    assert max(asked) == 90
