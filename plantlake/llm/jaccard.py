@@ -10,10 +10,10 @@ the threshold out are discarded there, and only what is left is multiplied over
 all columns.
 
 A column that very many rows share would square them. Classes already known to
-be connected need no more links, so the product runs in rounds: first against
-one leader per column and size band, which connects large groups through a
-star; then, over the columns where classes of different components still meet,
-against all of them. Every link between components is found.
+be connected need no more links, so the product runs in rounds: first, over the
+hot columns, against a few leaders per column and size band, which connects large
+groups through stars; then, over the columns where classes of different components
+still meet, against all of them. Every link between components is found.
 """
 
 from __future__ import annotations
@@ -36,13 +36,15 @@ GATHERED = 4_000_000
 FREQUENT = 3
 #: Frequent n-grams whose rank every task knows. Only the order of columns depends on it.
 RANKED = 1_000_000
-#: All classes that are left meet once that is no more than so many pairs per matrix cell;
-#: rounds against leaders go before it, as long as they take pairs away.
+#: A column is hot while more pairs of different components meet in it than so many per cell;
+#: rounds against leaders go over hot columns, till a few in a row take hardly any pairs away.
 MEETINGS_PER_CELL = 16
 MAX_LEADER_ROUNDS = 6
-FADING = 0.9
+FADING, FADED_ROUNDS = 0.9, 2
+#: Leaders that are drawn per column, size band and round.
+LEADERS = 3
 #: Columns of a pair's heads that are counted before its heads are compared.
-COUNTED = 6
+COUNTED = 3
 
 
 def _frequencies(docs: DataFrame, words: int) -> DataFrame:
@@ -305,62 +307,69 @@ def _component_labels(docs, sketches, classes, words: int, percent: int) -> Data
     shared = heads.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     sizes = sketches.select(F.col("row").alias("node"), "n")
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
-    cells = stored(
-        stored(heads.join(shared, "gram"), "jaccard-shared").join(sizes, "node").withColumn("band", band),
-        "jaccard-cells",
-    )
-    labels = stored(
-        cells.select("node").distinct().select("node", F.col("node").alias("comp")), "jaccard-labels"
-    )
+    cells = stored(heads.join(shared, "gram").join(sizes, "node").withColumn("band", band), "jaccard-cells")
+    own = F.col("node").alias("comp")
+    labels = stored(cells.select("node").distinct().select("node", own), "jaccard-labels")
     verifier = _Verifier(docs, sketches, words, percent)
-    before = None
-    for turn in range(MAX_LEADER_ROUNDS + 1):
-        cells = _open_cells(cells, labels)
-        meetings, count = _meetings(cells)
-        few = meetings <= MEETINGS_PER_CELL * count
-        if few or turn == MAX_LEADER_ROUNDS or (before and meetings > FADING * before):
-            break
-        before = meetings
-        pairs = stored(_leader_pairs(cells, turn, percent), "jaccard-pairs")
-        links = verifier.links(pairs)
-        if links.isEmpty():
-            break
-        labels = _relabelled(labels, links)
-    links = verifier.links(_all_pairs(cells, percent))
+    hot, meetings = _hot_cells(cells.withColumn("comp", own))
+    faded = turn = 0
+    while meetings and faded < FADED_ROUNDS and turn < MAX_LEADER_ROUNDS:
+        links = verifier.links(stored(_leader_pairs(hot, turn, percent), "jaccard-pairs"))
+        before, turn = meetings, turn + 1
+        if not links.isEmpty():
+            labels = _relabelled(labels, links)
+            hot, meetings = _hot_cells(_labelled(hot, labels))
+        faded = faded + 1 if meetings > FADING * before else 0
+    links = verifier.links(_all_pairs(_open_cells(cells, labels) if turn else cells.withColumn("comp", own), percent))
     return labels if links.isEmpty() else _relabelled(labels, links)
 
 
+def _labelled(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    return cells.drop("comp").join(labels, "node")
+
+
 def _open_cells(cells: DataFrame, labels: DataFrame) -> DataFrame:
     """The cells, with their component, of columns where different components meet."""
-    known = cells.drop("comp").join(labels, "node")
+    known = _labelled(cells, labels)
     ends = known.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     return stored(known.join(ends.where("lo < hi").select("gram"), "gram"), "jaccard-cells")
 
 
-def _meetings(cells: DataFrame) -> tuple[float, int]:
-    """Pairs of different components that meet in a column, over all columns; the number of cells."""
+def _hot_cells(cells: DataFrame) -> tuple[DataFrame, float]:
+    """The cells of hot columns, and the pairs of different components that meet there, over all of them."""
     sizes = cells.groupBy("gram", "comp").agg(F.count("*").cast("double").alias("n"))
     columns = sizes.groupBy("gram").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
-    pairs = F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)
-    row = columns.agg(pairs.alias("pairs"), F.sum("all").alias("cells")).first()
-    return row["pairs"] or 0.0, int(row["cells"] or 0)
+    columns = columns.withColumn("pairs", (F.col("all") * F.col("all") - F.col("same")) / 2)
+    hot = stored(columns.where(F.col("pairs") > MEETINGS_PER_CELL * F.col("all")).select("gram", "pairs"), "jaccard-hot")
+    meetings = hot.agg(F.sum("pairs")).first()[0] or 0.0
+    return (stored(cells.join(hot.select("gram"), "gram"), "jaccard-cells") if meetings else cells), meetings
 
 
 def _leader_pairs(cells: DataFrame, turn: int, percent: int) -> DataFrame:
-    """a, b: each class with the leader, of other components, that it overlaps most.
+    """a, b: each class with the leaders, of other components, that it overlaps most, one for each draw.
 
-    A column has a leader for each size band, drawn by a hash, so that large
-    groups mostly share one and each turn draws another.
+    A column has leaders in each size band, drawn by a hash, so that large
+    groups mostly share them and each turn draws others. Classes meet those of
+    their own band and of the bands beside it.
     """
-    drawn = F.xxhash64(F.lit(turn), F.col("node"))
-    lead = cells.groupBy("gram", "band").agg(F.min(F.struct(drawn, "node", "comp", "n")).alias("lead"))
-    lead = lead.select("gram", "band", *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "comp", "n")])
+    lead = cells.groupBy("gram", "band").agg(*[
+        F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(draw), F.col("node")), "node", "comp", "n")).alias(f"lead{draw}")
+        for draw in range(LEADERS)
+    ])
+    lead = lead.select(
+        "gram", "band", F.posexplode(F.array(*[F.col(f"lead{draw}") for draw in range(LEADERS)])).alias("draw", "lead")
+    )
+    lead = lead.select(
+        "gram", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"), "draw",
+        *[F.col(f"lead.{c}").alias(f"lead_{c}") for c in ("node", "comp", "n")],
+    )
     met = cells.join(lead, ["gram", "band"]).where(
         (F.col("comp") != F.col("lead_comp")) & _may_link(F.col("n"), F.col("lead_n"), percent)
     )
-    overlaps = met.groupBy("node", "lead_node").agg(F.count("*").alias("overlap"))
+    overlaps = met.groupBy("node", "draw", "lead_node").agg(F.count("*").alias("overlap"))
     best = F.max_by("lead_node", F.struct("overlap", "lead_node"))
-    return overlaps.groupBy(F.col("node").alias("a")).agg(best.alias("b"))
+    pairs = overlaps.groupBy("node", "draw").agg(best.alias("b"))
+    return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
 def _all_pairs(cells: DataFrame, percent: int) -> DataFrame:

@@ -126,3 +126,15 @@ def test_components(spark):
     found = {r.id: r.component for r in components(table).collect()}
     assert found == {**{k: 0 for k in range(41)}, **{k: 90 for k in [*range(90, 99), 100]}, 500: 500}
     assert components(table.where("false")).collect() == []
+
+
+def test_hot_columns_meet_leaders_though_most_columns_are_small(spark, documents, monkeypatch):
+    """A large group beside many pairs: its classes are connected by leaders and don't all meet."""
+    met = []
+    plain = jaccard._all_pairs
+    monkeypatch.setattr(jaccard, "_all_pairs", lambda *a: met.append(plain(*a).count()) or plain(*a))
+    text = prose(7, 90)
+    rows = [(k, edited(text, 0.012 * (k % 2), k) + f" end{k}") for k in range(150)]
+    rows += [(1000 + k, f"{prose(100 + k // 2, 40)} x{k}") for k in range(300)]
+    assert got(documents(*rows)) == brute_force(rows)
+    assert met[0] < 1500
