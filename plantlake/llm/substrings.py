@@ -44,8 +44,31 @@ def minimizers(grams: np.ndarray) -> np.ndarray:
     """Positions of the smallest k-mer of every window, the leftmost of equals; of all if there are few."""
     if grams.size <= WINDOW:
         return np.array([grams.argmin()]) if grams.size else np.zeros(0, dtype=np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-    return np.unique(view.argmin(axis=1) + np.arange(view.shape[0]))
+    heads = leftmost_minima(grams, WINDOW)
+    # they never go back from one window to the next
+    return heads[np.concatenate([[True], heads[1:] != heads[:-1]])]
+
+
+def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the leftmost minimum of every window, by windows of twice the width each time."""
+    least, place, size = values, np.arange(values.size), 1
+    while size < width:
+        step = min(size, width - size)
+        later = least[step:] < least[:-step]
+        place = np.where(later, place[step:], place[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        size += step
+    return place
+
+
+def stretch_hashes(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` words from each place on, the same wherever they stand."""
+    # a polynomial in BASE, modulo 2^64; differences of its prefix sums, shifted back to power 0
+    power, back = np.full((2, words.size), 1, dtype=np.uint64)
+    power[1:], back[1:] = BASE, BASE_INVERSE
+    power, back = np.cumprod(power), np.cumprod(back)
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed(words) * power)])
+    return mixed((sums[at + width] - sums[at]) * back[at])
 
 
 def runs_of(grams: np.ndarray, at: np.ndarray, min_words: int) -> np.ndarray:
@@ -122,7 +145,7 @@ def _windows(held: DataFrame, min_words: int) -> DataFrame:
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, wide = Shingler(SEED), Shingler(min_words)
+        shingler = Shingler(SEED)
         for batch in batches:
             out = [[np.zeros(0, dtype=np.int64)] for _ in range(4)]
             for row, text, wanted, spans in zip(*(batch.column(c) for c in range(4)), strict=True):
@@ -135,8 +158,7 @@ def _windows(held: DataFrame, min_words: int) -> DataFrame:
                 starts = np.arange(words.size - min_words + 1)
                 # the first seed of a stretch is the smallest of its first k-mers
                 size = min(WINDOW, min_words - SEED + 1, grams.size)
-                view = np.lib.stride_tricks.sliding_window_view(grams, size)[: starts.size]
-                heads = view.argmin(axis=1) + starts[: view.shape[0]]
+                heads = leftmost_minima(grams, size)[: starts.size]
                 place = np.minimum(np.searchsorted(at, heads), at.size - 1)
                 run = runs[place]
                 ok = (at[place] == heads) & np.isin(run, np.array(wanted.as_py(), dtype=np.int64))
@@ -146,7 +168,7 @@ def _windows(held: DataFrame, min_words: int) -> DataFrame:
                 new = np.cumsum(new) - new
                 kept = np.flatnonzero(ok & (new[min_words:] - new[:-min_words] >= NEW_WORDS))
                 if kept.size:
-                    found = wide.grams(words).view(np.int64)[kept]
+                    found = stretch_hashes(words, kept, min_words).view(np.int64)
                     for column, values in zip(out, (np.full(kept.size, row.as_py()), kept, found, run[kept]), strict=True):
                         column.append(values)
             row, at, window, run = (np.concatenate(column) for column in out)

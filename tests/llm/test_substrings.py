@@ -6,7 +6,9 @@ import numpy as np
 
 from plantlake.llm.chaining import GAP_COST, chains, passages
 from plantlake.llm.queries import QUERIES
-from plantlake.llm.substrings import SEED, WINDOW, minimizers, repeated_passages, runs_of
+from plantlake.llm.substrings import (
+    SEED, WINDOW, leftmost_minima, minimizers, repeated_passages, runs_of, stretch_hashes,
+)
 
 from .conftest import prose
 from .test_jaccard import edited
@@ -181,3 +183,21 @@ def test_equal_runs_of_seeds_have_equal_hashes_wherever_they_stand():
     for seeds, run in hashes:
         assert seen.setdefault(seeds, run) == run
     assert len(hashes) > len(seen) and len(set(seen.values())) == len(seen)
+
+
+def test_minima_of_windows_are_the_leftmost():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        width, values = int(rng.integers(1, 12)), rng.integers(0, 6, int(rng.integers(12, 60))).astype(np.uint64)
+        view = np.lib.stride_tricks.sliding_window_view(values, width)
+        assert (leftmost_minima(values, width) == view.argmin(axis=1) + np.arange(view.shape[0])).all()
+
+
+def test_equal_stretches_have_equal_hashes_wherever_they_stand():
+    rng = np.random.default_rng(7)
+    words = rng.integers(0, 3, 4000).astype(np.uint64)
+    hashes = stretch_hashes(words, np.arange(words.size - 5), 6)
+    seen = {}
+    for i, found in enumerate(hashes.tolist()):
+        assert seen.setdefault(words[i : i + 6].tobytes(), found) == found
+    assert len(set(seen.values())) == len(seen) < hashes.size
