@@ -348,13 +348,19 @@ def _hot_cells(cells: DataFrame) -> tuple[DataFrame, float]:
 def _leader_pairs(cells: DataFrame, turn: int, percent: int) -> DataFrame:
     """a, b: each class with the leaders, of other components, that it overlaps most, one for each draw.
 
-    A column has leaders in each size band, drawn by a hash, so that large
-    groups mostly share them and each turn draws others. Classes meet those of
-    their own band and of the bands beside it.
+    A column has leaders in each size band: the class with the largest share of
+    hot columns, which is at the centre of its group, and others drawn by a hash,
+    so that large groups mostly share them and each turn draws others. Classes
+    meet those of their own band and of the bands beside it.
     """
-    lead = cells.groupBy("gram", "band").agg(*[
-        F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(draw), F.col("node")), "node", "comp", "n")).alias(f"lead{draw}")
-        for draw in range(LEADERS)
+    share = cells.groupBy("node").agg((F.count("*") / F.max("n")).alias("share"))
+
+    def order(draw: int) -> Column:
+        drawn = F.xxhash64(F.lit(turn), F.lit(draw), F.col("node"))
+        return F.struct((F.lit(0.0) if draw else -F.col("share")).alias("share"), drawn.alias("drawn"))
+
+    lead = cells.join(share, "node").groupBy("gram", "band").agg(*[
+        F.min(F.struct(order(draw).alias("order"), "node", "comp", "n")).alias(f"lead{draw}") for draw in range(LEADERS)
     ])
     lead = lead.select(
         "gram", "band", F.posexplode(F.array(*[F.col(f"lead{draw}") for draw in range(LEADERS)])).alias("draw", "lead")
