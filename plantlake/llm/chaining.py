@@ -45,6 +45,8 @@ def chains(x: np.ndarray, y: np.ndarray, weight: int) -> list[np.ndarray]:
     less the gap cost of what lies between; the best predecessor of a seed is a
     prefix maximum over y, as seeds are met in order of x.
     """
+    if x.size == 1:
+        return [np.zeros(1, dtype=np.int64)]
     order = np.lexsort((y, x))
     xs, ys = x[order].tolist(), y[order].tolist()
     ranks = np.unique(y, return_inverse=True)[1][order].tolist()
@@ -84,10 +86,25 @@ def _matched(a: np.ndarray, b: np.ndarray) -> int:
         return a.size
     if max(a.size, b.size) > ALIGNED_GAP:
         return 0
+    # equal words at either end belong to some longest one
+    head = _equal_words(a, b)
+    a, b = a[head:], b[head:]
+    tail = _equal_words(a[::-1], b[::-1])
+    a, b = a[: a.size - tail], b[: b.size - tail]
+    if a.size > b.size:
+        a, b = b, a
     row = np.zeros(b.size + 1, dtype=np.int32)
     for word in a:
         row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == word)))
-    return int(row[-1])
+    return head + tail + int(row[-1])
+
+
+def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
+    """How many words a and b have alike from the start on."""
+    room = min(a.size, b.size)
+    differ = a[:room] != b[:room]
+    first = int(differ.argmax()) if room else 0
+    return first if room and differ[first] else room
 
 
 def _extent(a: np.ndarray, b: np.ndarray) -> int:
@@ -95,15 +112,18 @@ def _extent(a: np.ndarray, b: np.ndarray) -> int:
     room, peak, total, at = min(a.size, b.size), 0.0, 0.0, 0
     best = 0
     while at < room:
-        same = a[at : min(room, at + STEP)] == b[at : min(room, at + STEP)]
-        run = total + np.cumsum(np.where(same, MATCH, MISS))
-        top = np.maximum(np.maximum.accumulate(run), peak)
-        fallen = np.flatnonzero(top - run > DROP)
-        end = fallen[0] if fallen.size else run.size
-        if end and run[:end].max() > peak:
-            peak = float(run[:end].max())
-            best = at + int(run[:end].argmax()) + 1
-        if fallen.size:
+        stop = min(room, at + STEP)
+        run = (a[at:stop] == b[at:stop]) * (MATCH - MISS)
+        run += MISS
+        run[0] += total
+        run = run.cumsum()
+        fallen = np.maximum(np.maximum.accumulate(run), peak) - run > DROP
+        end = int(fallen.argmax())
+        ended = bool(fallen[end])
+        high = int((run[:end] if ended else run).argmax()) if end or not ended else 0
+        if (end or not ended) and run[high] > peak:
+            peak, best = float(run[high]), at + high + 1
+        if ended:
             break
         total, at = float(run[-1]), at + run.size
     return best

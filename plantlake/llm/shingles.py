@@ -8,8 +8,6 @@ import numpy as np
 import xxhash
 
 SHINGLE_WORDS = 5
-#: Words whose hash a task remembers.
-REMEMBERED = 100_000
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -25,18 +23,13 @@ class Shingler:
     """Hashes of the word n-grams of texts; A-Z lower-cased, words split at ASCII white space."""
 
     def __init__(self, width: int = SHINGLE_WORDS):
-        self.width, self.known = width, {}
+        self.width = width
 
     def words(self, text: str | None) -> np.ndarray:
         """One hash per word, in order."""
         found = (text or "").encode().lower().split()
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in set(found):
-            if word not in known:
-                known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
+        # a digest is the hash, most significant byte first; a table of known words takes longer
+        return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, found)), dtype=">u8").astype(np.uint64)
 
     def grams(self, words: np.ndarray) -> np.ndarray:
         """The hash of every window; of the whole sequence if it is shorter; none without words."""

@@ -40,13 +40,30 @@ BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 PASSAGE = "start int, end int, source_start int, source_end int, matches int"
 
 
+#: Words whose seeds are worked out at once.
+AT_ONCE = 32_768
+
+
 def minimizers(grams: np.ndarray) -> np.ndarray:
     """Positions of the smallest k-mer of every window, the leftmost of equals; of all if there are few."""
-    if grams.size <= WINDOW:
-        return np.array([grams.argmin()]) if grams.size else np.zeros(0, dtype=np.int64)
-    heads = leftmost_minima(grams, WINDOW)
-    # they never go back from one window to the next
-    return heads[np.concatenate([[True], heads[1:] != heads[:-1]])]
+    return minimizers_of(grams, np.zeros(1, dtype=np.int64), np.array([grams.size]))[0]
+
+
+def minimizers_of(grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of many texts, whose k-mers are ``sizes`` from ``starts`` on: positions in ``grams``, the text of each."""
+    counts = np.where(sizes > WINDOW, sizes - WINDOW + 1, np.minimum(sizes, 1))
+    owner = np.repeat(np.arange(sizes.size), counts)
+    before = np.cumsum(counts) - counts
+    heads = np.arange(owner.size) + (starts - before)[owner]
+    large = sizes[owner] > WINDOW
+    if large.any():
+        heads[large] = leftmost_minima(grams, WINDOW)[heads[large]]
+    for text in np.flatnonzero((sizes > 0) & (sizes <= WINDOW)):
+        heads[before[text]] += grams[starts[text] : starts[text] + sizes[text]].argmin()
+    # they never go back from one window to the next, and no two texts share one
+    new = np.ones(heads.size, dtype=bool)
+    new[1:] = heads[1:] != heads[:-1]
+    return heads[new], owner[new]
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,15 +88,19 @@ def stretch_hashes(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return mixed((sums[at + width] - sums[at]) * back[at])
 
 
-def runs_of(grams: np.ndarray, at: np.ndarray, min_words: int) -> np.ndarray:
+def runs_of(grams: np.ndarray, at: np.ndarray, min_words: int, owner: np.ndarray | None = None) -> np.ndarray:
     """A hash of the seeds from each one on, as far as any ``min_words`` equal words have them; 0 at the end.
 
     The first and the last seed of such words are at most WINDOW - 1 places from their ends.
+    ``owner`` tells the texts of seeds apart, if they are of several ones.
     """
     reach = max(0, min_words - SEED - 2 * (WINDOW - 1))
     last = np.searchsorted(at, at + reach)
     own, out = grams[at], np.zeros(at.size, dtype=np.uint64)
-    whole = np.flatnonzero(last < at.size)
+    inside = last < at.size
+    if owner is not None:
+        inside[inside] = owner[last[inside]] == owner[inside]
+    whole = np.flatnonzero(inside)
     # a polynomial in BASE over the seeds, modulo 2^64; differences of its prefix sums, shifted back to power 0
     power, back = np.full((2, at.size + 1), 1, dtype=np.uint64)
     power[1:], back[1:] = BASE, BASE_INVERSE
@@ -90,6 +111,24 @@ def runs_of(grams: np.ndarray, at: np.ndarray, min_words: int) -> np.ndarray:
     return out
 
 
+def seeds_of(shingler: Shingler, texts: list[np.ndarray], min_words: int) -> tuple[np.ndarray, ...]:
+    """The text, place, seed and run of each seed of texts, given as words.
+
+    Where a text repeats a few words on and on, a seed that overlaps its own
+    previous occurrence and starts the same run is left out: extension covers it.
+    """
+    sizes = np.array([text.size for text in texts])
+    starts = np.cumsum(sizes) - sizes
+    words = np.concatenate(texts)
+    grams = shingler.grams(words) if words.size >= SEED else words[:0]
+    at, owner = minimizers_of(grams, starts, np.maximum(0, sizes - SEED + 1))
+    own, run = grams[at], runs_of(grams, at, min_words, owner)
+    again = (own[1:] == own[:-1]) & (np.diff(at) <= SEED) & (run[1:] == run[:-1]) & (owner[1:] == owner[:-1])
+    new = np.concatenate([np.ones(min(1, at.size), dtype=bool), ~again])
+    owner = owner[new]
+    return owner, at[new] - starts[owner], own[new], run[new]
+
+
 class Tokenised:
     """Word hashes of texts by row; those of a few million words are remembered, the oldest go first."""
 
@@ -107,33 +146,24 @@ class Tokenised:
 
 
 def _seeds(texts: DataFrame, min_words: int) -> DataFrame:
-    """row, pos, seed, run: the occurrences of each seed in each text.
-
-    Where a text repeats a few words on and on, a seed that overlaps its own
-    previous occurrence and starts the same run is left out: extension covers it.
-    """
+    """row, pos, seed, run: the occurrences of each seed in each text, as ``seeds_of`` has them."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(SEED)
         for batch in batches:
-            counts, places, seeds, runs = [], [], [], []
-            for text in batch.column(1):
-                words = shingler.words(text.as_py())
-                grams = shingler.grams(words) if words.size >= SEED else words[:0]
-                at = minimizers(grams)
-                own, run = grams[at], runs_of(grams, at, min_words)
-                again = (own[1:] == own[:-1]) & (np.diff(at) <= SEED) & (run[1:] == run[:-1])
-                new = np.concatenate([np.ones(min(1, at.size), dtype=bool), ~again])
-                counts.append(int(new.sum()))
-                seeds.append(own[new])
-                runs.append(run[new])
-                places.append(at[new])
-            rows = np.repeat(batch.column(0).to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), pa.array(np.concatenate(places).astype(np.int32)),
-                 pa.array(np.concatenate(seeds).view(np.int64)), pa.array(np.concatenate(runs).view(np.int64))],
-                ["row", "pos", "seed", "run"],
-            )
+            rows, texts, first, held = batch.column(0).to_numpy(), [], 0, 0
+            for i, text in enumerate(batch.column(1), 1):
+                texts.append(shingler.words(text.as_py()))
+                held += texts[-1].size
+                if held < AT_ONCE and i < rows.size:
+                    continue
+                owner, places, seeds, runs = seeds_of(shingler, texts, min_words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[first:i][owner]), pa.array(places.astype(np.int32)),
+                     pa.array(seeds.view(np.int64)), pa.array(runs.view(np.int64))],
+                    ["row", "pos", "seed", "run"],
+                )
+                texts, first, held = [], i, 0
 
     return texts.mapInArrow(find, "row long, pos int, seed long, run long")
 
@@ -193,7 +223,7 @@ def _new(spans: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _left_over(runs: DataFrame, held: DataFrame, spans: DataFrame, min_words: int) -> DataFrame:
-    """row, source, xs, ys: stretches outside of ``spans``, with the first row that holds all their words.
+    """row, source, xs, ys, sizes: stretches outside of ``spans``, with the first row that holds all their words.
 
     ``runs`` has row, run and source, the run's first row; ``held`` the texts.
     """
@@ -210,59 +240,78 @@ def _left_over(runs: DataFrame, held: DataFrame, spans: DataFrame, min_words: in
         "row", "at", F.col("first.row").alias("source"), (F.col("at") - F.col("first.at")).alias("shift")
     )
     met = met.groupBy("row", "source", "shift").agg(F.sort_array(F.collect_list("at")).alias("xs"))
-    return met.select("row", "source", "xs", F.expr("transform(xs, x -> x - shift)").alias("ys"))
+    met = met.groupBy("row", "source").agg(F.collect_list(F.struct("xs", "shift")).alias("chains"))
+    return met.select(
+        "row", "source", F.expr("flatten(chains.xs)").alias("xs"),
+        F.expr("flatten(transform(chains, c -> transform(c.xs, x -> x - c.shift)))").alias("ys"),
+        F.expr("transform(chains, c -> size(c.xs))").alias("sizes"),
+    )
 
 
 def _chained(matches: DataFrame) -> DataFrame:
-    """row, source, xs, ys: a row per chain; one of a single seed may be a passage as well."""
+    """row, source, long, xs, ys, sizes: the chains of two rows, one after the other, with the seeds of each.
+
+    Those that span MIN_SPAN words or more are ``long`` and apart from the rest;
+    one of a single seed may be a passage as well.
+    """
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, sources, xs, ys = [], [], [], []
-            for row, source, met in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                x = np.array([m["pos"] for m in met], dtype=np.int32)
-                y = np.array([m["source_pos"] for m in met], dtype=np.int32)
+            out = [[] for _ in range(6)]
+            ends = batch.column(2).offsets.to_numpy()
+            xs, ys = (places.to_numpy() for places in batch.column(2).values.flatten())
+            pairs = zip(*(batch.column(c).to_pylist() for c in range(2)), ends[:-1], ends[1:], strict=True)
+            for row, source, first, end in pairs:
+                x, y = xs[first:end], ys[first:end]
+                kinds = {True: [], False: []}
                 for found in chains(x, y, SEED):
-                    rows.append(row)
-                    sources.append(source)
-                    xs.append(x[found])
-                    ys.append(y[found])
+                    kinds[bool(x[found[-1]] + SEED - x[found[0]] >= MIN_SPAN)].append(found)
+                for long, own in kinds.items():
+                    if own:
+                        seeds = np.concatenate(own)
+                        sizes = np.array([found.size for found in own], dtype=np.int32)
+                        for column, value in zip(out, (row, source, long, x[seeds], y[seeds], sizes), strict=True):
+                            column.append(value)
+            kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.list_(pa.int32())] * 3]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(sources, pa.int64()),
-                 pa.array(xs, pa.list_(pa.int32())), pa.array(ys, pa.list_(pa.int32()))],
-                ["row", "source", "xs", "ys"],
+                [pa.array(column, kind) for column, kind in zip(out, kinds, strict=True)],
+                ["row", "source", "long", "xs", "ys", "sizes"],
             )
 
     grouped = matches.groupBy("row", "source").agg(
         F.collect_list(F.struct("pos", "source_pos")).alias("met")
     )
     return grouped.select("row", "source", "met").mapInArrow(
-        chain, "row long, source long, xs array<int>, ys array<int>"
+        chain, "row long, source long, long boolean, xs array<int>, ys array<int>, sizes array<int>"
     )
 
 
 def _aligned(met: DataFrame, min_words: int, min_identity: float) -> DataFrame:
-    """row, source and the passages of each chain, given both texts."""
+    """row, source and the passages of each chain, given both texts, which a pair's chains share."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Tokenised()
         for batch in batches:
             keys, rows = [], []
-            for row, source, text, other, xs, ys in zip(
-                *(batch.column(c) for c in range(6)), strict=True
+            for row, source, text, other, xs, ys, sizes in zip(
+                *(batch.column(c) for c in range(7)), strict=True
             ):
-                a, b = texts.words(row.as_py(), text), texts.words(source.as_py(), other)
-                x, y = (np.array(v.as_py(), dtype=np.int64) for v in (xs, ys))
-                for found in passages(a, b, x, y, SEED, min_words, min_identity):
-                    keys.append((row.as_py(), source.as_py()))
-                    rows.append(found)
+                key = row.as_py(), source.as_py()
+                a, b = texts.words(key[0], text), texts.words(key[1], other)
+                x, y, sizes = (v.values.to_numpy() for v in (xs, ys, sizes))
+                end = 0
+                for size in sizes.tolist():
+                    end += size
+                    for found in passages(a, b, x[end - size : end], y[end - size : end], SEED, min_words, min_identity):
+                        keys.append(key)
+                        rows.append(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[c] for k in keys], pa.int64()) for c in range(2)]
                 + [pa.array([r[c] for r in rows], pa.int32()) for c in range(5)],
                 ["row", "source", "start", "end", "source_start", "source_end", "matches"],
             )
 
-    columns = ["row", "source", "text", "other", "xs", "ys"]
+    columns = ["row", "source", "text", "other", "xs", "ys", "sizes"]
     return met.select(*columns).mapInArrow(align, f"row long, source long, {PASSAGE}")
 
 
@@ -294,13 +343,11 @@ def repeated_passages(
     classes = stored(
         rows.groupBy("digest").agg(F.min("row").alias("row"), F.count("*").alias("n")), "passage-classes"
     )
-    # one text of each class, named by its digest: equal texts give equal seeds
+    # one text of each class: equal texts give equal seeds
     first = classes.where("n > 1").select(F.col("row").alias("first"), F.col("digest").alias("several"))
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("at"), digest.alias("digest"), "text"
-    )
+    texts = docs.select(F.monotonically_increasing_id().alias("at"), "text")
     copies = rows.join(first, rows["digest"] == first["several"]).where("row <> first")
-    seeds = _seeds(texts.select("at", "text"), min_words).withColumnRenamed("row", "at")
+    seeds = _seeds(texts, min_words).withColumnRenamed("row", "at")
     seeds = seeds.join(
         sized_broadcast(copies.select(F.col("row").alias("at")), 16), "at", "left_anti"
     ).withColumnRenamed("at", "row")
@@ -319,20 +366,16 @@ def repeated_passages(
     runs = stored(whole.join(several.where("source < last").drop("last"), "run"), "passage-runs")
 
     ids = found.select("row").union(found.select(F.col("source").alias("row"))).union(runs.select("row")).distinct()
-    named = stored(rows.join(ids, "row").select("row", "digest"), "passage-named")
-    wanted = sized_broadcast(named.select(F.col("digest").alias("wanted")), 32)
-    held = texts.join(wanted, texts["digest"] == wanted["wanted"], "left_semi").select("digest", "text")
-    held = held.dropDuplicates(["digest"]).join(named, "digest").select("row", "text")
-    held = stored(held, "passage-texts")
+    wanted = sized_broadcast(stored(ids, "passage-named"), 16)
+    held = stored(texts.withColumnRenamed("at", "row").join(wanted, "row", "left_semi"), "passage-texts")
     others = held.select(F.col("row").alias("source"), F.col("text").alias("other"))
 
     def spans_of(found: DataFrame, label: str) -> DataFrame:
         both = found.join(held, "row").join(others, "source")
         return stored(_aligned(both, min_words, min_identity), label)
 
-    long = F.element_at("xs", -1) + SEED - F.element_at("xs", 1) >= MIN_SPAN
-    spans = spans_of(found.where(long), "passage-spans")
-    short = spans_of(found.where(~long), "passage-short")
+    spans = spans_of(found.where("long"), "passage-spans")
+    short = spans_of(found.where("not long"), "passage-short")
     spans = spans.union(stored(_new(short, spans), "passage-new"))
     left = stored(_left_over(runs, held, spans, min_words), "passage-left")
     spans = spans.union(spans_of(left, "passage-more").distinct())
@@ -341,19 +384,25 @@ def repeated_passages(
     fuzzy = spans.join(named, "row").join(sources, "source").select(
         "doc_id", "start", "end", "source_id", "source_start", "source_end", "matches"
     )
-    return fuzzy.unionByName(_copies(copies, sources, docs, min_words))
+    return fuzzy.unionByName(_copies(copies, sources, texts, min_words))
 
 
-def _copies(copies: DataFrame, sources: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """row, words. Not an expression, as a filter on that would go before the join and count words of all texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [len((text.as_py() or "").encode().split()) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32())], ["row", "words"])
+
+    return texts.mapInArrow(count, "row long, words int")
+
+
+def _copies(copies: DataFrame, sources: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     """Rows whose whole text an earlier row has: one passage each."""
-    digest = F.unhex(F.md5(whole_text(F.col("text"))))
-    sizes = docs.select(
-        digest.alias("several"),
-        F.regexp_count(whole_text(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+")).cast("int").alias("words"),
-    )
-    wanted = copies.select("several").distinct()
-    sizes = sizes.join(sized_broadcast(wanted, 32), "several", "left_semi").groupBy("several").agg(F.max("words").alias("words"))
-    whole = copies.join(sizes, "several").where(F.col("words") >= min_words)
+    wanted = sized_broadcast(copies.select(F.col("first").alias("at")).distinct(), 16)
+    sizes = _word_counts(texts.join(wanted, "at", "left_semi")).withColumnRenamed("row", "first")
+    whole = copies.join(sizes, "first").where(F.col("words") >= min_words)
     zero = F.lit(0)
     return whole.join(sources.withColumnRenamed("source", "first"), "first").select(
         "doc_id", zero.alias("start"), F.col("words").alias("end"), "source_id",

@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 
-from plantlake.llm.chaining import GAP_COST, chains, passages
+from plantlake.llm.chaining import DROP, GAP_COST, MATCH, MISS, _extent, _matched, chains, passages
 from plantlake.llm.queries import QUERIES
+from plantlake.llm.shingles import Shingler
 from plantlake.llm.substrings import (
-    SEED, WINDOW, leftmost_minima, minimizers, repeated_passages, runs_of, stretch_hashes,
+    SEED, WINDOW, _chained, leftmost_minima, minimizers, repeated_passages, runs_of, seeds_of, stretch_hashes,
 )
 
 from .conftest import prose
@@ -201,3 +202,55 @@ def test_equal_stretches_have_equal_hashes_wherever_they_stand():
     for i, found in enumerate(hashes.tolist()):
         assert seen.setdefault(words[i : i + 6].tobytes(), found) == found
     assert len(set(seen.values())) == len(seen) < hashes.size
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    rng, shingler = np.random.default_rng(8), Shingler(SEED)
+    sizes = [0, 0, 7, 8, 9, 17, 18, 60, 400, 0, 1, 300, 90, 5]
+    texts = [rng.integers(0, 2 if k % 3 else 2**63, size).astype(np.uint64) for k, size in enumerate(sizes)]
+    expected = []
+    for k, words in enumerate(texts):
+        grams = shingler.grams(words) if words.size >= SEED else words[:0]
+        at = minimizers(grams)
+        own, run, last = grams[at].tolist(), runs_of(grams, at, 50).tolist(), None
+        for i, place in enumerate(at.tolist()):
+            if (own[i], run[i]) != last or place - at[i - 1] > SEED:
+                expected.append((k, place, own[i], run[i]))
+            last = own[i], run[i]
+    got = list(zip(*(column.tolist() for column in seeds_of(shingler, texts, 50)), strict=True))
+    assert got == expected and len({k for k, *_ in got}) == 8
+    assert [column.size for column in seeds_of(shingler, texts[:3], 50)] == [0] * 4
+
+
+def test_the_chains_of_two_rows_meet_their_texts_once(spark):
+    """Two long chains and three short ones are two rows, not five."""
+    places = [(0, 0), (10, 10), (500, 300), (520, 320), (1000, 100), (2000, 50), (3000, 20)]
+    matches = spark.createDataFrame(
+        [(2, 1, *p) for p in places] + [(3, 1, 5, 9)], "row long, source long, pos int, source_pos int"
+    )
+    got = sorted(map(tuple, _chained(matches).collect()))
+    assert [r[:3] for r in got] == [(2, 1, False), (2, 1, True), (3, 1, False)]
+    assert got[1][5] == [2, 2] and sorted(got[1][3]) == [0, 10, 500, 520] and got[0][5] == [1, 1, 1]
+    assert got[2][3:] == ([5], [9], [1])
+
+
+def test_alignment_equals_the_plain_recurrences():
+    rng = np.random.default_rng(9)
+    for k in range(400):
+        a, b = (rng.integers(0, 1 + k % 9, rng.integers(0, 40)).astype(np.uint64) for _ in range(2))
+        same = min(a.size, b.size) // (1 + k % 3)
+        a[:same] = b[:same]
+        a, b = (a[::-1], b[::-1]) if k % 2 else (a, b)
+        best = np.zeros((a.size + 1, b.size + 1), dtype=int)
+        for i, j in np.ndindex(a.size, b.size):
+            best[i + 1, j + 1] = best[i, j] + 1 if a[i] == b[j] else max(best[i, j + 1], best[i + 1, j])
+        assert _matched(a, b) == best[-1, -1]
+        a, b = np.tile(a, 9), np.tile(b, 9)
+        total = peak = reached = 0
+        for i in range(min(a.size, b.size)):
+            total += MATCH if a[i] == b[i] else MISS
+            if total > peak:
+                peak, reached = total, i + 1
+            elif peak - total > DROP:
+                break
+        assert _extent(a, b) == reached
