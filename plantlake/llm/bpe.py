@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plantlake.llm.common import small_batches, stored
+from plantlake.llm.common import hands_back, small_batches, stored
 
 #: Size of the word table that every task gets, about.
 TABLE_BYTES = 64 * 1024 * 1024
@@ -62,6 +62,7 @@ def encode_words(known: Tokenizer, words: list[bytes]) -> list[np.ndarray]:
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (binary), n: over all texts; counted in the task first, so frequent words cost little."""
 
+    @hands_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
@@ -129,6 +130,7 @@ def build_table(docs: DataFrame, definition: str, limit: int = TABLE_BYTES) -> W
             break
         lowest = row["band"]
 
+    @hands_back
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = tokenizer(definition)
         for batch in batches:
@@ -190,6 +192,7 @@ class Encoder:
         definition, shipped, shipped_pieces = self.definition, self.table, self.pieces
 
         @F.arrow_udf("struct<ids: binary, decoded: string>")
+        @hands_back
         def code(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             table, known = WordTable(*shipped.value), tokenizer(definition)
             names = np.array(shipped_pieces.value, dtype=object)
@@ -229,6 +232,7 @@ def decoded(ids: Column, spark: SparkSession, definition: str) -> Column:
     shipped = spark.sparkContext.broadcast(pieces(definition))
 
     @F.arrow_udf("string")
+    @hands_back
     def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = np.array(shipped.value, dtype=object)
         for part in parts:

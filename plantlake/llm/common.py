@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +63,21 @@ def small_batches(spark, rows: int = 1000, size: int = 4 * 1024 * 1024) -> None:
     """Texts are long: fewer rows and bytes at once between Spark and its Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def hands_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on a task's batches; at its end the Python worker returns the memory that it has freed.
+
+    Spark keeps the workers for later tasks. Otherwise what the largest task
+    took stays with each of them, beside the JVM, through all later stages.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return run

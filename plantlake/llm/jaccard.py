@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantlake.llm.common import WORD, sized_broadcast, small_batches, stored, whole_text
+from plantlake.llm.common import WORD, hands_back, sized_broadcast, small_batches, stored, whole_text
 from plantlake.llm.components import components
 from plantlake.llm.shingles import SHINGLE_WORDS, Shingler, set_key
 
@@ -50,6 +50,7 @@ COUNTED = 3
 def _frequencies(docs: DataFrame, words: int) -> DataFrame:
     """gram, n: n-grams that a task meets more than once, with how often (lossy counting)."""
 
+    @hands_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, held, size = Shingler(words), np.empty(GATHERED, dtype=np.uint64), 0
         for batch in batches:
@@ -98,6 +99,7 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
     grams, levels = _ranks(docs, words)
     ranks = docs.sparkSession.sparkContext.broadcast((grams, levels))
 
+    @hands_back
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (grams, levels) = Shingler(words), ranks.value
         for batch in batches:
@@ -128,6 +130,7 @@ def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     """key, grams: the whole set of every document given."""
 
+    @hands_back
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
